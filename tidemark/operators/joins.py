@@ -1,0 +1,15 @@
+"""Join helpers: broadcast a side only behind an exact, known row bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def sized_broadcast(df: DataFrame, rows: int | None, max_rows: int) -> DataFrame:
+    """Hint a broadcast when ``rows`` (an exact count known from an earlier step) is at most
+    ``max_rows``; otherwise leave the strategy to the planner and AQE (sort-merge / shuffled
+    hash join, skew-join splitting)."""
+    if rows is not None and rows <= max_rows:
+        return F.broadcast(df)
+    return df
