@@ -1,6 +1,6 @@
 """Stage wiring used by queries, marts, profiling and the quality gate.
 
-``silver`` is lazy.  ``star`` materialises Silver once (``checkpoint`` into the shared
+``silver`` is lazy.  ``star`` materialises Silver once (a Parquet table written under the shared
 ``spark.checkpoint.dir``) before key assignment runs its small actions, so the expensive
 Bronze plan (the line-item join) executes once per star, not once per action, and a lost
 executor re-reads the checkpoint instead of replaying the join.
@@ -8,6 +8,8 @@ executor re-reads the checkpoint instead of replaying the join.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.config import PanelConfig
@@ -26,10 +28,18 @@ def silver(spark: SparkSession, sf_dir: str, cfg: PanelConfig = TABLE_CONFIG) ->
     return silver_ops.transform(bronze(spark, sf_dir), cfg)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
+
+    Unlike ``Dataset.checkpoint`` (which computes an uncached plan twice: once for the job and
+    once for the checkpoint file) the plan runs once, the copy is columnar and compressed, and
+    later scans get column pruning and filter pushdown."""
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/tidemark/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def star(spark: SparkSession, sf_dir: str, cfg: PanelConfig = TABLE_CONFIG) -> gold.Star:
-    return gold.build_star(materialize(silver(spark, sf_dir, cfg)), cfg)
+    return gold.build_star(materialize(silver(spark, sf_dir, cfg), "silver"), cfg)

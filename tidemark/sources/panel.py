@@ -12,8 +12,8 @@ with the DataFrame API, planned for scale:
 * ``nation`` and ``region`` are tiny fixed tables and are broadcast; ``customer`` grows with the
   data, so its join strategy is left to AQE (it broadcasts only when the runtime size is below
   ``spark.sql.autoBroadcastJoinThreshold``).
-* The per-region aggregate rows are rolled up from the per-nation daily sums instead of
-  re-running the join.
+* The per-nation and per-region sums come from ONE grouping-sets aggregate over the join (an
+  ``Expand`` before the partial aggregate), so the join runs once.
 * Running totals are windows partitioned by entity over the *aggregated* rows, whose size is
   bounded by the number of distinct dates, not by the number of line items.
 """
@@ -60,73 +60,68 @@ def order_measures(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def nation_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per (nation, region, order date) sums; the grain of the panel."""
+def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_quantity", "l_returnflag",
                     "l_discount", "l_linestatus")
     orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
     cust = read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     nation = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, sf_dir, "region", "r_regionkey", "r_name")
-
     per_order = order_measures(li)
-    joined = (
+    return (
         per_order.join(orders, per_order.l_orderkey == orders.o_orderkey)
         .join(cust, F.col("o_custkey") == F.col("c_custkey"))
         .join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
+        .withColumn("d", F.to_date("o_orderdate"))
     )
-    return joined.groupBy(
-        "n_nationkey", "n_name", "r_regionkey", "r_name",
-        F.to_date("o_orderdate").alias("d"),
+
+
+def daily_sums(joined: DataFrame) -> DataFrame:
+    """Per (nation, date) and per (region, date) sums in ONE aggregate (grouping sets), so the
+    join runs once; ``gid`` = 0 marks nation rows."""
+    keys = ("n_nationkey", "n_name", "r_regionkey", "r_name", "d")
+    return joined.groupingSets(
+        [list(keys), ["r_regionkey", "r_name", "d"]], *keys,
     ).agg(
         F.sum("nc").alias("nc"), F.sum("nd").alias("nd"), F.sum("icu").alias("icu"),
-        F.sum("q").alias("q"), F.sum("f").alias("f"),
+        F.sum("q").alias("q"), F.sum("f").alias("f"), F.grouping_id().alias("gid"),
     )
 
 
 def panel_from_daily(daily: DataFrame) -> DataFrame:
-    """Entity rows with running totals, unioned with the per-region aggregate rows."""
+    """Entity rows (with running totals) and per-region aggregate rows from ``daily_sums``."""
     nk = F.col("n_nationkey")
-    run = (Window.partitionBy("n_name").orderBy("d")
+    ent = F.col("gid") == 0
+    run = (Window.partitionBy("gid", "n_name").orderBy("d")
            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    entity = daily.select(
-        F.col("n_name").alias("iso_code"),
-        F.col("n_name").alias("location"),
-        F.col("r_name").alias("continent"),
-        F.col("d").alias("date"),
-        F.col("nc").alias("new_cases"),
-        F.col("nd").alias("new_deaths"),
-        F.sum("q").over(run).alias("total_cases"),
-        F.sum("nd").over(run).alias("total_deaths"),
-        F.when(F.col("d") >= F.lit(VACCINATION_START).cast("date"), F.sum("f").over(run))
-        .alias("people_vaccinated"),
-        F.when(nk % ICU_MODULUS == 0, F.col("icu")).alias("icu_patients"),
-        F.when(nk == POPULATION_NULL_NATION, F.lit(None).cast("double"))
-        .when(nk == POPULATION_ZERO_NATION, F.lit(0.0))
-        .otherwise(F.lit(POPULATION_PER_NATION) * (nk + 1)).alias("population"),
-        F.when(nk % GDP_NULL_MODULUS == 0, F.lit(None).cast("double"))
-        .otherwise(F.lit(GDP_PER_NATION) * nk).alias("gdp_per_capita"),
-    )
-    regional = daily.groupBy("r_regionkey", "r_name", "d").agg(F.sum("q").alias("q"))
-    aggregate = regional.select(
-        F.concat(F.lit(AGGREGATE_PREFIX), F.col("r_name")).alias("iso_code"),
-        F.col("r_name").alias("location"),
-        F.when(F.col("r_regionkey") == AGGREGATE_CONTINENT_REGION, F.col("r_name"))
+    null = F.lit(None).cast("double")
+
+    def pick(entity_value, region_value):
+        return F.when(ent, entity_value).otherwise(region_value)
+
+    return daily.select(
+        pick(F.col("n_name"), F.concat(F.lit(AGGREGATE_PREFIX), F.col("r_name"))).alias("iso_code"),
+        pick(F.col("n_name"), F.col("r_name")).alias("location"),
+        pick(F.col("r_name"),
+             F.when(F.col("r_regionkey") == AGGREGATE_CONTINENT_REGION, F.col("r_name")))
         .alias("continent"),
         F.col("d").alias("date"),
-        F.col("q").alias("new_cases"),
-        F.lit(0.0).alias("new_deaths"),
-        F.col("q").alias("total_cases"),
-        F.lit(0.0).alias("total_deaths"),
-        F.lit(None).cast("double").alias("people_vaccinated"),
-        F.lit(None).cast("double").alias("icu_patients"),
-        F.lit(1.0).alias("population"),
-        F.lit(None).cast("double").alias("gdp_per_capita"),
+        pick(F.col("nc"), F.col("q")).alias("new_cases"),
+        pick(F.col("nd"), F.lit(0.0)).alias("new_deaths"),
+        pick(F.sum("q").over(run), F.col("q")).alias("total_cases"),
+        pick(F.sum("nd").over(run), F.lit(0.0)).alias("total_deaths"),
+        pick(F.when(F.col("d") >= F.lit(VACCINATION_START).cast("date"), F.sum("f").over(run)),
+             null).alias("people_vaccinated"),
+        pick(F.when(nk % ICU_MODULUS == 0, F.col("icu")), null).alias("icu_patients"),
+        pick(F.when(nk == POPULATION_NULL_NATION, null)
+             .when(nk == POPULATION_ZERO_NATION, F.lit(0.0))
+             .otherwise(F.lit(POPULATION_PER_NATION) * (nk + 1)), F.lit(1.0)).alias("population"),
+        pick(F.when(nk % GDP_NULL_MODULUS == 0, null).otherwise(F.lit(GDP_PER_NATION) * nk),
+             null).alias("gdp_per_capita"),
     )
-    return entity.unionByName(aggregate)
 
 
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw panel (Bronze equivalent) over the tables in ``sf_dir``."""
-    return panel_from_daily(nation_daily(spark, sf_dir))
+    return panel_from_daily(daily_sums(_joined(spark, sf_dir)))
