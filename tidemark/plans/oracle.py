@@ -220,3 +220,54 @@ FROM fact_covid_cases f JOIN dim_country c ON f.country_key = c.country_key
 GROUP BY c.country_name, c.continent
 ORDER BY total_cases DESC NULLS LAST, c.country_name, c.continent LIMIT 10""",
 }
+
+
+# ----------------------------------------------------------------------------------------------
+# Data-quality report in SQL (one SELECT per rule, same columns as ``quality.evaluate``)
+# ----------------------------------------------------------------------------------------------
+def _q(v: str) -> str:
+    return "'" + v.replace("'", "''") + "'"
+
+
+def dq_sql(rules, source: str) -> str:
+    parts = []
+    for pos, r in enumerate(rules):
+        head = f"SELECT {pos} AS pos, {_q(r.name)} AS \"check\", {_q(r.kind)} AS kind"
+        if r.kind == "not_null":
+            c = r.columns[0]
+            parts.append(f"{head}, CASE WHEN count_if({c} IS NULL) = 0 THEN 'PASS' ELSE 'FAIL' END"
+                         f" AS status, CAST(count_if({c} IS NULL) AS BIGINT) AS unexpected,"
+                         f" CAST(count(*) AS BIGINT) AS observed FROM {source}")
+        elif r.kind in ("between", "in_set"):
+            c = r.columns[0]
+            if r.kind == "between":
+                bad = f"{c} IS NOT NULL AND NOT ({c} BETWEEN {r.low} AND {r.high})"
+            else:
+                vals = ", ".join(_q(v) for v in r.values)
+                bad = f"{c} IS NOT NULL AND {c} NOT IN ({vals})"
+            u, o = f"count_if({bad})", f"count({c})"
+            ok = (f"{o} = 0 OR ({o} - {u}) / {o} >= {r.mostly}" if r.mostly < 1.0 else f"{u} = 0")
+            parts.append(f"{head}, CASE WHEN {ok} THEN 'PASS' ELSE 'FAIL' END AS status,"
+                         f" CAST({u} AS BIGINT) AS unexpected, CAST({o} AS BIGINT) AS observed"
+                         f" FROM {source}")
+        elif r.kind == "row_count":
+            parts.append(f"{head}, CASE WHEN count(*) BETWEEN {r.low} AND {r.high} THEN 'PASS'"
+                         f" ELSE 'FAIL' END AS status, CAST(CASE WHEN count(*) BETWEEN {r.low}"
+                         f" AND {r.high} THEN 0 ELSE count(*) END AS BIGINT) AS unexpected,"
+                         f" CAST(count(*) AS BIGINT) AS observed FROM {source}")
+        elif r.kind == "unique":
+            keys = ", ".join(r.columns)
+            anyk = " OR ".join(f"{k} IS NOT NULL" for k in r.columns)
+            parts.append(f"{head}, CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS status,"
+                         f" CAST(count(*) AS BIGINT) AS unexpected,"
+                         f" CAST(coalesce(sum(n), 0) AS BIGINT) AS observed FROM"
+                         f" (SELECT count(*) AS n FROM {source} WHERE {anyk} GROUP BY {keys}"
+                         f" HAVING count(*) > 1) g")
+        elif r.kind == "type":
+            c = r.columns[0]
+            t = f"(SELECT lower(typeof({c})) FROM {source} LIMIT 1)"
+            parts.append(f"{head}, CASE WHEN {t} = {_q(r.dtype)} THEN 'PASS' ELSE 'FAIL' END"
+                         f" AS status, CAST(CASE WHEN {t} = {_q(r.dtype)} THEN 0 ELSE 1 END AS BIGINT)"
+                         f" AS unexpected, CAST(1 AS BIGINT) AS observed")
+    union = "\nUNION ALL ".join(parts)
+    return f"SELECT \"check\", kind, status, unexpected, observed FROM ({union}) r ORDER BY pos"
