@@ -43,3 +43,9 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
 
 def star(spark: SparkSession, sf_dir: str, cfg: PanelConfig = TABLE_CONFIG) -> gold.Star:
     return gold.build_star(materialize(silver(spark, sf_dir, cfg), "silver"), cfg)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder name under the shared checkpoint folder (for landing zones and sinks)."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/tidemark/{name}-{uuid.uuid4().hex}"
