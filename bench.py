@@ -52,8 +52,9 @@ def main() -> None:
     silver = spark.read.parquet(f"{out}/silver")
     t0 = time.perf_counter()
     rules = default_rules(cfg.with_(row_count_bounds=(1, 10**12)))
-    quality.gate(silver, rules)
+    report = quality.evaluate(silver, rules).collect()
     times["etl_quality_gate"] = time.perf_counter() - t0
+    failed_checks = [r["check"] for r in report if r["status"] != "PASS"]
     t0 = time.perf_counter()
     paths, gcounts = pipeline.silver_to_gold(silver, f"{out}/gold", cfg)
     times["etl_silver_to_gold"] = time.perf_counter() - t0
@@ -92,6 +93,7 @@ def main() -> None:
         "queries": {k: round(v, 3) for k, v in times.items()},
         "sf": sf,
         "rows": counts,
+        "failed_checks": failed_checks,
         "config": {"master": f"local[{cpus}]", "runs": runs, "spark": spark.version},
     }))
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.config import PanelConfig, Rule, default_rules
 from tidemark.operators import gold, quality
 from tidemark.operators import silver as silver_ops
-from tidemark.sources.files import read_layer, write_layer, write_star
+from tidemark.sources.files import write_layer, write_star
 
 
 @dataclass
@@ -43,12 +43,13 @@ def silver_to_gold(silver: DataFrame, base: str, cfg: PanelConfig) -> tuple[dict
     dims = write_star({"dim_country": star.dim_country, "dim_date": star.dim_date,
                        "dim_income_group": star.dim_income}, base)
     spark = silver.sparkSession
-    dc, dd = spark.read.parquet(dims["dim_country"]), spark.read.parquet(dims["dim_date"])
+    dc = spark.read.schema(star.dim_country.schema).parquet(dims["dim_country"])
+    dd = spark.read.schema(star.dim_date.schema).parquet(dims["dim_date"])
     fact = gold.fact(silver, dc, dd, cfg, star.country_rows, star.date_rows)
     obs = Observation("fact")
     fact = fact.observe(obs, F.count(F.lit(1)).alias("rows"))
     paths = dict(dims)
-    paths.update(write_star({"fact_covid_cases": fact}, base, cfg.fact_buckets))
+    paths.update(write_star({"fact_covid_cases": fact}, base))
     counts = {"fact_rows": int(obs.get["rows"]), "dim_country_rows": star.country_rows,
               "dim_date_rows": star.date_rows, "dim_income_rows": star.country_rows}
     return paths, counts
@@ -60,7 +61,8 @@ def run(bronze: DataFrame, out_dir: str, cfg: PanelConfig, rules: tuple[Rule, ..
     out = out_dir.rstrip("/")
     silver_path = f"{out}/silver"
     counts = bronze_to_silver(bronze, silver_path, cfg)
-    silver = read_layer(bronze.sparkSession, silver_path)
+    silver = bronze.sparkSession.read.schema(silver_ops.transform(bronze, cfg).schema) \
+        .parquet(silver_path)
     rules = rules if rules is not None else default_rules(cfg)
     report = quality.gate(silver, rules) if gate else quality.evaluate(silver, rules)
     paths, gold_counts = silver_to_gold(silver, f"{out}/gold", cfg)

@@ -87,11 +87,11 @@ def register(spark: SparkSession, paths: dict[str, str], database: str | None =
             spark.read.parquet(path).createOrReplaceTempView(name)
 
 
-def write_fact(fact: DataFrame, path: str, buckets: int = 64) -> None:
-    """Plain-Parquet form of the fact layout: hash-partition by ``country_key`` (one shuffle,
-    ``buckets`` files) and sort each partition by ``date_key``.  No ``coalesce(1)``: writes stay
-    parallel."""
-    (fact.repartition(buckets, "country_key").sortWithinPartitions("date_key")
+def write_fact(fact: DataFrame, path: str) -> None:
+    """Plain-Parquet form of the fact layout: clustered by ``country_key`` (REBALANCE: AQE sizes
+    partitions and splits skew) and sorted by ``(country_key, date_key)`` in each file.  No
+    ``coalesce(1)``: writes stay parallel."""
+    (fact.hint("rebalance", "country_key").sortWithinPartitions("country_key", "date_key")
      .write.mode("overwrite").parquet(path))
 
 
