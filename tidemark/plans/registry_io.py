@@ -11,9 +11,10 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tidemark.config import FACT_MEASURES
+from tidemark.config import FACT_MEASURES, default_rules
+from tidemark.operators import profile, quality
 from tidemark.operators import silver as silver_ops
-from tidemark.plans import oracle, pipeline, stages, warehouse
+from tidemark.plans import oracle, pipeline, sql_text, stages, warehouse
 from tidemark.plans.catalog import REGISTRY
 from tidemark.plans.oracle import QUERY_BODIES, sround, with_panel, with_star
 from tidemark.sources import files
@@ -221,3 +222,35 @@ def stream_silver(spark, sf_dir):
 
 
 __all__ = ["table_path"]
+
+
+# ---------------------------------------------------------------- SQL text over the catalog
+def _sql_entry(qname):
+    def run(spark, sf_dir):
+        res = pipeline.run(stages.bronze(spark, sf_dir), stages.scratch(spark, "run"), CFG,
+                           gate=False)
+        warehouse.register(spark, res.gold_paths)          # written Gold as named views
+        return sql_text.run(spark, qname)
+    return run
+
+
+for _q in ("q1_top_countries", "q2_monthly_continent", "q3_vax_vs_death", "q4_by_wave",
+           "q5_peak_icu", "q6_by_income", "q7_top_months", "q8_row_counts", "q9_top10"):
+    REGISTRY[f"sql_{_q}"] = (_sql_entry(_q), with_star(QUERY_BODIES[_q]))
+
+
+# ---------------------------------------------------------------- report sink (S6), inferred read
+@reg("dq_report_csv", with_panel(oracle.dq_sql(default_rules(CFG), "silver")))
+def dq_report_csv(spark, sf_dir):
+    path = stages.scratch(spark, "dq_report")
+    rep = quality.evaluate(stages.silver(spark, sf_dir), default_rules(CFG))
+    files.write_report(rep, path)
+    return spark.read.schema(rep.schema).option("header", True).csv(path)
+
+
+@reg("e1_shape_csv", with_panel(
+    f"SELECT CAST(count(*) AS BIGINT) AS rows, CAST({len(PANEL_COLUMNS)} AS BIGINT) AS columns "
+    "FROM panel"))
+def e1_shape_csv(spark, sf_dir):
+    """Profiling read of a raw CSV with schema inference (one extra pass), then the shape."""
+    return profile.shape(files.read_any(spark, _landing_csv(spark, sf_dir), "csv", infer=True))
