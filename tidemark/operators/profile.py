@@ -1,10 +1,11 @@
 """Table profiling (E1-E12), generic over any DataFrame.
 
 Per-column statistics are computed in ONE aggregate pass and unpivoted with ``stack`` (never a
-loop of per-column jobs).  Exact distinct counts over many columns use one keyed shuffle: the
-columns are unpivoted to ``(column, value)`` pairs, de-duplicated with partial aggregation, and
-counted per column, instead of N ``COUNT(DISTINCT)``s (which Spark plans as an ``Expand`` that
-multiplies every row by N).  Rounding follows pandas (half-even: ``bround``).
+loop of per-column jobs).  Exact distinct counts over many columns share one keyed shuffle: the
+columns are unpivoted to ``(column, value)`` text pairs, de-duplicated with partial aggregation,
+and counted per column (one hash aggregate for all columns, whatever their types); at very large
+scale ``exact=False`` switches to HyperLogLog++ sketches.  Rounding follows pandas (half-even:
+``bround``).
 """
 
 from __future__ import annotations
@@ -54,9 +55,21 @@ def nulls_report(df: DataFrame) -> DataFrame:
         .orderBy(F.col("null_pct").desc(), "column")
 
 
-def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Exact non-null distinct count per column via one unpivot + keyed aggregate."""
+def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None,
+                    exact: bool = True, rsd: float = 0.01) -> DataFrame:
+    """Non-null distinct count per column.
+
+    Exact: one unpivot to ``(column, value-as-text)`` and one keyed de-duplication (map-side
+    partial aggregation collapses repeats before the shuffle, so a hot value costs one row per
+    task).  ``exact=False``: HyperLogLog++ sketches (``approx_count_distinct``, relative error
+    ``rsd``) in a single aggregate with bounded memory and no shuffle of the data."""
     cols = list(columns or df.columns)
+    if not exact:
+        one = df.agg(*[F.approx_count_distinct(F.col(_q(c)), rsd).alias(f"d{i}")
+                       for i, c in enumerate(cols)])
+        stack = ", ".join(f"{_lit(c)}, d{i}" for i, c in enumerate(cols))
+        return one.select(F.expr(f"stack({len(cols)}, {stack}) as (column, unique_count)")) \
+            .withColumn("unique_count", F.col("unique_count").cast("bigint"))
     stack = ", ".join(f"{_lit(c)}, CAST({_q(c)} AS STRING)" for c in cols)
     pairs = df.select(F.expr(f"stack({len(cols)}, {stack}) as (column, value)")) \
         .where(F.col("value").isNotNull())

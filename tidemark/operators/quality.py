@@ -17,7 +17,7 @@ import datetime as _dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -107,24 +107,32 @@ def _sql_str(v: str) -> str:
 def evaluate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """The report DataFrame ``(check, kind, status, unexpected, observed)`` in rule order.
 
-    Row rules share one aggregate (unpivoted with ``stack``); each uniqueness rule adds one keyed
-    aggregate; type rules are resolved from the schema.  The result is small and lazy."""
-    spark: SparkSession = df.sparkSession
+    Row rules share one aggregate (unpivoted with ``stack``; plan-time type results ride along as
+    literal rows); each uniqueness rule adds one keyed aggregate.  The result is small and lazy."""
     frames: list[DataFrame] = []
     row_aggs = _row_aggs(rules)
     pos_of = {r.name: i for i, r in enumerate(rules)}
-    if row_aggs:
-        exprs = []
+    type_rows = []
+    for pos, r in enumerate(rules):
+        if r.kind == "type":
+            ok_t = _type_ok(df, r.columns[0], r.dtype)
+            type_rows.append(f"{pos}, {_sql_str(r.name)}, 'type', CAST(1.0 AS DOUBLE), "
+                             f"CAST({0 if ok_t else 1} AS BIGINT), CAST(1 AS BIGINT)")
+        elif r.kind not in ("not_null", "between", "in_set", "row_count", "unique"):
+            raise ValueError(f"unknown rule kind {r.kind}")
+    if row_aggs or type_rows:
+        exprs = [F.count(F.lit(1)).alias("_rows")]
         for i, a in enumerate(row_aggs):
             exprs += [a.unexpected.cast("bigint").alias(f"u{i}"),
                       a.observed.cast("bigint").alias(f"o{i}")]
         one = df.agg(*exprs)
-        stack = ", ".join(
+        entries = [
             f"{pos_of[a.rule.name]}, {_sql_str(a.rule.name)}, {_sql_str(a.rule.kind)}, "
             f"CAST({float(a.rule.mostly)} AS DOUBLE), u{i}, o{i}"
-            for i, a in enumerate(row_aggs))
+            for i, a in enumerate(row_aggs)] + type_rows
         rows = one.select(F.expr(
-            f"stack({len(row_aggs)}, {stack}) as (_pos, check, kind, mostly, unexpected, observed)"))
+            f"stack({len(entries)}, {', '.join(entries)}) "
+            "as (_pos, check, kind, mostly, unexpected, observed)"))
         u, o = F.col("unexpected"), F.col("observed")
         ok = F.when((F.col("kind") == "between") & (F.col("mostly") < 1.0),
                     (o == 0) | ((o - u) / o >= F.col("mostly"))).otherwise(u == 0)
@@ -139,14 +147,6 @@ def evaluate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
                 F.when(F.col("duplicate_groups") == 0, "PASS").otherwise("FAIL").alias("status"),
                 F.col("duplicate_groups").cast("bigint").alias("unexpected"),
                 F.col("duplicate_rows").cast("bigint").alias("observed")))
-        elif r.kind == "type":
-            ok_t = _type_ok(df, r.columns[0], r.dtype)
-            frames.append(spark.createDataFrame(
-                [(pos, r.name, r.kind, "PASS" if ok_t else "FAIL", 0 if ok_t else 1, 1)],
-                "_pos int, check string, kind string, status string, unexpected bigint, "
-                "observed bigint"))
-        elif r.kind not in ("not_null", "between", "in_set", "row_count"):
-            raise ValueError(f"unknown rule kind {r.kind}")
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)

@@ -41,7 +41,9 @@ def bronze_to_silver(bronze: DataFrame, path: str, cfg: PanelConfig,
 def silver_to_gold(silver: DataFrame, base: str, cfg: PanelConfig) -> tuple[dict[str, str], dict[str, int]]:
     star = gold.build_star(silver, cfg)
     dims = write_star({"dim_country": star.dim_country, "dim_date": star.dim_date,
-                       "dim_income_group": star.dim_income}, base)
+                       "dim_income_group": star.dim_income}, base,
+                      {"dim_country": star.country_rows, "dim_date": star.date_rows,
+                       "dim_income_group": star.country_rows})
     spark = silver.sparkSession
     dc = spark.read.schema(star.dim_country.schema).parquet(dims["dim_country"])
     dd = spark.read.schema(star.dim_date.schema).parquet(dims["dim_date"])
