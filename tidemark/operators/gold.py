@@ -48,20 +48,31 @@ class Star:
                 "dim_date": self.dim_date, "dim_income_group": self.dim_income}
 
 
+NUMERIC_ATTRIBUTES = ("population", "median_age", "gdp_per_capita", "human_development_index")
+
+
 def country_attributes(silver: DataFrame, cfg: PanelConfig) -> DataFrame:
-    """One row per entity with its latest non-null attributes."""
+    """One row per entity with its latest non-null attributes.
+
+    Two levels, so the pass over Silver is a hash aggregate with fixed-width buffers only
+    (``max_by`` over a string value would force a sort-based aggregate, i.e. a sort of every
+    Silver row): level 1 groups by ``(entity, name, group)`` and keeps, per numeric attribute,
+    the value at its latest non-null date plus that date; level 2 reduces the few level-1 rows
+    per entity (about one per entity) with ``max_by``."""
     d = F.col("date")
 
-    def latest(c: str):
-        return F.max_by(F.col(c), F.when(F.col(c).isNotNull(), d))
+    def guarded(c: str):
+        return F.when(F.col(c).isNotNull(), d)
 
-    return silver.groupBy("iso_code").agg(
-        latest("location").alias("country_name"),
-        latest("continent").alias("continent"),
-        latest("population").alias("population"),
-        latest("median_age").alias("median_age"),
-        latest("gdp_per_capita").alias("gdp_per_capita"),
-        latest("human_development_index").alias("human_development_index"),
+    lvl1 = silver.groupBy("iso_code", "location", "continent").agg(
+        F.max(d).alias("_d"),
+        *[F.max_by(F.col(c), guarded(c)).alias(c) for c in NUMERIC_ATTRIBUTES],
+        *[F.max(guarded(c)).alias(f"_d_{c}") for c in NUMERIC_ATTRIBUTES],
+    )
+    return lvl1.groupBy("iso_code").agg(
+        F.max_by("location", F.when(F.col("location").isNotNull(), F.col("_d"))).alias("country_name"),
+        F.max_by("continent", F.when(F.col("continent").isNotNull(), F.col("_d"))).alias("continent"),
+        *[F.max_by(F.col(c), F.col(f"_d_{c}")).alias(c) for c in NUMERIC_ATTRIBUTES],
     )
 
 
@@ -108,11 +119,16 @@ def fact(silver: DataFrame, dim_country_df: DataFrame, dim_date_df: DataFrame,
     return joined.select(*FACT_COLUMNS)
 
 
-def build_star(silver: DataFrame, cfg: PanelConfig) -> Star:
+def build_star(silver: DataFrame, cfg: PanelConfig, persist=None) -> Star:
     """All four Gold tables.  Silver should already be materialised (written or checkpointed):
-    key assignment runs small actions over it."""
+    key assignment runs small actions over it.  ``persist(df, name, rows)`` (optional) stores
+    each keyed dimension once, so plans that use a dimension several times read the small
+    stored copy instead of re-running its aggregate and key window over Silver."""
     dc, crows = dim_country(silver, cfg)
     dd, drows = dim_date(silver, cfg)
+    if persist is not None:
+        dc = persist(dc, "dim_country", crows)
+        dd = persist(dd, "dim_date", drows)
     di = dim_income(dc, cfg)
     fc = fact(silver, dc, dd, cfg, crows, drows)
     return Star(fc, dc, dd, di, crows, drows)

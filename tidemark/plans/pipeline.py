@@ -39,18 +39,21 @@ def bronze_to_silver(bronze: DataFrame, path: str, cfg: PanelConfig,
 
 
 def silver_to_gold(silver: DataFrame, base: str, cfg: PanelConfig) -> tuple[dict[str, str], dict[str, int]]:
-    star = gold.build_star(silver, cfg)
-    dims = write_star({"dim_country": star.dim_country, "dim_date": star.dim_date,
-                       "dim_income_group": star.dim_income}, base,
-                      {"dim_country": star.country_rows, "dim_date": star.date_rows,
-                       "dim_income_group": star.country_rows})
+    """Dimensions are written as soon as their keys exist and read back, so the fact (and every
+    later reader) joins the stored keys."""
     spark = silver.sparkSession
-    dc = spark.read.schema(star.dim_country.schema).parquet(dims["dim_country"])
-    dd = spark.read.schema(star.dim_date.schema).parquet(dims["dim_date"])
-    fact = gold.fact(silver, dc, dd, cfg, star.country_rows, star.date_rows)
+    base = base.rstrip("/")
+    paths: dict[str, str] = {}
+
+    def persist(df: DataFrame, name: str, rows: int) -> DataFrame:
+        paths.update(write_star({name: df}, base, {name: rows}))
+        return spark.read.schema(df.schema).parquet(paths[name])
+
+    star = gold.build_star(silver, cfg, persist=persist)
+    paths.update(write_star({"dim_income_group": star.dim_income}, base,
+                            {"dim_income_group": star.country_rows}))
     obs = Observation("fact")
-    fact = fact.observe(obs, F.count(F.lit(1)).alias("rows"))
-    paths = dict(dims)
+    fact = star.fact.observe(obs, F.count(F.lit(1)).alias("rows"))
     paths.update(write_star({"fact_covid_cases": fact}, base))
     counts = {"fact_rows": int(obs.get["rows"]), "dim_country_rows": star.country_rows,
               "dim_date_rows": star.date_rows, "dim_income_rows": star.country_rows}

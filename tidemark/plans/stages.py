@@ -28,21 +28,27 @@ def silver(spark: SparkSession, sf_dir: str, cfg: PanelConfig = TABLE_CONFIG) ->
     return silver_ops.transform(bronze(spark, sf_dir), cfg)
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+SINGLE_FILE_MAX_ROWS = 1_000_000
+
+
+def materialize(df: DataFrame, name: str = "stage", rows: int | None = None) -> DataFrame:
     """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
 
     Unlike ``Dataset.checkpoint`` (which computes an uncached plan twice: once for the job and
     once for the checkpoint file) the plan runs once, the copy is columnar and compressed, and
-    later scans get column pruning and filter pushdown."""
+    later scans get column pruning and filter pushdown.  A table with a known small row count
+    is written as one file."""
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/tidemark/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    out = df.coalesce(1) if rows is not None and rows <= SINGLE_FILE_MAX_ROWS else df
+    out.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def star(spark: SparkSession, sf_dir: str, cfg: PanelConfig = TABLE_CONFIG) -> gold.Star:
-    return gold.build_star(materialize(silver(spark, sf_dir, cfg), "silver"), cfg)
+    return gold.build_star(materialize(silver(spark, sf_dir, cfg), "silver"), cfg,
+                           persist=materialize)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
