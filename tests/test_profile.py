@@ -29,3 +29,22 @@ def test_null_report_only_columns_with_nulls(spark):
     assert rep and all(r["null_count"] > 0 for r in rep)
     pcts = [r["null_pct"] for r in rep]
     assert pcts == sorted(pcts, reverse=True)
+
+
+def test_exact_quantiles_match_percentile(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.quantiles import exact_quantiles
+    df = spark.range(0, 20000).select(
+        ((F.col("id") * 7919) % 1013).cast("double").alias("a"),
+        F.when(F.col("id") % 3 == 0, F.lit(5.0)).otherwise(F.col("id") / 7.0).alias("b"),
+        F.lit(None).cast("double").alias("empty"))
+    probs = (0.0, 0.25, 0.5, 0.75, 0.9, 1.0)
+    got = {(r[0], r[1]): r[2] for r in exact_quantiles(df, ["a", "b", "empty"], probs,
+                                                       max_group=500, accuracy=100).collect()}
+    exp = df.agg(*[F.percentile(c, F.array(*[F.lit(p) for p in probs])).alias(c)
+                   for c in ("a", "b")]).first()
+    for c in ("a", "b"):
+        for p, v in zip(probs, exp[c]):
+            assert got[(c, p)] == __import__("pytest").approx(v, rel=1e-12, abs=1e-9)
+    assert got[("empty", 0.5)] is None

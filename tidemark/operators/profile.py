@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.quantiles import exact_quantiles
+
 
 def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
@@ -115,22 +117,28 @@ DESCRIBE_STATS = ("count", "mean", "std", "min", "25%", "50%", "75%", "max")
 
 def describe(df: DataFrame, columns: Sequence[str], exact: bool = True,
              accuracy: int = 10000) -> DataFrame:
-    """Pandas-style ``describe().round(2)`` for the present columns, one aggregate.
+    """Pandas-style ``describe().round(2)`` for the present columns.
 
-    Rows are ``(column, count, mean, std, min, p25, p50, p75, max)``.  ``exact`` uses Spark's
-    ``percentile`` (linear interpolation, as pandas); its buffer holds the distinct values of a
-    column, so for very high-cardinality columns at scale pass ``exact=False`` for the bounded
-    ``percentile_approx`` sketch."""
+    Rows are ``(column, count, mean, std, min, p25, p50, p75, max)``.  Count, mean, std, min and
+    max come from one aggregate.  Quartiles: ``exact`` uses ``operators.quantiles`` (exact
+    order statistics with linear interpolation, selected without sending a column through one
+    task); ``exact=False`` uses the bounded ``percentile_approx`` sketch in the same aggregate."""
     cols = [c for c in columns if c in df.columns]
     exprs = []
     for i, c in enumerate(cols):
         x = F.col(_q(c)).cast("double")
-        pct = (F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))) if exact
-               else F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy))
         exprs += [F.count(x).alias(f"c{i}"), F.avg(x).alias(f"m{i}"),
                   F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"),
-                  pct.alias(f"p{i}"), F.max(x).alias(f"hi{i}")]
+                  F.max(x).alias(f"hi{i}")]
+        if not exact:
+            exprs.append(F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy).alias(f"p{i}"))
     one = df.agg(*exprs)
+    if exact:
+        qs = exact_quantiles(df, cols, (0.25, 0.5, 0.75)).collect()   # 3 rows per column
+        by = {(r["column"], r["prob"]): r["value"] for r in qs}
+        for i, c in enumerate(cols):
+            one = one.withColumn(f"p{i}", F.array(*[F.lit(by[(c, p)]).cast("double")
+                                                    for p in (0.25, 0.5, 0.75)]))
     stack = ", ".join(f"{_lit(c)}, c{i}, m{i}, s{i}, lo{i}, p{i}, hi{i}" for i, c in enumerate(cols))
     s = one.select(F.expr(f"stack({len(cols)}, {stack}) as (column, n, mean, std, mn, p, mx)"))
     r = lambda e: F.bround(e, 2)
