@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.quantiles import exact_quantiles
+from tidemark.operators.quantiles import long_values, quantiles_of_values, sketch_exprs
+from tidemark.session import materialize
 
 
 def _q(name: str) -> str:
@@ -119,29 +120,46 @@ def describe(df: DataFrame, columns: Sequence[str], exact: bool = True,
              accuracy: int = 10000) -> DataFrame:
     """Pandas-style ``describe().round(2)`` for the present columns.
 
-    Rows are ``(column, count, mean, std, min, p25, p50, p75, max)``.  Count, mean, std, min and
-    max come from one aggregate.  Quartiles: ``exact`` uses ``operators.quantiles`` (exact
-    order statistics with linear interpolation, selected without sending a column through one
-    task); ``exact=False`` uses the bounded ``percentile_approx`` sketch in the same aggregate."""
+    Rows are ``(column, count, mean, std, min, p25, p50, p75, max)``.
+
+    * ``exact`` (default): the ``(column, value)`` pairs are written once, the moments come from
+      one keyed aggregate over them and the quartiles from ``operators.quantiles`` (exact order
+      statistics with linear interpolation, never sending a column through one task).
+    * ``exact=False``: one aggregate over ``df`` with the bounded ``percentile_approx`` sketch."""
     cols = [c for c in columns if c in df.columns]
-    exprs = []
-    for i, c in enumerate(cols):
-        x = F.col(_q(c)).cast("double")
-        exprs += [F.count(x).alias(f"c{i}"), F.avg(x).alias(f"m{i}"),
-                  F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"),
-                  F.max(x).alias(f"hi{i}")]
-        if not exact:
-            exprs.append(F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy).alias(f"p{i}"))
-    one = df.agg(*exprs)
+    r = lambda e: F.bround(e, 2)
     if exact:
-        qs = exact_quantiles(df, cols, (0.25, 0.5, 0.75)).collect()   # 3 rows per column
-        by = {(r["column"], r["prob"]): r["value"] for r in qs}
+        vals = materialize(long_values(df, cols), "describe_values")
+        agg = vals.groupBy("column").agg(
+            F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"), F.min("x").alias("mn"),
+            F.max("x").alias("mx"), *sketch_exprs(accuracy)).collect()       # one row per column
+        sketches = {r["column"]: (r["n"], r["qs"]) for r in agg}
+        qs = quantiles_of_values(vals, cols, (0.25, 0.5, 0.75), accuracy=accuracy,
+                                 sketches=sketches).collect()
+        spark = df.sparkSession
+        moments = spark.createDataFrame(
+            [(r["column"], r["n"], r["mean"], r["std"], r["mn"], r["mx"]) for r in agg],
+            "column string, n bigint, mean double, std double, mn double, mx double")
+        qdf = spark.createDataFrame(
+            [(c, *[next(q["value"] for q in qs if q["column"] == c and q["prob"] == p)
+                   for p in (0.25, 0.5, 0.75)]) for c in cols],
+            "column string, q25 double, q50 double, q75 double")
+        names = spark.createDataFrame([(c,) for c in cols], "column string")
+        s = names.join(F.broadcast(moments), "column", "left").join(F.broadcast(qdf), "column")
+        s = s.select("column", F.coalesce("n", F.lit(0)).alias("n"), "mean", "std", "mn",
+                     F.array("q25", "q50", "q75").alias("p"), "mx")
+    else:
+        exprs = []
         for i, c in enumerate(cols):
-            one = one.withColumn(f"p{i}", F.array(*[F.lit(by[(c, p)]).cast("double")
-                                                    for p in (0.25, 0.5, 0.75)]))
-    stack = ", ".join(f"{_lit(c)}, c{i}, m{i}, s{i}, lo{i}, p{i}, hi{i}" for i, c in enumerate(cols))
-    s = one.select(F.expr(f"stack({len(cols)}, {stack}) as (column, n, mean, std, mn, p, mx)"))
-    r = lambda e: F.bround(e, 2)
+            x = F.col(_q(c)).cast("double")
+            exprs += [F.count(x).alias(f"c{i}"), F.avg(x).alias(f"m{i}"),
+                      F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"),
+                      F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy).alias(f"p{i}"),
+                      F.max(x).alias(f"hi{i}")]
+        stack = ", ".join(f"{_lit(c)}, c{i}, m{i}, s{i}, lo{i}, p{i}, hi{i}"
+                          for i, c in enumerate(cols))
+        s = df.agg(*exprs).select(
+            F.expr(f"stack({len(cols)}, {stack}) as (column, n, mean, std, mn, p, mx)"))
     return s.select(
         "column", F.col("n").cast("bigint").alias("count"), r(F.col("mean")).alias("mean"),
         r(F.col("std")).alias("std"), r(F.col("mn")).alias("min"),

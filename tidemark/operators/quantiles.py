@@ -27,6 +27,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import materialize
+
 MARGIN_STEPS = 4
 
 
@@ -66,30 +68,60 @@ def _sketch(vals: DataFrame, pending: dict, ranges: dict, accuracy: int) -> dict
     stats = j.groupBy("tid").agg(
         F.count(F.lit(1)).alias("m"),
         F.percentile_approx("x", [i / GRID for i in range(GRID + 1)], accuracy).alias("qs"))
-    out = {}
-    for r in stats.collect():
-        tid, m, qs = r["tid"], r["m"], r["qs"]
-        rlo, rhi, rlo_open, rhi_open, before = ranges[tid]
-        local = pending[tid][1] - before
-        err = MARGIN_STEPS * max(1.0 / max(m, 1), 1.0 / accuracy)
-        p = local / max(m - 1, 1)
-        i_lo = max(0, math.floor((p - err) * GRID))
-        i_hi = min(GRID, math.ceil((p + err) * GRID))
-        lo = (qs[i_lo], False) if i_lo > 0 else (rlo, rlo_open)
-        hi = (qs[i_hi], False) if i_hi < GRID else (rhi, rhi_open)
-        out[tid] = (lo[0], hi[0], lo[1], hi[1])
-    return out
+    return {r["tid"]: _bracket(r["qs"], r["m"], pending[r["tid"]][1], accuracy, ranges[r["tid"]])
+            for r in stats.collect()}
+
+
+def _bracket(qs, m: int, rank: int, accuracy: int, rng: tuple) -> tuple:
+    """Closed bracket around ``rank`` from a grid sketch of the ``m`` values of range ``rng``."""
+    rlo, rhi, rlo_open, rhi_open, before = rng
+    local = rank - before
+    err = MARGIN_STEPS * max(1.0 / max(m, 1), 1.0 / accuracy)
+    p = local / max(m - 1, 1)
+    i_lo = max(0, math.floor((p - err) * GRID))
+    i_hi = min(GRID, math.ceil((p + err) * GRID))
+    lo = (qs[i_lo], False) if i_lo > 0 else (rlo, rlo_open)
+    hi = (qs[i_hi], False) if i_hi < GRID else (rhi, rhi_open)
+    return (lo[0], hi[0], lo[1], hi[1])
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
                     max_group: int = 1_000_000, accuracy: int = 10_000,
-                    max_rounds: int = 24) -> DataFrame:
-    """Rows ``(column, prob, value)``; NULL/NaN values are ignored; an empty column gives NULL."""
-    spark = df.sparkSession
+                    max_rounds: int = 24, materialize_input: bool = True) -> DataFrame:
+    """Rows ``(column, prob, value)``; NULL/NaN values are ignored; an empty column gives NULL.
+
+    The selection makes a few passes over the values, so by default the ``(column, value)``
+    pairs are written once to the shared checkpoint folder first (the input plan runs once);
+    pass ``materialize_input=False`` when ``df`` is a plain, cheap scan."""
+    vals = _long(df, list(columns))
+    if materialize_input:
+        vals = materialize(vals, "quantile_values")
+    return quantiles_of_values(vals, columns, probs, max_group, accuracy, max_rounds)
+
+
+def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(column, x)`` pairs of the non-null, non-NaN values of ``columns`` (as DOUBLE)."""
+    return _long(df, list(columns))
+
+
+def sketch_exprs(accuracy: int) -> list:
+    """Per-column aggregate expressions over ``(column, x)``: count and the quantile grid."""
+    return [F.count(F.lit(1)).alias("n"),
+            F.percentile_approx("x", [i / GRID for i in range(GRID + 1)], accuracy).alias("qs")]
+
+
+def quantiles_of_values(vals: DataFrame, columns: Sequence[str], probs: Sequence[float],
+                        max_group: int = 1_000_000, accuracy: int = 10_000,
+                        max_rounds: int = 24, sketches: dict | None = None) -> DataFrame:
+    """``exact_quantiles`` over ``(column, x)`` pairs (see ``long_values``).  ``sketches``
+    (column -> (n, grid)) may come from an aggregate the caller already runs (``sketch_exprs``);
+    otherwise one per-column aggregate computes them."""
+    spark = vals.sparkSession
     cols = list(columns)
-    vals = _long(df, cols)
-    counts = {r["column"]: r["n"] for r in
-              vals.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if sketches is None:
+        sketches = {r["column"]: (r["n"], r["qs"]) for r in
+                    vals.groupBy("column").agg(*sketch_exprs(accuracy)).collect()}
+    counts = {c: v[0] for c, v in sketches.items()}
     targets: dict[int, tuple[str, int]] = {}
     index: dict[tuple[str, int], int] = {}
     for c in cols:
@@ -106,10 +138,15 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     at: dict[int, float] = {}
     select: dict[int, tuple] = {}
     pending = dict(targets)
-    for _ in range(max_rounds):
+    for round_no in range(max_rounds):
         if not pending:
             break
-        br = _sketch(vals, pending, ranges, accuracy)
+        if round_no == 0:      # unrestricted ranges: the per-column sketches are the brackets
+            br = {tid: _bracket(sketches[c][1], sketches[c][0], rank, accuracy,
+                                (None, None, False, False, 0))
+                  for tid, (c, rank) in pending.items()}
+        else:
+            br = _sketch(vals, pending, ranges, accuracy)
         t = spark.createDataFrame(
             [(tid, pending[tid][0], *ranges[tid][:4], *br[tid]) for tid in pending],
             RANGE_SCHEMA + ", blo double, bhi double, blo_open boolean, bhi_open boolean")

@@ -8,13 +8,12 @@ executor re-reads the checkpoint instead of replaying the join.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.config import PanelConfig
 from tidemark.operators import gold, silver as silver_ops
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import materialize as _materialize
+from tidemark.session import scratch_path
 from tidemark.sources.panel import panel
 
 TABLE_CONFIG = PanelConfig.for_tables()
@@ -28,22 +27,9 @@ def silver(spark: SparkSession, sf_dir: str, cfg: PanelConfig = TABLE_CONFIG) ->
     return silver_ops.transform(bronze(spark, sf_dir), cfg)
 
 
-SINGLE_FILE_MAX_ROWS = 1_000_000
-
-
 def materialize(df: DataFrame, name: str = "stage", rows: int | None = None) -> DataFrame:
-    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
-
-    Unlike ``Dataset.checkpoint`` (which computes an uncached plan twice: once for the job and
-    once for the checkpoint file) the plan runs once, the copy is columnar and compressed, and
-    later scans get column pruning and filter pushdown.  A table with a known small row count
-    is written as one file."""
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/tidemark/{name}-{uuid.uuid4().hex}"
-    out = df.coalesce(1) if rows is not None and rows <= SINGLE_FILE_MAX_ROWS else df
-    out.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """See ``tidemark.session.materialize``."""
+    return _materialize(df, name, rows)
 
 
 def star(spark: SparkSession, sf_dir: str, cfg: PanelConfig = TABLE_CONFIG) -> gold.Star:
@@ -53,5 +39,4 @@ def star(spark: SparkSession, sf_dir: str, cfg: PanelConfig = TABLE_CONFIG) -> g
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder name under the shared checkpoint folder (for landing zones and sinks)."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tidemark/{name}-{uuid.uuid4().hex}"
+    return scratch_path(spark, name)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -44,3 +45,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(current)
     return current
+
+
+SINGLE_FILE_MAX_ROWS = 1_000_000
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder name under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df, name: str = "stage", rows: int | None = None):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
+
+    This cuts lineage (a lost executor re-reads the copy instead of replaying the plan) and,
+    unlike ``Dataset.checkpoint`` on an uncached plan, computes the plan only once.  A table with
+    a known small row count is written as one file."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    out = df.coalesce(1) if rows is not None and rows <= SINGLE_FILE_MAX_ROWS else df
+    out.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
