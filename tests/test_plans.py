@@ -52,3 +52,13 @@ def test_silver_is_narrow_over_panel(spark):
     n_b = _plan(b).count("Exchange")
     n_s = _plan(silver.transform(b, stages.TABLE_CONFIG)).count("Exchange")
     assert n_s == n_b                                  # Silver adds no shuffle
+
+
+def test_year_partitioned_silver_prunes(spark):
+    from tidemark.sources import files
+    path = stages.scratch(spark, "silver_by_year")
+    files.write_layer(stages.silver(spark, SF_SMALL), path, partition_by=("record_year",))
+    df = files.read_layer(spark, path).where(F.col("record_year") == 1996)
+    plan = _plan(df)
+    assert "PartitionFilters: [isnotnull(record_year" in plan and "= 1996)" in plan
+    assert df.count() == stages.silver(spark, SF_SMALL).where(F.col("record_year") == 1996).count()

@@ -145,11 +145,13 @@ def list_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
 
 
 def stream_files(spark: SparkSession, folder: str, bucket: str, sink: str, checkpoint: str,
-                 glob: str = "*"):
+                 glob: str = "*", max_files_per_trigger: int = 10_000):
     """Audit every file arriving in ``folder`` into the Parquet table ``sink``; processes the
-    backlog and stops (``availableNow``).  Returns the finished ``StreamingQuery``."""
+    backlog in bounded micro-batches and stops (``availableNow``).  Returns the finished
+    ``StreamingQuery``."""
     files = (spark.readStream.format("binaryFile").schema(BINARY_SCHEMA)
-             .option("pathGlobFilter", glob).load(folder)
+             .option("pathGlobFilter", glob).option("maxFilesPerTrigger", max_files_per_trigger)
+             .load(folder)
              .select("path", "modificationTime", "length"))
     q = (files_audit(files, bucket).writeStream.format("parquet")
          .option("path", sink).option("checkpointLocation", checkpoint)
