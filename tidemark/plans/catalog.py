@@ -16,13 +16,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Query, str | None]] = {}
 
 
-def register(name: str, sql: str | None):
-    def deco(fn: Query) -> Query:
-        REGISTRY[name] = (fn, sql)
-        return fn
-    return deco
-
-
 def _star_query(name: str, fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(stages.star(spark, sf_dir))
