@@ -52,3 +52,18 @@ def test_load_enforces_varchar_and_register(spark, tmp_path):
 def test_constraints_clean_on_built_star(spark):
     v = warehouse.constraint_violations(stages.star(spark, SF_SMALL)).collect()
     assert len(v) == 14 and all(r["violations"] == 0 for r in v)
+
+
+def test_layout_choice_follows_key_skew(spark, tmp_path):
+    from pyspark.sql import functions as F
+    even = spark.range(0, 30000).select((F.col("id") % 30).alias("country_key"),
+                                        (F.col("id") % 1000).alias("date_key"))
+    hot = spark.range(0, 30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 30).alias("country_key"),
+        (F.col("id") % 1000).alias("date_key"))
+    assert warehouse.max_key_share(hot, "country_key") > 0.3
+    t = f"even_{uuid.uuid4().hex[:8]}"
+    assert warehouse.write_fact_auto(even, 8, table=t, path=str(tmp_path / "even")) == "bucketed"
+    assert warehouse.write_fact_auto(hot, 8, table=f"hot_{uuid.uuid4().hex[:8]}",
+                                     path=str(tmp_path / "hot")) == "rebalanced"
+    assert spark.read.parquet(str(tmp_path / "hot")).count() == 30000

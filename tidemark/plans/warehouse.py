@@ -4,10 +4,11 @@ physical layout and the constraints a Parquet table does not enforce.
 * ``create_star`` declares the four tables with the reference's column types
   (``VARCHAR(n)`` lengths are checked on insert by Spark's store assignment).
 * ``load_star`` inserts the Gold tables *by name* (ANSI store assignment checks types).
-* ``write_fact`` is the fact layout: bucketed by ``country_key`` and sorted by ``date_key``
-  inside each bucket (the counterpart of a distribution key plus a sort key), so a later
-  aggregation or join on ``country_key`` reads co-located buckets without an ``Exchange``, and
-  row-group min/max statistics on ``date_key`` stay tight for date-range pruning.
+* ``write_fact_bucketed`` is the counterpart of a distribution key plus a sort key: bucketed by
+  ``country_key`` and sorted by ``date_key`` inside each bucket, so a later aggregation or join
+  on ``country_key`` reads co-located buckets without an ``Exchange`` and row-group min/max
+  statistics on ``date_key`` stay tight.  ``write_fact_auto`` uses it only when the measured key
+  distribution is not skewed, and otherwise writes rebalanced, sorted Parquet (``write_fact``).
 * ``constraint_violations`` enforces NOT NULL / PRIMARY KEY / FOREIGN KEY / VARCHAR length,
   which Parquet tables accept but do not check.
 """
@@ -97,7 +98,8 @@ def write_fact(fact: DataFrame, path: str) -> None:
 
 def write_fact_bucketed(fact: DataFrame, table: str, buckets: int = 64,
                         path: str | None = None) -> None:
-    """Bucketed catalog table: a later group-by / join on ``country_key`` needs no Exchange."""
+    """Bucketed catalog table: a later group-by / join on ``country_key`` needs no Exchange.
+    Only for keys without heavy skew (see ``write_fact_auto``)."""
     w = fact.write.mode("overwrite").bucketBy(buckets, "country_key").sortBy("date_key") \
         .format("parquet")
     if path:
@@ -105,6 +107,33 @@ def write_fact_bucketed(fact: DataFrame, table: str, buckets: int = 64,
     w.saveAsTable(table)
 
 
+def max_key_share(df: DataFrame, key: str) -> float:
+    """Largest share of rows held by one value of ``key`` (a keyed count with map-side partial
+    aggregation, then a one-row aggregate; nothing per key reaches the driver)."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    row = counts.agg(F.max("n").alias("top"), F.sum("n").alias("total")).first()
+    return 0.0 if not row["total"] else float(row["top"]) / float(row["total"])
+
+
+def write_fact_auto(fact: DataFrame, buckets: int, table: str | None = None,
+                    path: str | None = None, skew_factor: float = 2.0) -> str:
+    """Pick the fact layout from the measured key distribution.
+
+    A bucketed scan reads each bucket in one task, so bucketing by ``country_key`` is only safe
+    when no country holds much more than its fair share (``skew_factor / buckets`` of the rows).
+    Otherwise the fact is written as rebalanced Parquet sorted by ``(country_key, date_key)``:
+    AQE splits the hot country over several files/tasks.  Returns ``"bucketed"`` or
+    ``"rebalanced"``."""
+    share = max_key_share(fact, "country_key")
+    if table is not None and share <= skew_factor / buckets:
+        write_fact_bucketed(fact, table, buckets, path)
+        return "bucketed"
+    if path is None:
+        raise ValueError("a path is needed for the rebalanced layout")
+    write_fact(fact, path)
+    return "rebalanced"
+
+
 def constraint_violations(star: Star) -> DataFrame:
     """``(constraint, violations)`` for the DDL's NOT NULL / PK / FK / VARCHAR rules.
 
