@@ -43,14 +43,15 @@ STAR_TABLES = ("fact_covid_cases", "dim_country", "dim_date", "dim_income_group"
 
 
 def create_star(spark: SparkSession, database: str, location: str | None = None,
-                fact_buckets: int = 64) -> None:
-    """``CREATE TABLE IF NOT EXISTS`` for the four tables (Parquet).  The fact is bucketed by
-    ``country_key`` and sorted by ``date_key``."""
+                fact_buckets: int | None = 64) -> None:
+    """``CREATE TABLE IF NOT EXISTS`` for the four tables (Parquet).  With ``fact_buckets`` the
+    fact is bucketed by ``country_key`` and sorted by ``date_key``; pass ``None`` when the key is
+    skewed (``max_key_share``) to keep a plain table."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}"
               + (f" LOCATION '{location}'" if location else ""))
     for name in STAR_TABLES:
         layout = (f" CLUSTERED BY (country_key) SORTED BY (date_key) INTO {fact_buckets} BUCKETS"
-                  if name == "fact_covid_cases" else "")
+                  if name == "fact_covid_cases" and fact_buckets else "")
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({DDL[name]}) USING parquet"
                   + layout)
 
