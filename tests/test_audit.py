@@ -41,3 +41,9 @@ def test_stream_files_only_new(spark, tmp_path):
     audit.stream_files(spark, str(landing), "b-bronze", sink, ckpt, "*.csv")
     got = sorted(os.path.basename(r["file_key"]) for r in spark.read.parquet(sink).collect())
     assert got == ["a.csv", "b.csv"]
+
+
+def test_timestamp_option(spark):
+    df = spark.createDataFrame([(_body("b-bronze", "k.csv", 10),)], "body string")
+    out = audit.from_events(df, with_timestamp=True)
+    assert out.columns[0] == "timestamp" and out.first()["timestamp"] is not None

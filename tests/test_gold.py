@@ -54,3 +54,14 @@ def test_one_dim_row_per_entity_and_no_fanout(spark):
     assert star.fact.where(F.col("date_key").isNull()).count() == 1   # NULL never matches
     inc = {r["iso_code"]: r["income_key"] for r in star.dim_income.collect()}
     assert inc == {k: v["country_key"] for k, v in dc.items()}
+
+
+def test_daily_trend_country_slicer(spark):
+    from conftest import SF_SMALL
+    from tidemark.plans import marts, stages
+    star = stages.star(spark, SF_SMALL)
+    name = star.dim_country.orderBy("country_key").first()["country_name"]
+    one = marts.m3_daily_trend(star, country=name)
+    alls = marts.m3_daily_trend(star)
+    assert 0 < one.count() < alls.count()
+    assert one.select("continent").distinct().count() == 1

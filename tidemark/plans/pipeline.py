@@ -73,3 +73,35 @@ def run(bronze: DataFrame, out_dir: str, cfg: PanelConfig, rules: tuple[Rule, ..
     paths, gold_counts = silver_to_gold(silver, f"{out}/gold", cfg)
     counts.update(gold_counts)
     return RunResult(silver_path, paths, counts, report)
+
+
+def main(argv: list[str] | None = None) -> int:
+    """``python -m tidemark.plans.pipeline --raw <csv folder> --out <lake folder>``: read the raw
+    panel CSV (header; explicit text schema from the header's column names), run Bronze ->
+    Silver -> gate -> Gold, print the observed counts.  Exit code 1 when the gate fails."""
+    import argparse
+    import json
+
+    from pyspark.sql import SparkSession
+
+    from tidemark.sources.files import read_panel_csv
+
+    ap = argparse.ArgumentParser(prog="tidemark.plans.pipeline")
+    ap.add_argument("--raw", required=True, help="raw panel CSV file or folder")
+    ap.add_argument("--out", required=True, help="output folder for silver/ and gold/")
+    ap.add_argument("--no-gate", action="store_true", help="report quality, do not stop")
+    args = ap.parse_args(argv)
+    spark = SparkSession.builder.appName("tidemark-pipeline").getOrCreate()
+    header = spark.read.option("header", True).csv(args.raw).columns   # names only
+    raw = read_panel_csv(spark, args.raw, header)
+    try:
+        res = run(raw, args.out, PanelConfig(), gate=not args.no_gate)
+    except quality.QualityError as exc:
+        print(json.dumps({"failed_checks": [r["check"] for r in exc.failed]}))
+        return 1
+    print(json.dumps({"counts": res.counts, "gold": res.gold_paths}))
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())
