@@ -129,7 +129,8 @@ def wh_load_counts(spark, sf_dir):
     """Typed DDL + bulk load by name, then the validation row counts from the loaded tables."""
     db = f"tm_wh_{uuid.uuid4().hex[:12]}"
     warehouse.create_star(spark, db, stages.scratch(spark, "warehouse"), fact_buckets=8)
-    warehouse.load_star(stages.star(spark, sf_dir).tables(), db)
+    res = pipeline.run(stages.bronze(spark, sf_dir), stages.scratch(spark, "run"), CFG, gate=False)
+    warehouse.copy_into(spark, res.gold_paths, db)          # COPY ... FORMAT AS PARQUET
     parts = [spark.table(f"{db}.{t}").agg(F.count(F.lit(1)).alias("row_count"))
              .select(F.lit(t).alias("table_name"), "row_count") for t in warehouse.STAR_TABLES]
     out = parts[0]
@@ -194,6 +195,17 @@ def audit_summary(spark, sf_dir):
     return audit.summary(_audit_rows(spark, sf_dir))
 
 
+@reg("stream_audit_events", AUDIT_REC_SQL + "SELECT * FROM aud")
+def stream_audit_events(spark, sf_dir):
+    """Notifications derived from ``events`` land as text files; the audit stream parses them."""
+    ev = read_table(spark, sf_dir, "events", "event_id", "ts", "event_type", "value", "props")
+    landing = stages.scratch(spark, "notifications")
+    audit.notifications_from_events(ev).write.mode("overwrite").text(landing)
+    sink = stages.scratch(spark, "audit_events_sink")
+    audit.stream_events(spark, landing, sink, stages.scratch(spark, "audit_events_ckpt"))
+    return spark.read.parquet(sink)
+
+
 @reg("audit_files")
 def audit_files(spark, sf_dir):
     """File-driven audit of the given table files (batch listing; rows-only check)."""

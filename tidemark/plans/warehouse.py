@@ -68,6 +68,14 @@ def load_star(star_tables: dict[str, DataFrame], database: str) -> dict[str, int
     return counts
 
 
+def copy_into(spark: SparkSession, paths: dict[str, str], database: str) -> dict[str, int]:
+    """Bulk load from written Gold Parquet folders (``COPY ... FORMAT AS PARQUET``): each folder
+    is read with the target table's schema and inserted by column name."""
+    tables = {name: spark.read.schema(spark.table(f"{database}.{name}").schema).parquet(path)
+              for name, path in paths.items()}
+    return load_star(tables, database)
+
+
 def _insert_by_name(df: DataFrame, target: str) -> None:
     spark = df.sparkSession
     cols = spark.table(target).columns
