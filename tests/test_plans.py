@@ -62,3 +62,14 @@ def test_year_partitioned_silver_prunes(spark):
     plan = _plan(df)
     assert "PartitionFilters: [isnotnull(record_year" in plan and "= 1996)" in plan
     assert df.count() == stages.silver(spark, SF_SMALL).where(F.col("record_year") == 1996).count()
+
+
+def test_sql_text_equals_dataframe_queries(spark):
+    from tidemark.plans import sql_text
+    star = stages.star(spark, SF_SMALL)
+    suffix = f"_{uuid.uuid4().hex[:8]}"
+    sql_text.register_star(star, suffix)
+    for name in ("q1_top_countries", "q4_by_wave", "q6_by_income", "q9_top10"):
+        a = sql_text.run(spark, name, suffix).collect()
+        b = getattr(queries, name)(star).collect()
+        assert [tuple(r) for r in a] == [tuple(r) for r in b], name

@@ -239,8 +239,9 @@ def _sql_entry(qname):
     def run(spark, sf_dir):
         res = pipeline.run(stages.bronze(spark, sf_dir), stages.scratch(spark, "run"), CFG,
                            gate=False)
-        warehouse.register(spark, res.gold_paths)          # written Gold as named views
-        return sql_text.run(spark, qname)
+        suffix = f"_{uuid.uuid4().hex[:12]}"                 # per-call view names
+        warehouse.register(spark, res.gold_paths, suffix=suffix)
+        return sql_text.run(spark, qname, suffix)
     return run
 
 

@@ -85,16 +85,17 @@ def _insert_by_name(df: DataFrame, target: str) -> None:
     spark.catalog.dropTempView(view)
 
 
-def register(spark: SparkSession, paths: dict[str, str], database: str | None = None) -> None:
+def register(spark: SparkSession, paths: dict[str, str], database: str | None = None,
+             suffix: str = "") -> None:
     """Make written Gold folders queryable by name: external tables in ``database`` or, without
-    one, session temp views."""
+    one, session temp views (``suffix`` gives per-call view names)."""
     for name, path in paths.items():
         if database:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
             spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} USING parquet "
                       f"LOCATION '{path}'")
         else:
-            spark.read.parquet(path).createOrReplaceTempView(name)
+            spark.read.parquet(path).createOrReplaceTempView(name + suffix)
 
 
 def write_fact(fact: DataFrame, path: str) -> None:
