@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tidemark.config import FACT_MEASURES, PanelConfig
 from tidemark.functions.metrics import date_label, is_weekend, month_name, threshold_label
 from tidemark.operators.joins import sized_broadcast
-from tidemark.operators.keys import dense_key
+from tidemark.operators.keys import dense_key, key_stats
 
 DIM_COUNTRY_COLUMNS = ("country_key", "iso_code", "country_name", "continent", "population",
                        "median_age", "gdp_per_capita", "human_development_index")
@@ -76,9 +76,9 @@ def country_attributes(silver: DataFrame, cfg: PanelConfig) -> DataFrame:
     )
 
 
-def dim_country(silver: DataFrame, cfg: PanelConfig):
+def dim_country(silver: DataFrame, cfg: PanelConfig, stats: tuple[int, int] | None = None):
     keyed = dense_key(country_attributes(silver, cfg), "iso_code", "country_key",
-                      cfg.key_rows_per_bucket)
+                      cfg.key_rows_per_bucket, stats)
     return keyed.df.select(*DIM_COUNTRY_COLUMNS), keyed.rows
 
 
@@ -99,9 +99,9 @@ def date_attributes(dates: DataFrame, cfg: PanelConfig) -> DataFrame:
     )
 
 
-def dim_date(silver: DataFrame, cfg: PanelConfig):
+def dim_date(silver: DataFrame, cfg: PanelConfig, stats: tuple[int, int] | None = None):
     keyed = dense_key(silver.select("date").distinct(), "date", "date_key",
-                      cfg.key_rows_per_bucket)
+                      cfg.key_rows_per_bucket, stats)
     return date_attributes(keyed.df, cfg), keyed.rows
 
 
@@ -124,8 +124,10 @@ def build_star(silver: DataFrame, cfg: PanelConfig, persist=None) -> Star:
     key assignment runs small actions over it.  ``persist(df, name, rows)`` (optional) stores
     each keyed dimension once, so plans that use a dimension several times read the small
     stored copy instead of re-running its aggregate and key window over Silver."""
-    dc, crows = dim_country(silver, cfg)
-    dd, drows = dim_date(silver, cfg)
+    stats = key_stats({"country": (country_attributes(silver, cfg), "iso_code"),
+                       "date": (silver.select("date").distinct(), "date")})   # one job
+    dc, crows = dim_country(silver, cfg, stats["country"])
+    dd, drows = dim_date(silver, cfg, stats["date"])
     if persist is not None:
         dc = persist(dc, "dim_country", crows)
         dd = persist(dd, "dim_date", drows)

@@ -58,12 +58,26 @@ def _boundaries(df: DataFrame, key: str, n: int, buckets: int) -> list:
     return picks
 
 
-def dense_key(df: DataFrame, key: str, key_name: str, rows_per_bucket: int = 1_000_000) -> KeyedDim:
+def key_stats(inputs: dict[str, tuple[DataFrame, str]]) -> dict[str, tuple[int, int]]:
+    """``(rows, NULL keys)`` for several keyed inputs in ONE job (a union of one-row aggregates),
+    e.g. for all dimensions of a star before their keys are assigned."""
+    parts = [df.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(key).isNull()).alias("nulls"))
+             .select(F.lit(tag).alias("tag"), "n", "nulls")
+             for tag, (df, key) in inputs.items()]
+    union = parts[0]
+    for p in parts[1:]:
+        union = union.unionByName(p)
+    return {r["tag"]: (int(r["n"]), int(r["nulls"])) for r in union.collect()}
+
+
+def dense_key(df: DataFrame, key: str, key_name: str, rows_per_bucket: int = 1_000_000,
+              stats: tuple[int, int] | None = None) -> KeyedDim:
     """Add ``key_name`` (LongType, 1..n) ranking the distinct values of ``key`` ascending,
-    NULL last.  ``df`` must hold one row per value of ``key``."""
-    stats = df.agg(F.count(F.lit(1)).alias("n"),
-                   F.count_if(F.col(key).isNull()).alias("nulls")).first()
-    n, nulls = int(stats["n"]), int(stats["nulls"])
+    NULL last.  ``df`` must hold one row per value of ``key``.  ``stats`` = ``(rows, NULL keys)``
+    when already known (``key_stats``)."""
+    if stats is None:
+        stats = key_stats({"_": (df, key)})["_"]
+    n, nulls = stats
     buckets = max(1, math.ceil(n / max(1, rows_per_bucket)))
     bounds = _boundaries(df, key, n, buckets) if buckets > 1 else []
     kcol = F.col(key)
