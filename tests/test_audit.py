@@ -47,3 +47,24 @@ def test_timestamp_option(spark):
     df = spark.createDataFrame([(_body("b-bronze", "k.csv", 10),)], "body string")
     out = audit.from_events(df, with_timestamp=True)
     assert out.columns[0] == "timestamp" and out.first()["timestamp"] is not None
+
+
+def test_event_stream_per_batch_summaries(spark, tmp_path):
+    from pyspark.sql import functions as F
+    landing = tmp_path / "notes"
+    landing.mkdir()
+    specs = [("a-bronze", "x/1.csv", 1048576), ("b-silver", "y/2.parquet", 2097152),
+             ("c-gold", "z/3", None), ("a-bronze", "x/4.csv", 524288)]
+    for i, (b, k, size) in enumerate(specs):
+        (landing / f"n{i}.json").write_text(_body(b, k, size) + "\n")
+    sink, summary, ckpt = (str(tmp_path / p) for p in ("rows", "summary", "ckpt"))
+    audit.stream_events(spark, str(landing), sink, ckpt, max_files_per_trigger=1,
+                        summary_sink=summary)
+    per_batch = spark.read.parquet(summary)
+    assert per_batch.select("batch").distinct().count() == 4          # one file per trigger
+    tot = {r["layer"]: (r["f"], r["mb"]) for r in per_batch.groupBy("layer").agg(
+        F.sum("files").alias("f"), F.sum("size_mb_sum").alias("mb")).collect()}
+    assert tot == {"BRONZE": (2, 1.5), "SILVER": (1, 2.0), "GOLD": (1, 0.0)}
+    audit.stream_events(spark, str(landing), sink, ckpt, max_files_per_trigger=1,
+                        summary_sink=summary)                          # nothing new
+    assert spark.read.parquet(sink).count() == 4

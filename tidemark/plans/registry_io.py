@@ -206,6 +206,23 @@ def stream_audit_events(spark, sf_dir):
     return spark.read.parquet(sink)
 
 
+@reg("stream_audit_summary", AUDIT_REC_SQL + f"""
+SELECT layer, CAST(count(*) AS BIGINT) AS files, {sround('SUM(size_mb)', 2)} AS total_mb
+FROM aud GROUP BY layer ORDER BY layer""")
+def stream_audit_summary(spark, sf_dir):
+    """Per-micro-batch reports of the notification stream, rolled up over all batches."""
+    ev = read_table(spark, sf_dir, "events", "event_id", "ts", "event_type", "value", "props")
+    landing = stages.scratch(spark, "notifications")
+    audit.notifications_from_events(ev).write.mode("overwrite").text(landing)
+    sink, summary = stages.scratch(spark, "audit_rows"), stages.scratch(spark, "audit_summary")
+    audit.stream_events(spark, landing, sink, stages.scratch(spark, "audit_ckpt"),
+                        summary_sink=summary)
+    per_batch = spark.read.parquet(summary)
+    return per_batch.groupBy("layer").agg(
+        F.sum("files").alias("files"), F.round(F.sum("size_mb_sum"), 2).alias("total_mb")) \
+        .orderBy("layer")
+
+
 @reg("audit_files")
 def audit_files(spark, sf_dir):
     """File-driven audit of the given table files (batch listing; rows-only check)."""

@@ -161,13 +161,34 @@ def stream_files(spark: SparkSession, folder: str, bucket: str, sink: str, check
 
 
 def stream_events(spark: SparkSession, folder: str, sink: str, checkpoint: str,
-                  max_files_per_trigger: int = 10_000):
+                  max_files_per_trigger: int = 10_000, summary_sink: str | None = None):
     """Event-driven audit as a stream: notification bodies land as text files (one JSON body per
     line); each micro-batch parses and explodes them into audit rows appended to ``sink``.
-    Stateless, so no watermark; the checkpoint makes each notification file count once."""
+    Stateless, so no watermark; the checkpoint makes each notification file count once.
+
+    With ``summary_sink`` every micro-batch also writes its summary (files and MB per layer, the
+    per-invocation report of the reference) via ``foreachBatch``.  Both outputs of a batch go to
+    ``.../batch_id=<id>`` folders in overwrite mode, so a retried batch replaces its own output
+    instead of appending twice."""
     bodies = (spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_trigger)
               .load(folder).withColumnRenamed("value", "body"))
-    q = (from_events(bodies).writeStream.format("parquet").option("path", sink)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    rows = from_events(bodies)
+    if summary_sink is None:
+        w = rows.writeStream.format("parquet").option("path", sink)
+    else:
+        def per_batch(batch: DataFrame, batch_id: int) -> None:
+            batch.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+            done = batch.sparkSession.read.parquet(f"{sink}/batch_id={batch_id}")
+            batch_summary(done, batch_id).write.mode("overwrite") \
+                .parquet(f"{summary_sink}/batch_id={batch_id}")
+        w = rows.writeStream.foreachBatch(per_batch)
+    q = w.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
     return q
+
+
+def batch_summary(audit: DataFrame, batch_id: int) -> DataFrame:
+    """One micro-batch's report: files and MB per layer (MB unrounded, for re-aggregation)."""
+    return audit.groupBy("layer").agg(F.count(F.lit(1)).alias("files"),
+                                      F.sum("size_mb").alias("size_mb_sum")) \
+        .withColumn("batch", F.lit(batch_id).cast("bigint"))
