@@ -342,3 +342,47 @@ for _name, _fn in _P_FUN.items():
 
 REGISTRY["e2_schema"] = (_bronze(profile.schema_table), None)
 
+
+
+# ---------------------------------------------------------------- generic profile / DQ on other tables
+DOC_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _doc_profile_sql() -> str:
+    nulls = "\n  UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", CAST(count_if({c} IS NULL) AS BIGINT) AS null_count, "
+        f"count(*) AS n, CAST(count(DISTINCT {c}) AS BIGINT) AS unique_count FROM documents"
+        for c in DOC_COLUMNS)
+    return (f"SELECT \"column\", null_count, {_bround('null_count / n * 100', 2)} AS null_pct, "
+            f"unique_count FROM ({nulls}) t ORDER BY \"column\"")
+
+
+@reg("e12_profile_documents", _doc_profile_sql())
+def e12_profile_documents(spark, sf_dir):
+    """Column profile of the whole ``documents`` table (exact distinct counts of full texts)."""
+    return profile.column_profile(read_table(spark, sf_dir, "documents", *DOC_COLUMNS))
+
+
+LABEL_RULES = (
+    quality.Rule("doc_id: no nulls", "not_null", ("doc_id",)),
+    quality.Rule("quality: 0 or 1", "in_set", ("quality",), values=(0, 1)),
+    quality.Rule("toxic: 0 or 1", "in_set", ("toxic",), values=(0, 1)),
+    quality.Rule("doc_id: unique", "unique", ("doc_id",)),
+    quality.Rule("quality: int", "type", ("quality",), dtype="int"),
+)
+
+
+@reg("dq_labels", oracle.dq_sql(LABEL_RULES, "labels"))
+def dq_labels(spark, sf_dir):
+    return quality.evaluate(spark.read.parquet(f"{sf_dir}/labels.parquet"), LABEL_RULES)
+
+
+@reg("dq_fk_labels_documents", """
+SELECT CAST(count(*) AS BIGINT) AS orphan_keys FROM (
+  SELECT DISTINCT doc_id FROM labels WHERE doc_id IS NOT NULL) k
+WHERE NOT EXISTS (SELECT 1 FROM documents d WHERE d.doc_id = k.doc_id)""")
+def dq_fk_labels_documents(spark, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id")
+    docs = read_table(spark, sf_dir, "documents", "doc_id")
+    return quality.orphans(labels, ["doc_id"], docs, ["doc_id"]) \
+        .agg(F.count(F.lit(1)).alias("orphan_keys"))
