@@ -136,18 +136,16 @@ def describe(df: DataFrame, columns: Sequence[str], exact: bool = True,
         sketches = {r["column"]: (r["n"], r["qs"]) for r in agg}
         qs = quantiles_of_values(vals, cols, (0.25, 0.5, 0.75), accuracy=accuracy,
                                  sketches=sketches).collect()
-        spark = df.sparkSession
-        moments = spark.createDataFrame(
-            [(r["column"], r["n"], r["mean"], r["std"], r["mn"], r["mx"]) for r in agg],
-            "column string, n bigint, mean double, std double, mn double, mx double")
-        qdf = spark.createDataFrame(
-            [(c, *[next(q["value"] for q in qs if q["column"] == c and q["prob"] == p)
-                   for p in (0.25, 0.5, 0.75)]) for c in cols],
-            "column string, q25 double, q50 double, q75 double")
-        names = spark.createDataFrame([(c,) for c in cols], "column string")
-        s = names.join(F.broadcast(moments), "column", "left").join(F.broadcast(qdf), "column")
-        s = s.select("column", F.coalesce("n", F.lit(0)).alias("n"), "mean", "std", "mn",
-                     F.array("q25", "q50", "q75").alias("p"), "mx")
+        q = {(r["column"], r["prob"]): r["value"] for r in qs}
+        by_col = {r["column"]: r for r in agg}
+        # one small row per column (already on the driver); rounding stays in Spark
+        rows = [(c, int(by_col[c]["n"]) if c in by_col else 0,
+                 *(by_col[c][k] if c in by_col else None for k in ("mean", "std", "mn")),
+                 [q.get((c, p)) for p in (0.25, 0.5, 0.75)],
+                 by_col[c]["mx"] if c in by_col else None) for c in cols]
+        s = df.sparkSession.createDataFrame(
+            rows, "column string, n bigint, mean double, std double, mn double, "
+                  "p array<double>, mx double")
     else:
         exprs = []
         for i, c in enumerate(cols):
