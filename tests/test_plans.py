@@ -73,3 +73,21 @@ def test_sql_text_equals_dataframe_queries(spark):
         a = sql_text.run(spark, name, suffix).collect()
         b = getattr(queries, name)(star).collect()
         assert [tuple(r) for r in a] == [tuple(r) for r in b], name
+
+
+def test_broadcast_hint_only_within_bound(spark):
+    star = stages.star(spark, SF_SMALL)
+    small = stages.star(spark, SF_SMALL, stages.TABLE_CONFIG.with_(broadcast_max_rows=0))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # isolate our own hint
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        hinted = _plan(queries.q2_monthly_continent(star))
+        capped = _plan(queries.q2_monthly_continent(small))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in hinted
+    assert "BroadcastHashJoin" not in capped
+    assert "SortMergeJoin" in capped or "ShuffledHashJoin" in capped
+    assert sorted(map(tuple, queries.q2_monthly_continent(small).collect())) == \
+        sorted(map(tuple, queries.q2_monthly_continent(star).collect()))

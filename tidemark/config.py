@@ -141,7 +141,6 @@ class PanelConfig:
     broadcast_max_rows: int = 2_000_000
     # target rows per window partition when assigning dense surrogate keys
     key_rows_per_bucket: int = 1_000_000
-    fact_buckets: int = 64
     run_ts: _dt.datetime | None = None     # fixed ingest time; None -> current_timestamp()
 
     @property

@@ -42,6 +42,7 @@ class Star:
     dim_income: DataFrame
     country_rows: int
     date_rows: int
+    broadcast_max_rows: int = 2_000_000     # dims are broadcast only up to this many rows
 
     def tables(self) -> dict[str, DataFrame]:
         return {"fact_covid_cases": self.fact, "dim_country": self.dim_country,
@@ -133,4 +134,4 @@ def build_star(silver: DataFrame, cfg: PanelConfig, persist=None) -> Star:
         dd = persist(dd, "dim_date", drows)
     di = dim_income(dc, cfg)
     fc = fact(silver, dc, dd, cfg, crows, drows)
-    return Star(fc, dc, dd, di, crows, drows)
+    return Star(fc, dc, dd, di, crows, drows, cfg.broadcast_max_rows)

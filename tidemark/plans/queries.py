@@ -14,22 +14,19 @@ from pyspark.sql import functions as F
 from tidemark.operators.gold import Star
 from tidemark.operators.joins import sized_broadcast
 
-MAX_BROADCAST_ROWS = 2_000_000
-
-
 def _country(star: Star, *cols: str) -> DataFrame:
     return sized_broadcast(star.dim_country.select("country_key", *cols), star.country_rows,
-                           MAX_BROADCAST_ROWS)
+                           star.broadcast_max_rows)
 
 
 def _date(star: Star, *cols: str) -> DataFrame:
     return sized_broadcast(star.dim_date.select("date_key", *cols), star.date_rows,
-                           MAX_BROADCAST_ROWS)
+                           star.broadcast_max_rows)
 
 
 def _income(star: Star) -> DataFrame:
     return sized_broadcast(star.dim_income.select("income_key", "income_group"),
-                           star.country_rows, MAX_BROADCAST_ROWS)
+                           star.country_rows, star.broadcast_max_rows)
 
 
 def q1_top_countries(star: Star, k: int = 20) -> DataFrame:
