@@ -73,3 +73,17 @@ def test_load_errors(spark):
                                ", ".join(f"{c} string" for c in COLS))
     errs = {(r["column"], r["raw_value"]) for r in load_errors(df, CFG).collect()}
     assert errs == {("date", "bad"), ("new_cases", "x1")}
+
+
+def test_load_errors_malformed_lines(spark, tmp_path):
+    from tidemark.sources.files import load_errors, read_panel_csv
+    p = tmp_path / "raw.csv"
+    p.write_text("iso_code,date,new_cases\nAAA,2021-01-01,5\nBBB,2021-01-02\n"
+                 "CCC,2021-01-03,7,99\nDDD,bad,1\n")
+    raw = read_panel_csv(spark, str(p), ["iso_code", "date", "new_cases"], keep_malformed=True)
+    errs = sorted((r["iso_code"], r["column"], r["raw_value"])
+                  for r in load_errors(raw, CFG).collect())
+    assert errs == [("BBB", "_line", "BBB,2021-01-02"), ("CCC", "_line", "CCC,2021-01-03,7,99"),
+                    ("DDD", "date", "bad")]
+    clean = silver.transform(raw, CFG.with_(group_col="iso_code"))
+    assert clean.count() == 4                      # malformed lines still load, as in PERMISSIVE

@@ -73,7 +73,7 @@ WHERE new_cases < 0 ORDER BY iso_code DESC, raw_value DESC LIMIT 10"""))
 def src_load_errors(spark, sf_dir):
     """Latest-10 view of the load-error table (the limit is the feature)."""
     raw = files.read_panel_csv(spark, _landing_csv(spark, sf_dir, _with_bad_dates(spark, sf_dir)),
-                               PANEL_COLUMNS)
+                               PANEL_COLUMNS, keep_malformed=True)
     return files.load_errors(raw, CFG).orderBy(F.col("iso_code").desc(),
                                                F.col("raw_value").desc()).limit(10)
 
@@ -82,7 +82,7 @@ def src_load_errors(spark, sf_dir):
 SELECT 'date' AS "column", CAST(count(*) AS BIGINT) AS errors FROM panel WHERE new_cases < 0"""))
 def src_load_error_counts(spark, sf_dir):
     raw = files.read_panel_csv(spark, _landing_csv(spark, sf_dir, _with_bad_dates(spark, sf_dir)),
-                               PANEL_COLUMNS)
+                               PANEL_COLUMNS, keep_malformed=True)
     return files.load_errors(raw, CFG).groupBy("column").agg(F.count(F.lit(1)).alias("errors"))
 
 

@@ -19,11 +19,21 @@ from pyspark.sql import types as T
 from tidemark.config import PanelConfig, bronze_schema
 
 
+CORRUPT_COLUMN = "_corrupt_record"
+
+
 def read_panel_csv(spark: SparkSession, path: str, columns: Sequence[str],
-                   header: bool = True) -> DataFrame:
-    """Raw panel CSV (file or directory) with the given column names, all as text."""
-    return (spark.read.schema(bronze_schema(columns)).option("header", header)
-            .option("mode", "PERMISSIVE").csv(path))
+                   header: bool = True, keep_malformed: bool = False) -> DataFrame:
+    """Raw panel CSV (file or directory) with the given column names, all as text.
+
+    ``keep_malformed`` adds ``_corrupt_record``: the raw text of lines whose field count does not
+    match the schema (PERMISSIVE mode), for ``load_errors``."""
+    schema = bronze_schema(columns)
+    reader = spark.read.option("header", header).option("mode", "PERMISSIVE")
+    if keep_malformed:
+        schema = schema.add(CORRUPT_COLUMN, T.StringType())
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+    return reader.schema(schema).csv(path)
 
 
 def read_any(spark: SparkSession, path: str, fmt: str = "csv", infer: bool = True) -> DataFrame:
@@ -39,19 +49,30 @@ def read_layer(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_errors(raw: DataFrame, cfg: PanelConfig, key_cols: Sequence[str] | None = None) -> DataFrame:
-    """Cells whose non-empty text failed the typed cast: ``(key..., column, raw_value)``.
-
-    One pass: every typed column contributes an optional struct to an array that is exploded,
-    so the plan stays a single narrow stage over the raw rows."""
+    """Cells whose non-empty text failed the typed cast: ``(key..., column, raw_value)``; with a
+    ``_corrupt_record`` column (``read_panel_csv(keep_malformed=True)``) also malformed lines,
+    as ``column = '_line'`` and the raw line.
+
+    One pass: every check contributes an optional struct to an array that is exploded, so the
+    plan stays a single narrow stage over the raw rows.  The malformed-line check references
+    every data column on purpose: Spark detects a wrong field count only when all columns are
+    parsed (CSV column pruning skips that check)."""
     keys = list(key_cols or [cfg.entity_col])
     typed = {cfg.date_col: T.DateType()}
     for c in cfg.metric_columns:
         typed[c] = cfg.metric_type
     present = [(c, t) for c, t in typed.items() if c in raw.columns]
-    cells = F.array(*[
+    checks = [
         F.when(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(),
                F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("raw_value")))
-        for c, t in present])
+        for c, t in present]
+    if CORRUPT_COLUMN in raw.columns:
+        fields = F.concat_ws(",", *[F.col(c).cast("string") for c in raw.columns
+                                    if c != CORRUPT_COLUMN])
+        checks.append(F.when(F.col(CORRUPT_COLUMN).isNotNull(), F.struct(
+            F.lit("_line").alias("column"),
+            F.coalesce(F.col(CORRUPT_COLUMN), fields).alias("raw_value"))))
+    cells = F.array(*checks)
     return (raw.select(*keys, F.explode(F.filter(cells, lambda x: x.isNotNull())).alias("e"))
             .select(*keys, "e.column", "e.raw_value"))
 
