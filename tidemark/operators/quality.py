@@ -116,7 +116,8 @@ def evaluate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     for pos, r in enumerate(rules):
         if r.kind == "type":
             ok_t = _type_ok(df, r.columns[0], r.dtype)
-            type_rows.append(f"{pos}, {_sql_str(r.name)}, 'type', CAST(1.0 AS DOUBLE), "
+            type_rows.append(f"{pos}, {_sql_str(r.name)}, 'type', "
+                             f"'{'PASS' if ok_t else 'FAIL'}', "
                              f"CAST({0 if ok_t else 1} AS BIGINT), CAST(1 AS BIGINT)")
         elif r.kind not in ("not_null", "between", "in_set", "row_count", "unique"):
             raise ValueError(f"unknown rule kind {r.kind}")
@@ -126,19 +127,24 @@ def evaluate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             exprs += [a.unexpected.cast("bigint").alias(f"u{i}"),
                       a.observed.cast("bigint").alias(f"o{i}")]
         one = df.agg(*exprs)
+        status = []
+        for i, a in enumerate(row_aggs):
+            u, o, r = F.col(f"u{i}"), F.col(f"o{i}"), a.rule
+            if r.kind == "row_count":
+                ok = o.between(F.lit(r.low), F.lit(r.high))
+            elif r.kind == "between" and r.mostly < 1.0:
+                ok = (o == 0) | ((o - u) / o >= F.lit(r.mostly))
+            else:
+                ok = u == 0
+            status.append(F.when(ok, "PASS").otherwise("FAIL").alias(f"s{i}"))
+        one = one.select("*", *status)
         entries = [
             f"{pos_of[a.rule.name]}, {_sql_str(a.rule.name)}, {_sql_str(a.rule.kind)}, "
-            f"CAST({float(a.rule.mostly)} AS DOUBLE), u{i}, o{i}"
+            f"s{i}, u{i}, o{i}"
             for i, a in enumerate(row_aggs)] + type_rows
-        rows = one.select(F.expr(
+        frames.append(one.select(F.expr(
             f"stack({len(entries)}, {', '.join(entries)}) "
-            "as (_pos, check, kind, mostly, unexpected, observed)"))
-        u, o = F.col("unexpected"), F.col("observed")
-        ok = F.when((F.col("kind") == "between") & (F.col("mostly") < 1.0),
-                    (o == 0) | ((o - u) / o >= F.col("mostly"))).otherwise(u == 0)
-        frames.append(rows.select("_pos", "check", "kind",
-                                  F.when(ok, "PASS").otherwise("FAIL").alias("status"),
-                                  "unexpected", "observed"))
+            "as (_pos, check, kind, status, unexpected, observed)")))
     for pos, r in enumerate(rules):
         if r.kind == "unique":
             d = duplicate_groups(df, r.columns)
