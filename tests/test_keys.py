@@ -30,3 +30,20 @@ def test_stable_across_shuffle_partitions(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert results[0] == results[1]
     assert [r[1] for r in results[0]] == list(range(1, 2001))
+
+
+def test_dense_key_property(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.too_slow])
+    @given(st.sets(st.text("abcxyz", min_size=0, max_size=4), min_size=1, max_size=300),
+           st.booleans(), st.integers(1, 60))
+    def check(keys, with_null, rows_per_bucket):
+        data = [(k,) for k in keys] + ([(None,)] if with_null else [])
+        df = spark.createDataFrame(data, "k string")
+        got = {r[0]: r[1] for r in dense_key(df, "k", "key", rows_per_bucket).df.collect()}
+        ordered = sorted(keys, key=lambda s: s.encode()) + ([None] if with_null else [])
+        assert got == {k: i + 1 for i, k in enumerate(ordered)}
+
+    check()
