@@ -176,5 +176,23 @@ def negative_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def column_profile(df: DataFrame) -> DataFrame:
     """``(column, null_count, null_pct, unique_count)`` per column (dtype: see
-    ``schema_table``)."""
-    return null_counts(df).join(distinct_counts(df), "column").orderBy("column")
+    ``schema_table``).
+
+    One pass: every row is unpivoted to ``(column, value-as-text)`` pairs (NULLs kept), counted
+    per pair with map-side partial aggregation, then reduced per column to the NULL count, the
+    distinct non-null count and the row count."""
+    cols = df.columns
+    stack = ", ".join(f"{_lit(c)}, CAST({_q(c)} AS STRING)" for c in cols)
+    pairs = df.select(F.expr(f"stack({len(cols)}, {stack}) as (column, value)"))
+    per_value = pairs.groupBy("column", "value").agg(F.count(F.lit(1)).alias("c"))
+    per_col = per_value.groupBy("column").agg(
+        F.sum("c").alias("n"),
+        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("c"))), F.lit(0)).alias("nulls"),
+        F.count("value").alias("uniq"))
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    return names.join(F.broadcast(per_col), "column", "left").select(
+        "column",
+        F.coalesce("nulls", F.lit(0)).cast("bigint").alias("null_count"),
+        F.bround(F.when(F.col("n") > 0, F.col("nulls") / F.col("n") * 100), 2).alias("null_pct"),
+        F.coalesce("uniq", F.lit(0)).cast("bigint").alias("unique_count"),
+    ).orderBy("column")
