@@ -91,3 +91,17 @@ def test_broadcast_hint_only_within_bound(spark):
     assert "SortMergeJoin" in capped or "ShuffledHashJoin" in capped
     assert sorted(map(tuple, queries.q2_monthly_continent(small).collect())) == \
         sorted(map(tuple, queries.q2_monthly_continent(star).collect()))
+
+
+def test_lineitems_preaggregated_before_their_shuffle(spark):
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        panel.panel(spark, SF_SMALL).explain("formatted")
+    text = buf.getvalue()
+    # the line-item scan feeds a partial aggregate keyed by the order key, then the exchange
+    scan = text.index("Location: InMemoryFileIndex [file:" + SF_SMALL + "/lineitem.parquet]")
+    after = text[scan:]
+    partial = after.index("Keys [1]: [l_orderkey")
+    exchange = after.index("hashpartitioning(l_orderkey")
+    assert partial < exchange
+    assert "partial_sum" in after[partial:exchange]
