@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.llm import exact_dedup
+from tidemark.llm import exact_dedup, toxicity
 
 QUERIES = {
+    "op9_toxicity": toxicity.op9_toxicity,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
