@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.llm import exact_dedup, toxicity
+from tidemark.llm import decontam, exact_dedup, toxicity
 
 QUERIES = {
+    "op6_decontamination": decontam.op6_decontamination,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
