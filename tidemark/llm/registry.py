@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontam, exact_dedup, toxicity
+from tidemark.llm import decontam, exact_dedup, ngram_join, toxicity
 
 QUERIES = {
+    "op4_ngram_join": ngram_join.op4_ngram_join,
     "op6_decontamination": decontam.op6_decontamination,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
 ORACLE_SQL = {
+    "op4_ngram_join": ngram_join.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
 }
