@@ -256,18 +256,20 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     return out
 
 
+def _clean(index: Index):
+    @F.pandas_udf("boolean")
+    def clean(texts: pd.Series) -> pd.Series:
+        return pd.Series([not index.leaks(t) for t in texts], dtype="bool")
+    return clean
+
+
 def drop_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_col: str = "item_id",
                item_text_col: str = "text", rho: float = 0.6, overlap: float = 0.8, half_overlap: float = 0.5,
                block_bytes: int = 16_000_000) -> DataFrame:
     """The documents that hold no item, with exactly the input's columns."""
     ship(docs.sparkSession)
     for block in item_blocks(items, item_id_col, item_text_col, block_bytes):
-        index = Index(block, rho, overlap, half_overlap)
-
-        @F.pandas_udf("boolean")
-        def clean(texts: pd.Series, index=index) -> pd.Series:
-            return pd.Series([not index.leaks(t) for t in texts], dtype="bool")
-        docs = docs.where(clean(text_or_empty(text_col)))
+        docs = docs.where(_clean(Index(block, rho, overlap, half_overlap))(text_or_empty(text_col)))
     return docs
 
 

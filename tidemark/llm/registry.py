@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontam, exact_dedup, ngram_join, toxicity
+from tidemark.llm import decontam, exact_dedup, ngram_join, packing, toxicity
 
 QUERIES = {
+    "op2_packing": packing.op2_packing,
     "op4_ngram_join": ngram_join.op4_ngram_join,
     "op6_decontamination": decontam.op6_decontamination,
     "op9_toxicity": toxicity.op9_toxicity,
