@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontam, exact_dedup, ngram_join, packing, toxicity
+from tidemark.llm import decontam, exact_dedup, ngram_join, packing, sharding, toxicity
 
 QUERIES = {
     "op2_packing": packing.op2_packing,
     "op4_ngram_join": ngram_join.op4_ngram_join,
     "op6_decontamination": decontam.op6_decontamination,
+    "op8_sharding": sharding.op8_sharding,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
