@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontam, exact_dedup, ngram_join, packing, sharding, toxicity
+from tidemark.llm import decontam, exact_dedup, licenses, ngram_join, packing, sharding, toxicity
 
 QUERIES = {
+    "op1_license_scan": licenses.op1_license_scan,
     "op2_packing": packing.op2_packing,
     "op4_ngram_join": ngram_join.op4_ngram_join,
     "op6_decontamination": decontam.op6_decontamination,
