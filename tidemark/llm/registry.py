@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontam, exact_dedup, licenses, ngram_join, packing, sharding, toxicity
+from tidemark.llm import decontam, exact_dedup, licenses, ngram_join, packing, secrets, sharding, toxicity
 
 QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
     "op2_packing": packing.op2_packing,
     "op4_ngram_join": ngram_join.op4_ngram_join,
     "op6_decontamination": decontam.op6_decontamination,
+    "op5_secret_scan": secrets.op5_secret_scan,
     "op8_sharding": sharding.op8_sharding,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
