@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontam, exact_dedup, licenses, ngram_join, packing, secrets, sharding, toxicity
+from tidemark.llm import decontam, exact_dedup, licenses, ngram_join, packing, repeats, secrets, sharding, toxicity
 
 QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_ngram_join": ngram_join.op4_ngram_join,
     "op6_decontamination": decontam.op6_decontamination,
     "op5_secret_scan": secrets.op5_secret_scan,
+    "op7_repeats": repeats.op7_repeats,
     "op8_sharding": sharding.op8_sharding,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
