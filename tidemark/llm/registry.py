@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontam, exact_dedup, licenses, ngram_join, packing, repeats, secrets, sharding, toxicity
+from tidemark.llm import decontam, exact_dedup, licenses, ngram_join, packing, repeats, secrets, sharding, tokenfiles, toxicity
 
 QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
     "op2_packing": packing.op2_packing,
+    "op3_token_files": tokenfiles.op3_token_files,
     "op4_ngram_join": ngram_join.op4_ngram_join,
     "op6_decontamination": decontam.op6_decontamination,
     "op5_secret_scan": secrets.op5_secret_scan,
