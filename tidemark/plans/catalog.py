@@ -20,7 +20,7 @@ def _star_query(name: str, fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(stages.star(spark, sf_dir))
     run.__name__ = name
-    REGISTRY[name] = (run, oracle.with_star(oracle.QUERY_BODIES[name]))
+    REGISTRY[name] = (run, oracle.QUERY_SQL[name])
 
 
 for _name in ("q1_top_countries", "q2_monthly_continent", "q3_vax_vs_death", "q4_by_wave",

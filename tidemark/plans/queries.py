@@ -29,14 +29,25 @@ def _income(star: Star) -> DataFrame:
                            star.country_rows, star.broadcast_max_rows)
 
 
+def _entity_maxima(star: Star, figures: dict[str, tuple[str, int | None]], lead: str, k: int | None,
+                   present: str | None = None) -> DataFrame:
+    """Largest values per entity name: ``figures`` maps an output to (measure, digits or None).
+
+    The fact is reduced to one row per key first (partial aggregation, one number as the group),
+    so names are joined to and grouped over one row per entity, not over every fact row."""
+    fact = star.fact.where(F.col(present).isNotNull()) if present else star.fact
+    per_key = fact.groupBy("country_key").agg(*[F.max(m).alias(out) for out, (m, _) in figures.items()])
+    named = per_key.join(_country(star, "country_name", "continent"), "country_key")
+    tops = [(F.max(out) if digits is None else F.round(F.max(out), digits)).alias(out)
+            for out, (_, digits) in figures.items()]
+    ranked = (named.groupBy("country_name", "continent").agg(*tops)
+              .orderBy(F.col(lead).desc_nulls_last(), "country_name", "continent"))
+    return ranked if k is None else ranked.limit(k)
+
+
 def q1_top_countries(star: Star, k: int = 20) -> DataFrame:
-    f = star.fact.join(_country(star, "country_name", "continent"), "country_key")
-    agg = f.groupBy("country_name", "continent").agg(
-        F.max("total_cases").alias("total_cases"),
-        F.max("total_deaths").alias("total_deaths"),
-        F.round(F.max("cases_per_million_calc"), 0).alias("cases_per_million"),
-    )
-    return agg.orderBy(F.col("total_cases").desc_nulls_last(), "country_name", "continent").limit(k)
+    return _entity_maxima(star, {"total_cases": ("total_cases", None), "total_deaths": ("total_deaths", None),
+                                 "cases_per_million": ("cases_per_million_calc", 0)}, "total_cases", k)
 
 
 def q2_monthly_continent(star: Star) -> DataFrame:
@@ -52,15 +63,8 @@ def q2_monthly_continent(star: Star) -> DataFrame:
 
 
 def q3_vax_vs_death(star: Star, k: int | None = 20) -> DataFrame:
-    f = (star.fact.where(F.col("vaccination_rate").isNotNull())
-         .join(_country(star, "country_name", "continent"), "country_key"))
-    agg = f.groupBy("country_name", "continent").agg(
-        F.round(F.max("vaccination_rate"), 2).alias("max_vax_rate_pct"),
-        F.round(F.max("death_rate"), 4).alias("peak_death_rate_pct"),
-        F.max("total_cases").alias("total_cases"),
-    )
-    ordered = agg.orderBy(F.col("max_vax_rate_pct").desc_nulls_last(), "country_name", "continent")
-    return ordered.limit(k) if k is not None else ordered
+    return _entity_maxima(star, {"max_vax_rate_pct": ("vaccination_rate", 2), "peak_death_rate_pct": ("death_rate", 4),
+                                 "total_cases": ("total_cases", None)}, "max_vax_rate_pct", k, "vaccination_rate")
 
 
 def q4_by_wave(star: Star) -> DataFrame:
@@ -75,15 +79,8 @@ def q4_by_wave(star: Star) -> DataFrame:
 
 
 def q5_peak_icu(star: Star, k: int = 15) -> DataFrame:
-    f = (star.fact.where(F.col("icu_patients").isNotNull())
-         .join(_country(star, "country_name", "continent"), "country_key"))
-    agg = f.groupBy("country_name", "continent").agg(
-        F.round(F.max("icu_patients"), 0).alias("peak_icu_patients"),
-        F.round(F.max("hosp_patients"), 0).alias("peak_hosp_patients"),
-        F.max("total_cases").alias("total_cases"),
-    )
-    return agg.orderBy(F.col("peak_icu_patients").desc_nulls_last(), "country_name",
-                       "continent").limit(k)
+    return _entity_maxima(star, {"peak_icu_patients": ("icu_patients", 0), "peak_hosp_patients": ("hosp_patients", 0),
+                                 "total_cases": ("total_cases", None)}, "peak_icu_patients", k, "icu_patients")
 
 
 def q6_by_income(star: Star) -> DataFrame:
@@ -134,10 +131,5 @@ def q8_row_counts(star: Star) -> DataFrame:
 
 
 def q9_top10(star: Star, k: int = 10) -> DataFrame:
-    f = star.fact.join(_country(star, "country_name", "continent"), "country_key")
-    agg = f.groupBy("country_name", "continent").agg(
-        F.max("total_cases").alias("total_cases"),
-        F.max("total_deaths").alias("total_deaths"),
-        F.max("death_rate").alias("peak_death_rate_pct"),
-    )
-    return agg.orderBy(F.col("total_cases").desc_nulls_last(), "country_name", "continent").limit(k)
+    return _entity_maxima(star, {"total_cases": ("total_cases", None), "total_deaths": ("total_deaths", None),
+                                 "peak_death_rate_pct": ("death_rate", None)}, "total_cases", k)

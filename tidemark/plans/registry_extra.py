@@ -126,26 +126,11 @@ FROM per_country"""),
 SELECT c.iso_code, c.country_name, {sround('p.max_cpm', 2)} AS cases_per_million
 FROM per_country p JOIN dim_country c ON p.country_key = c.country_key
 ORDER BY cases_per_million DESC NULLS LAST, c.iso_code"""),
-    "m3_daily_trend": with_star("""
-SELECT d.date, c.continent, SUM(f.new_cases) AS daily_new_cases
-FROM fact_covid_cases f JOIN dim_country c ON f.country_key = c.country_key
-     JOIN dim_date d ON f.date_key = d.date_key
-GROUP BY d.date, c.continent ORDER BY d.date, c.continent"""),
-    "m5_scatter": with_star(f"""
-SELECT c.country_name, c.continent, {sround('MAX(f.vaccination_rate)', 2)} AS max_vax_rate_pct,
-       {sround('MAX(f.death_rate)', 4)} AS peak_death_rate_pct, MAX(f.total_cases) AS total_cases
-FROM fact_covid_cases f JOIN dim_country c ON f.country_key = c.country_key
-WHERE f.vaccination_rate IS NOT NULL
-GROUP BY c.country_name, c.continent
-ORDER BY max_vax_rate_pct DESC NULLS LAST, c.country_name, c.continent"""),
-    "m6_vax_death_corr": with_star(f"""
-SELECT {sround('corr(max_vax_rate_pct, peak_death_rate_pct)', 6)} AS vax_death_corr,
-       CAST(count(*) AS BIGINT) AS countries FROM (
-  SELECT c.country_name, c.continent, {sround('MAX(f.vaccination_rate)', 2)} AS max_vax_rate_pct,
-         {sround('MAX(f.death_rate)', 4)} AS peak_death_rate_pct
-  FROM fact_covid_cases f JOIN dim_country c ON f.country_key = c.country_key
-  WHERE f.vaccination_rate IS NOT NULL
-  GROUP BY c.country_name, c.continent) s"""),
+    "m3_daily_trend": oracle.with_names(
+        "SELECT date, area AS continent, sum(new_cases) AS daily_new_cases FROM named GROUP BY ALL"),
+    "m5_scatter": oracle.VAX_BY_ENTITY,
+    "m6_vax_death_corr": (f"SELECT {sround('corr(max_vax_rate_pct, peak_death_rate_pct)', 6)} AS vax_death_corr, "
+                          f"count(*) AS countries FROM ({oracle.VAX_BY_ENTITY}) s"),
     "m7_income_vax_ratio": with_star(f"""
 SELECT income_group, countries, avg_peak_vax_rate_pct,
        {sround("avg_peak_vax_rate_pct / NULLIF(MAX(CASE WHEN income_group = 'Low Income' THEN avg_peak_vax_rate_pct END) OVER (), 0)", 2)} AS ratio_to_low

@@ -16,7 +16,7 @@ from tidemark.operators import profile, quality
 from tidemark.operators import silver as silver_ops
 from tidemark.plans import oracle, pipeline, sql_text, stages, warehouse
 from tidemark.plans.catalog import REGISTRY
-from tidemark.plans.oracle import QUERY_BODIES, sround, with_panel, with_star
+from tidemark.plans.oracle import QUERY_SQL, sround, with_panel, with_star
 from tidemark.sources import files
 from tidemark.sources.panel import PANEL_COLUMNS
 from tidemark.sources.tables import read_table
@@ -124,7 +124,7 @@ def sink_star_roundtrip(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- warehouse, layout
-@reg("wh_load_counts", with_star(QUERY_BODIES["q8_row_counts"]))
+@reg("wh_load_counts", QUERY_SQL["q8_row_counts"])
 def wh_load_counts(spark, sf_dir):
     """Typed DDL + bulk load by name, then the validation row counts from the loaded tables."""
     db = f"tm_wh_{uuid.uuid4().hex[:12]}"
@@ -264,7 +264,7 @@ def _sql_entry(qname):
 
 for _q in ("q1_top_countries", "q2_monthly_continent", "q3_vax_vs_death", "q4_by_wave",
            "q5_peak_icu", "q6_by_income", "q7_top_months", "q8_row_counts", "q9_top10"):
-    REGISTRY[f"sql_{_q}"] = (_sql_entry(_q), with_star(QUERY_BODIES[_q]))
+    REGISTRY[f"sql_{_q}"] = (_sql_entry(_q), QUERY_SQL[_q])
 
 
 # ---------------------------------------------------------------- report sink (S6), inferred read
