@@ -5,14 +5,16 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import materialize, scratch_path
 
-__all__ = ["documents", "materialize", "scratch_path", "ship", "text_or_empty", "shuffle_width"]
+__all__ = ["documents", "each", "materialize", "scratch_path", "ship", "text_or_empty", "shuffle_width"]
 
 _SHIPPED: set[str] = set()
 
@@ -43,3 +45,9 @@ def ship(spark: SparkSession) -> None:
             z.write(p, str(Path(root.name) / p.relative_to(root)))
     sc.addPyFile(target)
     _SHIPPED.add(sc.applicationId)
+
+
+def each(column: pa.Array) -> Iterator:
+    """A column's values one by one, so that a batch of texts is not held twice."""
+    for v in column:
+        yield v.as_py()
