@@ -28,10 +28,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, materialize, shuffle_width, ship, text_or_empty
+from tidemark.llm.common import documents, each, materialize, shuffle_width, ship, text_or_empty
 
 LENGTH, ANCHOR = 400, 64
 SPAN = LENGTH - ANCHOR                  # an anchor's places in a window: 0 to SPAN
@@ -95,7 +96,8 @@ def stretches(data: np.ndarray) -> tuple[np.ndarray, ...]:
         end = first + count - 1 + LENGTH
         body = (prefix[end] - prefix[first]) * down[first]
         off = p - first
-        out.append([h[p], _mix(body + _mix((off * 1024 + count).astype(np.uint64))), first + at, count, off])
+        # least hashes are small ones, so they are mixed again
+        out.append([_mix(h[p] + np.uint64(1)), _mix(body + _mix((off * 1024 + count).astype(np.uint64))), first + at, count, off])
     if not out:
         return tuple(np.zeros(0, dtype=t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
@@ -152,7 +154,7 @@ def repeated_windows(pieces: list[bytes], off: np.ndarray, group: np.ndarray) ->
 def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         refs, cols = [], []
-        for ref, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+        for ref, text in zip(each(b.column(0)), each(b.column(1)), strict=True):
             s = stretches(np.frombuffer(text, dtype=np.uint8))
             if len(s[0]):
                 refs += [ref] * len(s[0])
@@ -209,12 +211,12 @@ def _fetch(table):
         seen: set[int] = set()
         for b in batches:
             rows = []
-            for text in b.column(0).to_pylist():
+            for text in each(b.column(0)):
                 anchor, stretch, first, count, off = stretches(np.frombuffer(text, dtype=np.uint8))
                 for k in np.flatnonzero(table.value.has(anchor)) if len(anchor) else ():
                     s = int(stretch[k])
                     if s not in seen:
-                        if len(seen) < 2_000_000:
+                        if len(seen) < 300_000:
                             seen.add(s)
                         rows.append((int(anchor[k].view(np.int64)), int(stretch[k].view(np.int64)), int(off[k]),
                                      text[first[k]:first[k] + count[k] - 1 + LENGTH]))
@@ -324,8 +326,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            cut = [_cut(x, s) for x, s in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
-            cols = [b.column(0), pa.array([len(x) for x in b.column(1).to_pylist()], pa.int64()),
+            cut = [_cut(x, s) for x, s in zip(each(b.column(1)), each(b.column(2)), strict=True)]
+            cols = [b.column(0), pc.binary_length(b.column(1)).cast(pa.int64()),
                     pa.array([sum(y - x for x, y in r) for _, r in cut], pa.int64()),
                     pa.array([len(r) for _, r in cut], pa.int64()),
                     pa.array([hashlib.sha256(k).hexdigest() for k, _ in cut])]
