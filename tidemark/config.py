@@ -136,11 +136,8 @@ class PanelConfig:
     row_count_bounds: tuple[int, int] = ROW_COUNT_BOUNDS
     describe_columns: tuple[str, ...] = DESCRIBE_COLUMNS
     negative_check_columns: tuple[str, ...] = NEGATIVE_CHECK_COLUMNS
-    # broadcast a dimension only when its row count (known exactly after key assignment) is
-    # at most this many rows; larger dims fall back to a shuffle join.
-    broadcast_max_rows: int = 2_000_000
-    # target rows per window partition when assigning dense surrogate keys
-    key_rows_per_bucket: int = 1_000_000
+    # range buckets for dense surrogate keys (D1); None: the session's shuffle partitions
+    key_buckets: int | None = None
     run_ts: _dt.datetime | None = None     # fixed ingest time; None -> current_timestamp()
 
     @property

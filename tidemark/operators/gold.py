@@ -6,8 +6,8 @@
 * ``dim_income_group``: one row per entity (the reference's grain), labelled from GDP per capita.
   Its key ranks the same natural key as ``dim_country``, so ``income_key = country_key``.
 * ``dim_date``: one row per distinct date (a NULL date keeps its own row and the last key).
-* ``fact_covid_cases``: Silver left-joined to the dimension keys.  Dimensions are broadcast only
-  when their exact row count (known from key assignment) is below ``cfg.broadcast_max_rows``.
+* ``fact_covid_cases``: Silver left-joined to the dimension keys.  No broadcast is hinted:
+  the planner and AQE broadcast a dimension only when its size in bytes allows it.
 
 Keys come from ``operators.keys.dense_key`` and are deterministic, so a plan that recomputes a
 dimension gets the same keys; the pipeline still writes the dimensions first and reads them back
@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from tidemark.config import FACT_MEASURES, PanelConfig
 from tidemark.functions.metrics import date_label, is_weekend, month_name, threshold_label
-from tidemark.operators.joins import sized_broadcast
-from tidemark.operators.keys import dense_key, key_stats
+from tidemark.operators.keys import dense_key
+from tidemark.session import materialize
 
 DIM_COUNTRY_COLUMNS = ("country_key", "iso_code", "country_name", "continent", "population",
                        "median_age", "gdp_per_capita", "human_development_index")
@@ -42,7 +42,6 @@ class Star:
     dim_income: DataFrame
     country_rows: int
     date_rows: int
-    broadcast_max_rows: int = 2_000_000     # dims are broadcast only up to this many rows
 
     def tables(self) -> dict[str, DataFrame]:
         return {"fact_covid_cases": self.fact, "dim_country": self.dim_country,
@@ -77,9 +76,8 @@ def country_attributes(silver: DataFrame, cfg: PanelConfig) -> DataFrame:
     )
 
 
-def dim_country(silver: DataFrame, cfg: PanelConfig, stats: tuple[int, int] | None = None):
-    keyed = dense_key(country_attributes(silver, cfg), "iso_code", "country_key",
-                      cfg.key_rows_per_bucket, stats)
+def dim_country(silver: DataFrame, cfg: PanelConfig):
+    keyed = dense_key(country_attributes(silver, cfg), "iso_code", "country_key", cfg.key_buckets)
     return keyed.df.select(*DIM_COUNTRY_COLUMNS), keyed.rows
 
 
@@ -100,38 +98,24 @@ def date_attributes(dates: DataFrame, cfg: PanelConfig) -> DataFrame:
     )
 
 
-def dim_date(silver: DataFrame, cfg: PanelConfig, stats: tuple[int, int] | None = None):
-    keyed = dense_key(silver.select("date").distinct(), "date", "date_key",
-                      cfg.key_rows_per_bucket, stats)
+def dim_date(silver: DataFrame, cfg: PanelConfig):
+    keyed = dense_key(silver.select("date").distinct(), "date", "date_key", cfg.key_buckets)
     return date_attributes(keyed.df, cfg), keyed.rows
 
 
-def fact(silver: DataFrame, dim_country_df: DataFrame, dim_date_df: DataFrame,
-         cfg: PanelConfig, country_rows: int | None = None,
-         date_rows: int | None = None) -> DataFrame:
+def fact(silver: DataFrame, dim_country_df: DataFrame, dim_date_df: DataFrame) -> DataFrame:
     """Silver left-joined to the keys; NULL natural keys get NULL foreign keys."""
-    ckeys = sized_broadcast(
-        dim_country_df.select("iso_code", "country_key",
-                              F.col("country_key").alias("income_key")),
-        country_rows, cfg.broadcast_max_rows)
-    dkeys = sized_broadcast(dim_date_df.select("date", "date_key"), date_rows,
-                            cfg.broadcast_max_rows)
+    ckeys = dim_country_df.select("iso_code", "country_key", F.col("country_key").alias("income_key"))
+    dkeys = dim_date_df.select("date", "date_key")
     joined = silver.join(ckeys, on="iso_code", how="left").join(dkeys, on="date", how="left")
     return joined.select(*FACT_COLUMNS)
 
 
-def build_star(silver: DataFrame, cfg: PanelConfig, persist=None) -> Star:
-    """All four Gold tables.  Silver should already be materialised (written or checkpointed):
-    key assignment runs small actions over it.  ``persist(df, name, rows)`` (optional) stores
-    each keyed dimension once, so plans that use a dimension several times read the small
-    stored copy instead of re-running its aggregate and key window over Silver."""
-    stats = key_stats({"country": (country_attributes(silver, cfg), "iso_code"),
-                       "date": (silver.select("date").distinct(), "date")})   # one job
-    dc, crows = dim_country(silver, cfg, stats["country"])
-    dd, drows = dim_date(silver, cfg, stats["date"])
-    if persist is not None:
-        dc = persist(dc, "dim_country", crows)
-        dd = persist(dd, "dim_date", drows)
-    di = dim_income(dc, cfg)
-    fc = fact(silver, dc, dd, cfg, crows, drows)
-    return Star(fc, dc, dd, di, crows, drows, cfg.broadcast_max_rows)
+def build_star(silver: DataFrame, cfg: PanelConfig) -> Star:
+    """All four Gold tables.  Silver should already be materialised (written or checkpointed): it is
+    scanned once per keyed dimension and once by the fact.  The keyed dimensions are stored once, so
+    plans that use one several times read the small copy."""
+    dc, crows = dim_country(silver, cfg)
+    dd, drows = dim_date(silver, cfg)
+    dc, dd = materialize(dc, "dim_country"), materialize(dd, "dim_date")
+    return Star(fact(silver, dc, dd), dc, dd, dim_income(dc, cfg), crows, drows)

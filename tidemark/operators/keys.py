@@ -1,32 +1,29 @@
-"""Deterministic dense surrogate keys (1..n in natural-key order) without a global sort.
+"""Deterministic dense surrogate keys (1..n in natural-key order) without a global sort in one task.
 
-``monotonically_increasing_id`` encodes the partition id in the high bits, so it is neither
-dense nor stable across re-executions.  A single-partition ``row_number() OVER (ORDER BY k)``
-is dense but funnels every row through one task.  Instead:
+``monotonically_increasing_id`` alone is neither dense nor stable, and a single-partition
+``row_number() OVER (ORDER BY k)`` funnels every row through one task.  Instead:
 
-1. count the distinct natural keys (``n``);
-2. if ``n`` exceeds ``rows_per_bucket``, draw a bounded sample of the keys and take
-   ``B = ceil(n / rows_per_bucket)`` quantile boundaries;
-3. bucket id = number of boundaries <= key, computed by a balanced binary search expression
-   (``log2 B`` comparisons per row, all JVM-side); NULL keys get their own last bucket;
-4. count rows per bucket (``B + 1`` small rows to the driver) and turn them into offsets;
-5. key = offset[bucket] + ``row_number()`` within the bucket ordered by the key.
+1. the keys are range-partitioned into a fixed number of buckets (Spark samples a bounded number of
+   keys per bucket) and sorted within each;
+2. bucket number and position in the bucket are written out with the rows, once, to the shared folder, so
+   what follows does not depend on a second run of the partitioning;
+3. one count per bucket gives the offsets, which are joined back (``buckets`` rows);
+4. key = offset + position + 1.
 
-Each window partition holds one bucket (about ``rows_per_bucket`` rows), so the work spreads over
-``B`` tasks.  The boundaries only decide the bucket sizes, never the result: the key always equals
-the global rank of the natural key, whatever the sample or the partitioning.
+The buckets only decide how the work is spread, never the result: the key equals the global rank
+of the natural key, NULL last.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE_PER_BUCKET = 32
-SAMPLE_SEED = 17
+from tidemark.session import materialize
+
+POSITION_BITS = 33          # monotonically_increasing_id: partition number above, position below
 
 
 @dataclass(frozen=True)
@@ -35,66 +32,25 @@ class KeyedDim:
     rows: int
 
 
-def _bucket_of(key: Column, bounds: list, lo: int, hi: int) -> Column:
-    """Number of ``bounds`` that are <= key, known to lie in [lo, hi]."""
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(key < F.lit(bounds[mid]), _bucket_of(key, bounds, lo, mid)) \
-        .otherwise(_bucket_of(key, bounds, mid + 1, hi))
-
-
-def _boundaries(df: DataFrame, key: str, n: int, buckets: int) -> list:
-    want = buckets * SAMPLE_PER_BUCKET
-    fraction = min(1.0, 2.0 * want / max(n, 1))
-    sample = (df.select(key).where(F.col(key).isNotNull())
-              .sample(withReplacement=False, fraction=fraction, seed=SAMPLE_SEED)
-              .orderBy(key).collect())
-    values = [r[0] for r in sample]
-    if not values:
-        return []
-    step = len(values) / buckets
-    picks = sorted({values[min(len(values) - 1, int(i * step))] for i in range(1, buckets)})
-    return picks
-
-
-def key_stats(inputs: dict[str, tuple[DataFrame, str]]) -> dict[str, tuple[int, int]]:
-    """``(rows, NULL keys)`` for several keyed inputs in ONE job (a union of one-row aggregates),
-    e.g. for all dimensions of a star before their keys are assigned."""
-    parts = [df.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(key).isNull()).alias("nulls"))
-             .select(F.lit(tag).alias("tag"), "n", "nulls")
-             for tag, (df, key) in inputs.items()]
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.unionByName(p)
-    return {r["tag"]: (int(r["n"]), int(r["nulls"])) for r in union.collect()}
-
-
-def dense_key(df: DataFrame, key: str, key_name: str, rows_per_bucket: int = 1_000_000,
-              stats: tuple[int, int] | None = None) -> KeyedDim:
+def dense_key(df: DataFrame, key: str, key_name: str, buckets: int | None = None) -> KeyedDim:
     """Add ``key_name`` (LongType, 1..n) ranking the distinct values of ``key`` ascending,
-    NULL last.  ``df`` must hold one row per value of ``key``.  ``stats`` = ``(rows, NULL keys)``
-    when already known (``key_stats``)."""
-    if stats is None:
-        stats = key_stats({"_": (df, key)})["_"]
-    n, nulls = stats
-    buckets = max(1, math.ceil(n / max(1, rows_per_bucket)))
-    bounds = _boundaries(df, key, n, buckets) if buckets > 1 else []
-    kcol = F.col(key)
-    nb = len(bounds)
-    bucket = F.when(kcol.isNull(), F.lit(nb + 1)).otherwise(_bucket_of(kcol, bounds, 0, nb))
-    tagged = df.withColumn("_bucket", bucket)
-    if nb == 0:
-        counts = {0: n - nulls, 1: nulls}
-    else:
-        counts = {r["_bucket"]: r["count"] for r in tagged.groupBy("_bucket").count().collect()}
+    NULL last.  ``df`` must hold one row per value of ``key``.  ``buckets`` defaults to the
+    session's shuffle partitions."""
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = F.col(key).asc_nulls_last()
+    number = F.monotonically_increasing_id()
+    placed = materialize(
+        df.repartitionByRange(buckets, order).sortWithinPartitions(order).withColumns({
+            "_bucket": F.shiftright(number, POSITION_BITS),
+            "_position": number.bitwiseAND((1 << POSITION_BITS) - 1)}), f"key_{key_name}")
+    counts = {r["_bucket"]: r["count"] for r in placed.groupBy("_bucket").count().collect()}
     offsets, running = [], 0
-    for b in range(nb + 2):
-        offsets.append(running)
-        running += counts.get(b, 0)
-    offset = F.element_at(F.array(*[F.lit(o) for o in offsets]).cast("array<bigint>"),
-                          F.col("_bucket") + 1)
-    w = Window.partitionBy("_bucket").orderBy(kcol.asc_nulls_last())
-    keyed = tagged.withColumn(key_name, (offset + F.row_number().over(w)).cast("bigint")) \
-        .drop("_bucket")
+    for b in sorted(counts):
+        offsets.append((b, running))
+        running += counts[b]
+    first = spark.createDataFrame(offsets, "_bucket long, _first long")
+    keyed = (placed.join(F.broadcast(first), "_bucket")
+             .withColumn(key_name, F.col("_first") + F.col("_position") + 1)
+             .drop("_bucket", "_position", "_first"))
     return KeyedDim(keyed, running)

@@ -87,7 +87,7 @@ def _bracket(qs, m: int, rank: int, accuracy: int, rng: tuple) -> tuple:
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
                     max_group: int = 1_000_000, accuracy: int = 10_000,
-                    max_rounds: int = 24, materialize_input: bool = True) -> DataFrame:
+                    materialize_input: bool = True) -> DataFrame:
     """Rows ``(column, prob, value)``; NULL/NaN values are ignored; an empty column gives NULL.
 
     The selection makes a few passes over the values, so by default the ``(column, value)``
@@ -96,7 +96,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     vals = _long(df, list(columns))
     if materialize_input:
         vals = materialize(vals, "quantile_values")
-    return quantiles_of_values(vals, columns, probs, max_group, accuracy, max_rounds)
+    return quantiles_of_values(vals, columns, probs, max_group, accuracy)
 
 
 def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -110,9 +110,19 @@ def sketch_exprs(accuracy: int) -> list:
             F.percentile_approx("x", [i / GRID for i in range(GRID + 1)], accuracy).alias("qs")]
 
 
+def _narrower(bracket: tuple, whole: tuple) -> tuple:
+    """The bracket, or the lower half of its range by value where the sketch did not shrink that: so every
+    round either answers or at least halves the range, and the search ends."""
+    lo, hi, lo_open, hi_open = bracket
+    if (lo, hi) != tuple(whole[:2]) or lo is None or hi is None:
+        return bracket
+    middle = lo + (hi - lo) / 2
+    return (lo, middle, lo_open, False) if lo < middle < hi else bracket
+
+
 def quantiles_of_values(vals: DataFrame, columns: Sequence[str], probs: Sequence[float],
                         max_group: int = 1_000_000, accuracy: int = 10_000,
-                        max_rounds: int = 24, sketches: dict | None = None) -> DataFrame:
+                        sketches: dict | None = None) -> DataFrame:
     """``exact_quantiles`` over ``(column, x)`` pairs (see ``long_values``).  ``sketches``
     (column -> (n, grid)) may come from an aggregate the caller already runs (``sketch_exprs``);
     otherwise one per-column aggregate computes them."""
@@ -138,15 +148,15 @@ def quantiles_of_values(vals: DataFrame, columns: Sequence[str], probs: Sequence
     at: dict[int, float] = {}
     select: dict[int, tuple] = {}
     pending = dict(targets)
-    for round_no in range(max_rounds):
-        if not pending:
-            break
-        if round_no == 0:      # unrestricted ranges: the per-column sketches are the brackets
+    first_round = True
+    while pending:
+        if first_round:      # unrestricted ranges: the per-column sketches are the brackets
             br = {tid: _bracket(sketches[c][1], sketches[c][0], rank, accuracy,
                                 (None, None, False, False, 0))
                   for tid, (c, rank) in pending.items()}
         else:
-            br = _sketch(vals, pending, ranges, accuracy)
+            br = {tid: _narrower(b, ranges[tid]) for tid, b in _sketch(vals, pending, ranges, accuracy).items()}
+        first_round = False
         t = spark.createDataFrame(
             [(tid, pending[tid][0], *ranges[tid][:4], *br[tid]) for tid in pending],
             RANGE_SCHEMA + ", blo double, bhi double, blo_open boolean, bhi_open boolean")
@@ -184,9 +194,6 @@ def quantiles_of_values(vals: DataFrame, columns: Sequence[str], probs: Sequence
                 ranges[tid] = (blo, bhi, True, True, first + r["at_lo"])
                 nxt[tid] = targets[tid]
         pending = nxt
-    if pending:
-        raise RuntimeError("exact_quantiles did not converge; raise max_rounds or accuracy")
-
     if select:
         sel = spark.createDataFrame(
             [(tid, targets[tid][0], *b) for tid, b in select.items()],

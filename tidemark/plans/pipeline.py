@@ -1,15 +1,16 @@
 """The batch medallion run: Bronze -> Silver (gated) -> Gold, with one scan per layer.
 
 Counts that the reference gets from separate ``count()`` jobs (raw rows, rows after the filter,
-clean rows) are taken with ``DataFrame.observe`` inside the single Silver write job.  Dimensions
-are written first and read back, so the fact's keys are the stored keys.
+clean rows) are taken with ``DataFrame.observe`` inside the single Silver write job.  Keys
+are stored before the fact is joined to them.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import PanelConfig, Rule, default_rules
@@ -39,22 +40,12 @@ def bronze_to_silver(bronze: DataFrame, path: str, cfg: PanelConfig,
 
 
 def silver_to_gold(silver: DataFrame, base: str, cfg: PanelConfig) -> tuple[dict[str, str], dict[str, int]]:
-    """Dimensions are written as soon as their keys exist and read back, so the fact (and every
-    later reader) joins the stored keys."""
-    spark = silver.sparkSession
-    base = base.rstrip("/")
-    paths: dict[str, str] = {}
-
-    def persist(df: DataFrame, name: str, rows: int) -> DataFrame:
-        paths.update(write_star({name: df}, base, {name: rows}))
-        return spark.read.schema(df.schema).parquet(paths[name])
-
-    star = gold.build_star(silver, cfg, persist=persist)
-    paths.update(write_star({"dim_income_group": star.dim_income}, base,
-                            {"dim_income_group": star.country_rows}))
+    """Keys are assigned and stored first; the four tables, written from those, agree."""
+    star = gold.build_star(silver, cfg)
     obs = Observation("fact")
-    fact = star.fact.observe(obs, F.count(F.lit(1)).alias("rows"))
-    paths.update(write_star({"fact_covid_cases": fact}, base))
+    tables = star.tables()
+    tables["fact_covid_cases"] = star.fact.observe(obs, F.count(F.lit(1)).alias("rows"))
+    paths = write_star(tables, base)
     counts = {"fact_rows": int(obs.get["rows"]), "dim_country_rows": star.country_rows,
               "dim_date_rows": star.date_rows, "dim_income_rows": star.country_rows}
     return paths, counts
@@ -62,19 +53,32 @@ def silver_to_gold(silver: DataFrame, base: str, cfg: PanelConfig) -> tuple[dict
 
 def run(bronze: DataFrame, out_dir: str, cfg: PanelConfig, rules: tuple[Rule, ...] | None = None,
         gate: bool = True) -> RunResult:
-    """Bronze -> Silver -> (quality gate) -> Gold under ``out_dir``."""
+    """Bronze -> Silver -> (quality gate) -> Gold, in a folder of this run under ``out_dir``.
+
+    Nothing that readers use is touched before the gate has passed and all Gold tables are complete;
+    then ``current`` names this run's folders.  A run that fails or is stopped at the gate leaves the
+    previous run current, with its dimensions and facts in step."""
     out = out_dir.rstrip("/")
-    silver_path = f"{out}/silver"
+    base = f"{out}/runs/{uuid.uuid4().hex}"
+    silver_path = f"{base}/silver"
     counts = bronze_to_silver(bronze, silver_path, cfg)
-    silver = bronze.sparkSession.read.schema(silver_ops.transform(bronze, cfg).schema) \
-        .parquet(silver_path)
+    spark = bronze.sparkSession
+    silver = spark.read.schema(silver_ops.transform(bronze, cfg).schema).parquet(silver_path)
     rules = rules if rules is not None else default_rules(cfg)
     report = quality.gate(silver, rules) if gate else quality.evaluate(silver, rules)
-    paths, gold_counts = silver_to_gold(silver, f"{out}/gold", cfg)
+    paths, gold_counts = silver_to_gold(silver, f"{base}/gold", cfg)
     counts.update(gold_counts)
+    rows = [("silver", silver_path), *paths.items()]
+    (spark.createDataFrame(rows, "name string, path string").coalesce(1)
+     .write.mode("overwrite").parquet(f"{out}/current"))
     return RunResult(silver_path, paths, counts, report)
 
 
+def current(spark: SparkSession, out_dir: str) -> dict[str, str]:
+    """Folders (by table name) of the last run that was published under ``out_dir``."""
+    return {r["name"]: r["path"] for r in spark.read.parquet(f"{out_dir.rstrip('/')}/current").collect()}
+
+
 def main(argv: list[str] | None = None) -> int:
     """``python -m tidemark.plans.pipeline --raw <csv folder> --out <lake folder>``: read the raw
     panel CSV (header; explicit text schema from the header's column names), run Bronze ->
@@ -82,8 +86,6 @@ def main(argv: list[str] | None = None) -> int:
     import argparse
     import json
 
-    from pyspark.sql import SparkSession
-
     from tidemark.sources.files import read_panel_csv
 
     ap = argparse.ArgumentParser(prog="tidemark.plans.pipeline")

@@ -1,7 +1,7 @@
 """The reference's analytic queries (Q1-Q9) and the per-country best month (W2) over a star.
 
-Every query joins the fact to broadcast dimensions (their row counts are exact in ``Star``), then
-aggregates with partial + final hash aggregation.  Ordered results put NULLs last and break ties
+Every query joins the fact, or the fact reduced to one row per key, to dimensions (which the planner
+broadcasts when their bytes allow it) and aggregates with partial + final hash aggregation.  Ordered results put NULLs last and break ties
 on the entity name so ``LIMIT`` is deterministic; ``orderBy(...).limit(k)`` plans as
 ``TakeOrderedAndProject`` (per-partition top-k, no full sort).
 """
@@ -12,21 +12,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.gold import Star
-from tidemark.operators.joins import sized_broadcast
+
 
 def _country(star: Star, *cols: str) -> DataFrame:
-    return sized_broadcast(star.dim_country.select("country_key", *cols), star.country_rows,
-                           star.broadcast_max_rows)
+    return star.dim_country.select("country_key", *cols)
 
 
 def _date(star: Star, *cols: str) -> DataFrame:
-    return sized_broadcast(star.dim_date.select("date_key", *cols), star.date_rows,
-                           star.broadcast_max_rows)
+    return star.dim_date.select("date_key", *cols)
 
 
 def _income(star: Star) -> DataFrame:
-    return sized_broadcast(star.dim_income.select("income_key", "income_group"),
-                           star.country_rows, star.broadcast_max_rows)
+    return star.dim_income.select("income_key", "income_group")
 
 
 def _entity_maxima(star: Star, figures: dict[str, tuple[str, int | None]], lead: str, k: int | None,

@@ -27,14 +27,13 @@ def silver(spark: SparkSession, sf_dir: str, cfg: PanelConfig = TABLE_CONFIG) ->
     return silver_ops.transform(bronze(spark, sf_dir), cfg)
 
 
-def materialize(df: DataFrame, name: str = "stage", rows: int | None = None) -> DataFrame:
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """See ``tidemark.session.materialize``."""
-    return _materialize(df, name, rows)
+    return _materialize(df, name)
 
 
 def star(spark: SparkSession, sf_dir: str, cfg: PanelConfig = TABLE_CONFIG) -> gold.Star:
-    return gold.build_star(materialize(silver(spark, sf_dir, cfg), "silver"), cfg,
-                           persist=materialize)
+    return gold.build_star(materialize(silver(spark, sf_dir, cfg), "silver"), cfg)
 
 
 def scratch(spark: SparkSession, name: str) -> str:

@@ -7,8 +7,8 @@ physical layout and the constraints a Parquet table does not enforce.
 * ``write_fact_bucketed`` is the counterpart of a distribution key plus a sort key: bucketed by
   ``country_key`` and sorted by ``date_key`` inside each bucket, so a later aggregation or join
   on ``country_key`` reads co-located buckets without an ``Exchange`` and row-group min/max
-  statistics on ``date_key`` stay tight.  ``write_fact_auto`` uses it only when the measured key
-  distribution is not skewed, and otherwise writes rebalanced, sorted Parquet (``write_fact``).
+  statistics on ``date_key`` stay tight.  ``write_fact`` writes rebalanced, sorted Parquet instead,
+  which also suits skewed keys.
 * ``constraint_violations`` enforces NOT NULL / PRIMARY KEY / FOREIGN KEY / VARCHAR length,
   which Parquet tables accept but do not check.
 """
@@ -46,7 +46,7 @@ def create_star(spark: SparkSession, database: str, location: str | None = None,
                 fact_buckets: int | None = 64) -> None:
     """``CREATE TABLE IF NOT EXISTS`` for the four tables (Parquet).  With ``fact_buckets`` the
     fact is bucketed by ``country_key`` and sorted by ``date_key``; pass ``None`` when the key is
-    skewed (``max_key_share``) to keep a plain table."""
+    skewed to keep a plain table."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}"
               + (f" LOCATION '{location}'" if location else ""))
     for name in STAR_TABLES:
@@ -98,52 +98,30 @@ def register(spark: SparkSession, paths: dict[str, str], database: str | None =
             spark.read.parquet(path).createOrReplaceTempView(name + suffix)
 
 
-def write_fact(fact: DataFrame, path: str) -> None:
-    """Plain-Parquet form of the fact layout: clustered by ``country_key`` (REBALANCE: AQE sizes
-    partitions and splits skew) and sorted by ``(country_key, date_key)`` in each file.  No
-    ``coalesce(1)``: writes stay parallel."""
+def write_fact(fact: DataFrame, path: str, table: str | None = None) -> None:
+    """The fact layout: clustered by ``country_key`` (REBALANCE: AQE sizes partitions and splits skew)
+    and sorted by ``(country_key, date_key)`` in each file.  With ``table`` the folder is also
+    registered as an external table, whatever the keys' distribution."""
     (fact.hint("rebalance", "country_key").sortWithinPartitions("country_key", "date_key")
      .write.mode("overwrite").parquet(path))
+    if table:
+        spark = fact.sparkSession
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
 
 
 def write_fact_bucketed(fact: DataFrame, table: str, buckets: int = 64,
                         path: str | None = None) -> None:
-    """Bucketed catalog table: a later group-by / join on ``country_key`` needs no Exchange.
-    Only for keys without heavy skew (see ``write_fact_auto``)."""
-    w = fact.write.mode("overwrite").bucketBy(buckets, "country_key").sortBy("date_key") \
-        .format("parquet")
+    """Bucketed catalog table: a later group-by / join on ``country_key`` needs no Exchange.  The rows
+    are dealt to their buckets before the write, so there is one file per bucket.  A bucket is read
+    by one task: for keys where one holds a large share of the rows use ``write_fact``."""
+    w = (fact.repartition(buckets, "country_key").write.mode("overwrite")
+         .bucketBy(buckets, "country_key").sortBy("date_key").format("parquet"))
     if path:
         w = w.option("path", path)
     w.saveAsTable(table)
 
 
-def max_key_share(df: DataFrame, key: str) -> float:
-    """Largest share of rows held by one value of ``key`` (a keyed count with map-side partial
-    aggregation, then a one-row aggregate; nothing per key reaches the driver)."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    row = counts.agg(F.max("n").alias("top"), F.sum("n").alias("total")).first()
-    return 0.0 if not row["total"] else float(row["top"]) / float(row["total"])
-
-
-def write_fact_auto(fact: DataFrame, buckets: int, table: str | None = None,
-                    path: str | None = None, skew_factor: float = 2.0) -> str:
-    """Pick the fact layout from the measured key distribution.
-
-    A bucketed scan reads each bucket in one task, so bucketing by ``country_key`` is only safe
-    when no country holds much more than its fair share (``skew_factor / buckets`` of the rows).
-    Otherwise the fact is written as rebalanced Parquet sorted by ``(country_key, date_key)``:
-    AQE splits the hot country over several files/tasks.  Returns ``"bucketed"`` or
-    ``"rebalanced"``."""
-    share = max_key_share(fact, "country_key")
-    if table is not None and share <= skew_factor / buckets:
-        write_fact_bucketed(fact, table, buckets, path)
-        return "bucketed"
-    if path is None:
-        raise ValueError("a path is needed for the rebalanced layout")
-    write_fact(fact, path)
-    return "rebalanced"
-
-
 def constraint_violations(star: Star) -> DataFrame:
     """``(constraint, violations)`` for the DDL's NOT NULL / PK / FK / VARCHAR rules.
 

@@ -8,6 +8,7 @@ scratch folder when none is configured (local tests).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -37,9 +38,14 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a scratch one only when the session has none."""
+    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+
+    Only a local master may go without the setting (tests): executors of a cluster would each write
+    to their own disk and not see one another's files, so there an unset folder is an error."""
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="tidemark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -47,22 +53,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
-SINGLE_FILE_MAX_ROWS = 1_000_000
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder name under the shared checkpoint folder."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df, name: str = "stage", rows: int | None = None):
+def materialize(df, name: str = "stage"):
     """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
 
     This cuts lineage (a lost executor re-reads the copy instead of replaying the plan) and,
-    unlike ``Dataset.checkpoint`` on an uncached plan, computes the plan only once.  A table with
-    a known small row count is written as one file."""
+    unlike ``Dataset.checkpoint`` on an uncached plan, computes the plan only once."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    out = df.coalesce(1) if rows is not None and rows <= SINGLE_FILE_MAX_ROWS else df
-    out.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -99,26 +99,16 @@ def write_report(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
-SINGLE_FILE_MAX_ROWS = 1_000_000
-
-
-def write_star(tables: dict[str, DataFrame], base: str,
-               rows: dict[str, int] | None = None) -> dict[str, str]:
-    """Gold sink: dimensions as single files; the fact clustered by ``country_key`` with a
-    ``REBALANCE`` hint (AQE sizes the write partitions by bytes, merges small ones and splits a
-    skewed country instead of funnelling it into one task) and sorted by ``(country_key,
-    date_key)`` inside each file, so row-group min/max statistics prune on both keys.
-
-    A dimension becomes one file only when its exact row count (``rows``, known from key
-    assignment) is at most ``SINGLE_FILE_MAX_ROWS``; a larger one keeps its partitioning."""
+def write_star(tables: dict[str, DataFrame], base: str) -> dict[str, str]:
+    """Gold sink.  All tables are written through a ``REBALANCE`` hint, so AQE sizes the files by bytes at any
+    size: small dimensions become one file, and a skewed country is split instead of funnelled into one
+    task.  The fact is sorted by ``(country_key, date_key)`` inside each file, so row-group min/max
+    statistics prune on both keys."""
     paths = {}
-    rows = rows or {}
     for name, df in tables.items():
         path = f"{base.rstrip('/')}/{name}"
         if name.startswith("dim_"):
-            n = rows.get(name)
-            small = n is not None and n <= SINGLE_FILE_MAX_ROWS
-            (df.coalesce(1) if small else df).write.mode("overwrite").parquet(path)
+            df.hint("rebalance").write.mode("overwrite").parquet(path)
         else:
             (df.hint("rebalance", "country_key").sortWithinPartitions("country_key", "date_key")
              .write.mode("overwrite").parquet(path))
