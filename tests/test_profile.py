@@ -48,3 +48,20 @@ def test_exact_quantiles_match_percentile(spark):
         for p, v in zip(probs, exp[c]):
             assert got[(c, p)] == __import__("pytest").approx(v, rel=1e-12, abs=1e-9)
     assert got[("empty", 0.5)] is None
+
+
+def test_distinct_values_are_typed(spark):
+    from tidemark.operators import profile
+    rows = [(0.0, "a" * 50), (-0.0, "a" * 50), (float("nan"), "a" * 49 + "b"), (None, None), (1.5, "x")]
+    df = spark.createDataFrame(rows, "v double, s string")
+    got = {r["column"]: (r["null_count"], r["unique_count"]) for r in profile.column_profile(df).collect()}
+    assert got == {"v": (2, 2), "s": (1, 3)}
+    assert {r["column"]: r["unique_count"] for r in profile.distinct_counts(df).collect()} == {"v": 2, "s": 3}
+    fold = [1604206800, 1604210400]        # the same local time twice, as clocks go back
+    t = spark.createDataFrame([(s,) for s in fold], "s long").selectExpr("timestamp_seconds(s) AS t")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert profile.column_profile(t).first()["unique_count"] == 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

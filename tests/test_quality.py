@@ -56,3 +56,20 @@ def test_row_rules_one_scan(spark):
     rules = [r for r in default_rules(stages.TABLE_CONFIG) if r.kind not in ("unique", "type")]
     plan = quality.evaluate(s, rules)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Scan parquet") == 5   # the five source tables, scanned once each
+
+
+def test_nan_is_missing_and_mostly_holds_for_every_kind(spark):
+    from tidemark.config import Rule
+    from tidemark.operators import quality
+    df = spark.createDataFrame([(float(i), "x" if i else "odd", None if i == 5 else i) for i in range(100)]
+                               + [(float("nan"), None, 1)], "v double, s string, n int")
+    got = {r["check"]: r for r in quality.evaluate(df, [
+        Rule("between", "between", ("v",), 0, 99),
+        Rule("in_set", "in_set", ("s",), values=("x",), mostly=0.9),
+        Rule("in_set strict", "in_set", ("s",), values=("x",)),
+        Rule("not_null", "not_null", ("n",), mostly=0.9),
+        Rule("nan is null", "not_null", ("v",))]).collect()}
+    assert got["between"]["status"] == "PASS" and got["between"]["observed"] == 100
+    assert got["in_set"]["status"] == "PASS" and got["in_set strict"]["status"] == "FAIL"
+    assert got["not_null"]["status"] == "PASS" and got["not_null"]["unexpected"] == 1
+    assert got["nan is null"]["status"] == "FAIL" and got["nan is null"]["unexpected"] == 1

@@ -87,3 +87,15 @@ def test_load_errors_malformed_lines(spark, tmp_path):
                     ("DDD", "date", "bad")]
     clean = silver.transform(raw, CFG.with_(group_col="iso_code"))
     assert clean.count() == 4                      # malformed lines still load, as in PERMISSIVE
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    import pytest
+
+    from tidemark.sources.files import read_panel_csv
+    (tmp_path / "a.csv").write_text("iso_code,date,new_cases\nFR,2020-01-01,1\n")
+    (tmp_path / "b.csv").write_text("new_cases,\"note, x\",iso_code,date\n2,\"n, m\",DE,2020-01-02\n")
+    rows = read_panel_csv(spark, str(tmp_path), ["iso_code", "date", "new_cases"]).collect()
+    assert sorted(map(tuple, rows)) == [("DE", "2020-01-02", "2"), ("FR", "2020-01-01", "1")]
+    with pytest.raises(ValueError, match="new_deaths"):
+        read_panel_csv(spark, str(tmp_path), ["iso_code", "new_deaths"])

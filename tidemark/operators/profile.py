@@ -39,11 +39,36 @@ def schema_table(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "position int, column string, dtype string")
 
 
+def _value(df: DataFrame, c: str):
+    """The column with NaN as missing, as in the pandas profile this stands for."""
+    col = F.col(_q(c))
+    return F.when(~F.isnan(col), col) if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)) else col
+
+
+def _identity(df: DataFrame, c: str):
+    """A short text that is equal exactly for equal values: -0.0 is 0.0, instants are compared as such and
+    not by their local wording, and long values are represented by a 128-bit digest."""
+    kind, v = df.schema[c].dataType, _value(df, c)
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return (v + F.lit(0.0).cast(kind)).cast("string")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(v).cast("string")
+    if isinstance(kind, T.BinaryType):
+        return F.md5(v)
+    text = v.cast("string")
+    return F.when(F.length(text) > 32, F.concat(F.lit("#"), F.md5(text.cast("binary")))).otherwise(text)
+
+
+def _pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), _identity(df, c).alias("value")) for c in cols])
+    return df.select(F.inline(pairs))
+
+
 def null_counts(df: DataFrame) -> DataFrame:
     """``(column, null_count, null_pct)`` for every column, one aggregate pass."""
     cols = df.columns
     exprs = [F.count(F.lit(1)).alias("_n")] + [
-        F.count_if(F.col(_q(c)).isNull()).alias(f"n{i}") for i, c in enumerate(cols)]
+        F.count_if(_value(df, c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)]
     one = df.agg(*exprs)
     stack = ", ".join(f"{_lit(c)}, n{i}" for i, c in enumerate(cols))
     return one.select("_n", F.expr(f"stack({len(cols)}, {stack}) as (column, null_count)")) \
@@ -68,14 +93,12 @@ def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None,
     ``rsd``) in a single aggregate with bounded memory and no shuffle of the data."""
     cols = list(columns or df.columns)
     if not exact:
-        one = df.agg(*[F.approx_count_distinct(F.col(_q(c)), rsd).alias(f"d{i}")
+        one = df.agg(*[F.approx_count_distinct(_value(df, c), rsd).alias(f"d{i}")
                        for i, c in enumerate(cols)])
         stack = ", ".join(f"{_lit(c)}, d{i}" for i, c in enumerate(cols))
         return one.select(F.expr(f"stack({len(cols)}, {stack}) as (column, unique_count)")) \
             .withColumn("unique_count", F.col("unique_count").cast("bigint"))
-    stack = ", ".join(f"{_lit(c)}, CAST({_q(c)} AS STRING)" for c in cols)
-    pairs = df.select(F.expr(f"stack({len(cols)}, {stack}) as (column, value)")) \
-        .where(F.col("value").isNotNull())
+    pairs = _pairs(df, cols).where(F.col("value").isNotNull())
     per_value = pairs.distinct()
     counted = per_value.groupBy("column").agg(F.count(F.lit(1)).alias("unique_count"))
     names = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
@@ -184,8 +207,7 @@ def column_profile(df: DataFrame) -> DataFrame:
     per pair with map-side partial aggregation, then reduced per column to the NULL count, the
     distinct non-null count and the row count."""
     cols = df.columns
-    stack = ", ".join(f"{_lit(c)}, CAST({_q(c)} AS STRING)" for c in cols)
-    pairs = df.select(F.expr(f"stack({len(cols)}, {stack}) as (column, value)"))
+    pairs = _pairs(df, cols)
     per_value = pairs.groupBy("column", "value").agg(F.count(F.lit(1)).alias("c"))
     per_col = per_value.groupBy("column").agg(
         F.sum("c").alias("n"),

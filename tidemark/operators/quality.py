@@ -49,18 +49,23 @@ class _Agg:
     observed: Column        # non-null values seen (or row count)
 
 
-def _row_aggs(rules: Sequence[Rule]) -> list[_Agg]:
+def _value(df: DataFrame, name: str) -> Column:
+    """The column with NaN as missing, as the reference's pandas-based checks have it."""
+    c = F.col(name)
+    return F.when(~F.isnan(c), c) if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)) else c
+
+
+def _row_aggs(df: DataFrame, rules: Sequence[Rule]) -> list[_Agg]:
     out = []
     for r in rules:
         if r.kind == "not_null":
-            c = F.col(r.columns[0])
-            out.append(_Agg(r, F.count_if(c.isNull()), F.count(F.lit(1))))
+            out.append(_Agg(r, F.count_if(_value(df, r.columns[0]).isNull()), F.count(F.lit(1))))
         elif r.kind == "between":
-            c = F.col(r.columns[0])
+            c = _value(df, r.columns[0])
             bad = c.isNotNull() & ~c.between(F.lit(r.low), F.lit(r.high))
             out.append(_Agg(r, F.count_if(bad), F.count(c)))
         elif r.kind == "in_set":
-            c = F.col(r.columns[0])
+            c = _value(df, r.columns[0])
             bad = c.isNotNull() & ~c.isin(*r.values)
             out.append(_Agg(r, F.count_if(bad), F.count(c)))
         elif r.kind == "row_count":
@@ -110,7 +115,7 @@ def evaluate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     Row rules share one aggregate (unpivoted with ``stack``; plan-time type results ride along as
     literal rows); each uniqueness rule adds one keyed aggregate.  The result is small and lazy."""
     frames: list[DataFrame] = []
-    row_aggs = _row_aggs(rules)
+    row_aggs = _row_aggs(df, rules)
     pos_of = {r.name: i for i, r in enumerate(rules)}
     type_rows = []
     for pos, r in enumerate(rules):
@@ -132,7 +137,7 @@ def evaluate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             u, o, r = F.col(f"u{i}"), F.col(f"o{i}"), a.rule
             if r.kind == "row_count":
                 ok = o.between(F.lit(r.low), F.lit(r.high))
-            elif r.kind == "between" and r.mostly < 1.0:
+            elif r.mostly < 1.0:
                 ok = (o == 0) | ((o - u) / o >= F.lit(r.mostly))
             else:
                 ok = u == 0

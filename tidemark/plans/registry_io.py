@@ -49,6 +49,33 @@ def src_csv_silver(spark, sf_dir):
     return silver_ops.stamp_free(silver_ops.transform(raw, CFG))
 
 
+def _shuffled_landing(spark, sf_dir):
+    """CSV files of three layouts: the declared order, reversed, and with another column in between."""
+    path = stages.scratch(spark, "landing_mixed")
+    b = stages.materialize(stages.bronze(spark, sf_dir), "bronze")
+    part = F.pmod(F.xxhash64("iso_code", "date"), F.lit(3))
+    for k, cols in enumerate((PANEL_COLUMNS, PANEL_COLUMNS[::-1],
+                              (*PANEL_COLUMNS[5:], "note", *PANEL_COLUMNS[:5]))):
+        (b.where(part == k).withColumn("note", F.lit("x, \"y\"")).select(*cols).coalesce(2)
+         .write.mode("append").option("header", True).csv(path))
+    return path
+
+
+@reg("src_csv_shuffled_header", SILVER_SQL)
+def src_csv_shuffled_header(spark, sf_dir):
+    """Files whose headers have the columns in different orders: bound by name, the same Silver."""
+    raw = files.read_panel_csv(spark, _shuffled_landing(spark, sf_dir), PANEL_COLUMNS)
+    return silver_ops.stamp_free(silver_ops.transform(raw, CFG))
+
+
+@reg("stream_csv_shuffled_header", SILVER_SQL)
+def stream_csv_shuffled_header(spark, sf_dir):
+    sink = stages.scratch(spark, "silver_stream")
+    silver_stream(spark, _shuffled_landing(spark, sf_dir), PANEL_COLUMNS, sink,
+                  stages.scratch(spark, "silver_ckpt"), CFG, max_files_per_trigger=3)
+    return silver_ops.stamp_free(spark.read.parquet(sink)).select(*SILVER_NO_STAMP)
+
+
 @reg("src_partitioned_csv", with_panel(
     "SELECT CAST(year(date) AS INTEGER) AS year, CAST(count(*) AS BIGINT) AS row_count "
     "FROM panel GROUP BY 1"))

@@ -1,7 +1,7 @@
 """File sources and sinks for the layers.
 
-* Raw CSV is read with an explicit all-text schema (no inference pass over the data; a malformed
-  number cannot fail the read).  Typed columns are produced later by ``try_cast`` in Silver, and
+* Raw CSV columns are found by name in each file's header and read as text (no inference pass over
+  the data; a malformed number cannot fail the read).  Typed columns are produced later by ``try_cast`` in Silver, and
   ``load_errors`` lists the cells whose text did not convert (the load-error table).
 * Reading a landing *directory* enables Hive-style partition discovery (``year=2024``).
 * Sinks never ``coalesce(1)`` a large table; only small dimension tables and reports are written
@@ -10,6 +10,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,18 +23,49 @@ from tidemark.config import PanelConfig, bronze_schema
 CORRUPT_COLUMN = "_corrupt_record"
 
 
+def csv_headers(spark: SparkSession, path: str | Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """Header -> the files that have it.  Only each file's first block is read."""
+    lines = (spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+             .where("file_block_start = 0").withColumn("row", F.monotonically_increasing_id()))
+    first = lines.groupBy("file_path").agg(F.min_by("value", "row").alias("header"))
+    out: dict[tuple[str, ...], list[str]] = {}
+    for r in first.groupBy("header").agg(F.sort_array(F.collect_list("file_path")).alias("files")).collect():
+        names = tuple(c.strip() for c in next(csv.reader([r["header"].lstrip("\ufeff")]), []))
+        out.setdefault(names, []).extend(r["files"])
+    return out
+
+
 def read_panel_csv(spark: SparkSession, path: str, columns: Sequence[str],
-                   header: bool = True, keep_malformed: bool = False) -> DataFrame:
-    """Raw panel CSV (file or directory) with the given column names, all as text.
+                   keep_malformed: bool = False, files: Sequence[str] | None = None) -> DataFrame:
+    """Raw panel CSV (file or directory): the given columns, found by *name* in each file's header, all
+    as text.  Files may have their columns in different orders, and others besides; a file without one of
+    ``columns`` is an error.  ``files`` restricts the read to some files of ``path``.
 
     ``keep_malformed`` adds ``_corrupt_record``: the raw text of lines whose field count does not
-    match the schema (PERMISSIVE mode), for ``load_errors``."""
-    schema = bronze_schema(columns)
-    reader = spark.read.option("header", header).option("mode", "PERMISSIVE")
-    if keep_malformed:
-        schema = schema.add(CORRUPT_COLUMN, T.StringType())
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-    return reader.schema(schema).csv(path)
+    match the header (PERMISSIVE mode), for ``load_errors``; it then keeps each file's other columns if
+    all files have the same header, because only a parse of all columns finds such lines."""
+    headers = csv_headers(spark, list(files) if files else path)
+    parts = []
+    for header, own in sorted(headers.items()):
+        missing = [c for c in columns if c not in header]
+        if missing:
+            raise ValueError(f"no column {', '.join(missing)} in the header of {own[0]}")
+        schema = bronze_schema(header)
+        reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+        if keep_malformed:
+            schema = schema.add(CORRUPT_COLUMN, T.StringType())
+            reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+        reader = reader.schema(schema)
+        df = reader.csv(path) if len(headers) == 1 and not files else reader.option("basePath", path).csv(own)
+        partition = [c for c in df.columns if c not in header and c != CORRUPT_COLUMN]
+        others = [c for c in header if c not in columns] if keep_malformed and len(headers) == 1 else []
+        parts.append(df.select(*columns, *others, *[CORRUPT_COLUMN] * keep_malformed, *partition))
+    if not parts:
+        return spark.createDataFrame([], bronze_schema(columns))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def read_any(spark: SparkSession, path: str, fmt: str = "csv", infer: bool = True) -> DataFrame:
