@@ -68,3 +68,14 @@ def test_event_stream_per_batch_summaries(spark, tmp_path):
     audit.stream_events(spark, str(landing), sink, ckpt, max_files_per_trigger=1,
                         summary_sink=summary)                          # nothing new
     assert spark.read.parquet(sink).count() == 4
+
+
+def test_quarantine_keeps_what_gives_no_row(spark):
+    from tidemark.streaming import audit
+    good = '{"Records": [{"eventTime": "t", "s3": {"bucket": {"name": "b-bronze"}, "object": {"key": "k", "size": 1}}}]}'
+    bodies = [good, good[:50], '{"Records": [{"eventTime": "t"}]}', "{}", "", "[1]", None, "null", '{"Records": []}']
+    df = spark.createDataFrame([(b,) for b in bodies], "body string")
+    got = {(r["body"], r["reason"], r["records"]) for r in audit.quarantine(df).collect()}
+    assert got == {(good[:50], "malformed", 0), (bodies[2], "no bucket", 1), ("", "malformed", 0), ("[1]", "malformed", 0),
+                   (None, "malformed", 0), ("null", "malformed", 0)}
+    assert audit.from_events(df).count() == 1

@@ -60,7 +60,7 @@ def order_measures(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _per_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_quantity", "l_returnflag",
                     "l_discount", "l_linestatus")
     orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
@@ -68,22 +68,21 @@ def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, sf_dir, "region", "r_regionkey", "r_name")
     per_order = order_measures(li)
-    # customer -> (nation, region): a map-side join with the tiny fixed geography, so the
-    # customer side carries its labels into the one join with the orders.
-    geo = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-    cust_geo = cust.join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"))
-    return (
+    per_nation = (
         per_order.join(orders, per_order.l_orderkey == orders.o_orderkey)
-        .join(cust_geo, F.col("o_custkey") == F.col("c_custkey"))
-        .withColumn("d", F.to_date("o_orderdate"))
-    )
+        .join(cust, F.col("o_custkey") == F.col("c_custkey"))
+        .groupBy("c_nationkey", F.to_date("o_orderdate").alias("d"))
+        .agg(*[F.sum(c).alias(c) for c in ("nc", "nd", "icu", "q", "f")]))
+    # names come in only now, over one row per nation and date
+    geo = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    return per_nation.join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"))
 
 
-def daily_sums(joined: DataFrame) -> DataFrame:
-    """Per (nation, date) and per (region, date) sums in ONE aggregate (grouping sets), so the
-    join runs once; ``gid`` = 0 marks nation rows."""
+def daily_sums(per_nation: DataFrame) -> DataFrame:
+    """Per (nation, date) and per (region, date) sums by grouping sets over the rows per nation and date, so
+    neither the join nor the large aggregate sees a row twice; ``gid`` = 0 marks nation rows."""
     keys = ("n_nationkey", "n_name", "r_regionkey", "r_name", "d")
-    return joined.groupingSets(
+    return per_nation.groupingSets(
         [list(keys), ["r_regionkey", "r_name", "d"]], *keys,
     ).agg(
         F.sum("nc").alias("nc"), F.sum("nd").alias("nd"), F.sum("icu").alias("icu"),
@@ -126,4 +125,4 @@ def panel_from_daily(daily: DataFrame) -> DataFrame:
 
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw panel (Bronze equivalent) over the tables in ``sf_dir``."""
-    return panel_from_daily(daily_sums(_joined(spark, sf_dir)))
+    return panel_from_daily(daily_sums(_per_nation(spark, sf_dir)))

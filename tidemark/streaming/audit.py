@@ -56,10 +56,26 @@ def size_mb(size_bytes: Column) -> Column:
     return F.bround(F.coalesce(size_bytes, F.lit(0)) / BYTES_PER_MB, 2)
 
 
+def quarantine(events: DataFrame, body_col: str = "body") -> DataFrame:
+    """Bodies that ``from_events`` can take no row from, or not every row: ``(body, reason, records)``.
+
+    ``malformed``: no JSON, or no object; ``no bucket``: ``records`` of its records name no bucket.
+    A body without records, as a test notification, is neither."""
+    body = F.col(body_col)
+    records = F.from_json(body, EVENT_SCHEMA)["Records"]
+    unnamed = F.size(F.filter(records, lambda r: r["s3"]["bucket"]["name"].isNull()))
+    kind = F.coalesce(F.substring(F.schema_of_variant(F.try_parse_json(body)), 1, 6), F.lit(""))
+    reason = F.when(kind != "OBJECT", "malformed").when(unnamed > 0, "no bucket")
+    return (events.select(body.alias("body"), reason.alias("reason"),
+                          F.when(reason == "no bucket", unnamed).otherwise(0).cast("long").alias("records"))
+            .where(F.col("reason").isNotNull()))
+
+
 def from_events(events: DataFrame, body_col: str = "body",
                 with_timestamp: bool = False) -> DataFrame:
+    """One audit row per record that names its bucket; see ``quarantine`` for the others."""
     parsed = events.select(F.from_json(F.col(body_col), EVENT_SCHEMA).alias("ev"))
-    rec = parsed.select(F.explode("ev.Records").alias("r"))
+    rec = parsed.select(F.explode("ev.Records").alias("r")).where(F.col("r.s3.bucket.name").isNotNull())
     cols = [
         F.col("r.eventTime").alias("event_time"),
         F.lit(AUDIT_PROJECT).alias("project"),
