@@ -182,6 +182,16 @@ def gate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return result
 
 
+def gate_outcome(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """What ``gate`` decides, as rows ``(outcome, check)``: one per failed check, or a single ``PASS``."""
+    try:
+        gate(df, rules)
+        rows = [("PASS", None)]
+    except QualityError as exc:
+        rows = [("STOP", r["check"]) for r in exc.failed]
+    return df.sparkSession.createDataFrame(rows, "outcome string, check string")
+
+
 def varchar_violations(df: DataFrame, limits: dict[str, int]) -> DataFrame:
     """Rows per column whose text exceeds the declared VARCHAR length (one aggregate)."""
     present = [(c, n) for c, n in limits.items() if c in df.columns]

@@ -7,6 +7,7 @@ what the feature reads back, so the oracle can check the round trip.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import functions as F
@@ -295,6 +296,69 @@ def stream_audit_files(spark, sf_dir):
     return spark.read.parquet(sink).drop("event_time")
 
 
+_FILES_SQL = f"""
+SELECT bucket, CASE WHEN contains(bucket, 'bronze') THEN 'BRONZE' WHEN contains(bucket, 'silver') THEN 'SILVER'
+                    WHEN contains(bucket, 'gold') THEN 'GOLD' ELSE 'UNKNOWN' END AS layer, 'TXT' AS file_ext,
+       CAST(round_even(CAST(bytes / 1048576 AS DECIMAL(38,18)), 2) AS DOUBLE) AS size_mb, 'INGESTED' AS status
+FROM (SELECT {_bucket_case('event_type')} AS bucket,
+             sum(strlen(event_type || ',' || event_id || ',' || props) + 1) AS bytes FROM events GROUP BY 1) b"""
+
+
+def _event_files(spark, sf_dir):
+    """One text file per bucket folder, its bytes known from the table."""
+    ev = read_table(spark, sf_dir, "events", "event_id", "event_type", "props")
+    bucket = F.coalesce(*[F.when(F.col("event_type") == et, b) for et, b in audit.EVENT_BUCKETS])
+    path = stages.scratch(spark, "event_files")
+    (ev.select(bucket.alias("bucket"), F.concat_ws(",", "event_type", "event_id", "props").alias("value"))
+     .repartition("bucket").write.partitionBy("bucket").text(path))
+    return path
+
+
+@reg("audit_files_layers", _FILES_SQL)
+def audit_files_layers(spark, sf_dir):
+    """Audit of files written from a table: layer from the folder, sizes in real bytes."""
+    found = audit.list_files(spark, _event_files(spark, sf_dir), "*.txt")
+    return audit.files_audit(found).select("bucket", "layer", "file_ext", "size_mb", "status")
+
+
+@reg("stream_audit_files_layers", _FILES_SQL)
+def stream_audit_files_layers(spark, sf_dir):
+    sink = stages.scratch(spark, "audit_sink")
+    audit.stream_files(spark, _event_files(spark, sf_dir), None, sink, stages.scratch(spark, "audit_ckpt"), "*.txt")
+    return spark.read.parquet(sink).select("bucket", "layer", "file_ext", "size_mb", "status")
+
+
+# ---------------------------------------------------------------- run times (P13) and the gate (Q19)
+_RUN = dt.datetime(2024, 1, 2, 3, 4, 5, tzinfo=dt.timezone.utc)
+
+
+@reg("silver_ingested_at", with_panel(
+    "SELECT iso_code, date, '2024-01-02 03:04:05' AS ingested_at FROM silver"))
+def silver_ingested_at(spark, sf_dir):
+    silver = stages.silver(spark, sf_dir, CFG.with_(run_ts=_RUN))
+    utc = F.to_utc_timestamp(F.col("ingested_at"), F.current_timezone())
+    return silver.select("iso_code", "date", F.date_format(utc, "yyyy-MM-dd HH:mm:ss").alias("ingested_at"))
+
+
+_LENIENT = tuple(r for r in default_rules(CFG) if r.kind in ("not_null", "unique"))
+_STRICT = default_rules(CFG.with_(row_count_bounds=(1, 2), valid_groups=("ASIA",)))
+
+
+def _gate_sql(rules):
+    return with_panel(f"""SELECT 'STOP' AS outcome, "check" FROM ({oracle.dq_sql(rules, 'silver')}) r WHERE status = 'FAIL'
+UNION ALL SELECT 'PASS', NULL WHERE NOT EXISTS (SELECT 1 FROM ({oracle.dq_sql(rules, 'silver')}) r WHERE status = 'FAIL')""")
+
+
+@reg("dq_gate_pass", _gate_sql(_LENIENT))
+def dq_gate_pass(spark, sf_dir):
+    return quality.gate_outcome(stages.materialize(stages.silver(spark, sf_dir), "silver"), _LENIENT)
+
+
+@reg("dq_gate_stop", _gate_sql(_STRICT))
+def dq_gate_stop(spark, sf_dir):
+    return quality.gate_outcome(stages.materialize(stages.silver(spark, sf_dir), "silver"), _STRICT)
+
+
 # ---------------------------------------------------------------- streaming Silver (ST4)
 @reg("stream_silver", SILVER_SQL)
 def stream_silver(spark, sf_dir):

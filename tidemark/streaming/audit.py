@@ -140,13 +140,15 @@ BINARY_SCHEMA = T.StructType([
 ])
 
 
-def files_audit(files: DataFrame, bucket: str) -> DataFrame:
-    """Audit rows for ``binaryFile`` rows (path, modificationTime, length)."""
+def files_audit(files: DataFrame, bucket: str | None = None) -> DataFrame:
+    """Audit rows for ``binaryFile`` rows (path, modificationTime, length).  Without ``bucket`` it is
+    the name of the file's folder (of a partition folder ``bucket=x``: ``x``)."""
+    place = F.lit(bucket) if bucket else F.regexp_extract("path", r"([^/=]+)/[^/]*$", 1)
     return files.select(
         F.date_format("modificationTime", "yyyy-MM-dd'T'HH:mm:ss").alias("event_time"),
         F.lit(AUDIT_PROJECT).alias("project"),
-        layer_of(F.lit(bucket)).alias("layer"),
-        F.lit(bucket).alias("bucket"),
+        layer_of(place).alias("layer"),
+        place.alias("bucket"),
         F.col("path").alias("file_key"),
         file_ext(F.col("path")).alias("file_ext"),
         size_mb(F.col("length")).alias("size_mb"),
@@ -160,7 +162,7 @@ def list_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
             .select("path", "modificationTime", "length"))
 
 
-def stream_files(spark: SparkSession, folder: str, bucket: str, sink: str, checkpoint: str,
+def stream_files(spark: SparkSession, folder: str, bucket: str | None, sink: str, checkpoint: str,
                  glob: str = "*", max_files_per_trigger: int = 10_000):
     """Audit every file arriving in ``folder`` into the Parquet table ``sink``; processes the
     backlog in bounded micro-batches and stops (``availableNow``).  Returns the finished
