@@ -49,7 +49,7 @@ def test_load_enforces_varchar_and_register(spark, tmp_path):
 
 def test_constraints_clean_on_built_star(spark):
     v = warehouse.constraint_violations(stages.star(spark, SF_SMALL)).collect()
-    assert len(v) == 14 and all(r["violations"] == 0 for r in v)
+    assert len(v) == 16 and all(r["violations"] == 0 for r in v)
 
 
 def test_layout_is_registered_whatever_the_skew(spark, tmp_path):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import functions as F
 
 from tidemark.config import FACT_MEASURES, default_rules
@@ -223,13 +225,16 @@ SELECT "constraint", violations FROM (
   UNION ALL SELECT 12, 'dim_date.covid_wave varchar(50)', CAST(count_if(length(covid_wave) > 50) AS BIGINT) FROM dim_date
   UNION ALL SELECT 13, 'dim_income_group.iso_code varchar(10)', CAST(count_if(length(iso_code) > 10) AS BIGINT) FROM dim_income_group
   UNION ALL SELECT 14, 'dim_income_group.income_group varchar(30)', CAST(count_if(length(income_group) > 30) AS BIGINT) FROM dim_income_group
+  UNION ALL SELECT 15, 'dim_date.date_key not null', count_if(date_key IS NULL) FROM dim_date
+  UNION ALL SELECT 16, 'dim_income_group.income_key not null', count_if(income_key IS NULL) FROM dim_income_group
 ) c ORDER BY pos""")
 
 
 @reg("dq_constraints", CONSTRAINT_SQL)
 def dq_constraints(spark, sf_dir):
     from tidemark.plans.warehouse import constraint_violations
-    return constraint_violations(stages.star(spark, sf_dir))
+    star = stages.star(spark, sf_dir)
+    return constraint_violations(dataclasses.replace(star, fact=stages.materialize(star.fact, "fact")))
 
 
 # ---------------------------------------------------------------- profiling

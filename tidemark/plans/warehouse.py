@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from tidemark.config import VARCHAR_LIMITS
 from tidemark.operators.gold import Star
-from tidemark.operators.quality import orphans
 
 DDL = {
     "dim_country": ("country_key BIGINT NOT NULL, iso_code VARCHAR(10) NOT NULL, "
@@ -125,33 +124,34 @@ def write_fact_bucketed(fact: DataFrame, table: str, buckets: int = 64,
 def constraint_violations(star: Star) -> DataFrame:
     """``(constraint, violations)`` for the DDL's NOT NULL / PK / FK / VARCHAR rules.
 
-    Each check is an aggregate over one table; foreign keys are anti joins of the distinct fact
-    keys against the (broadcastable) dimension keys."""
-    dc, dd, di, f = star.dim_country, star.dim_date, star.dim_income, star.fact
-
-    def pk_dups(df, key):
-        return df.agg((F.count(F.lit(1)) - F.count_distinct(key)).alias("v"))
-
-    def fk(col, dim, key):
-        return orphans(f, [col], dim, [key]).agg(F.count(F.lit(1)).alias("v"))
-
-    checks = [
-        ("dim_country.country_key not null", dc.agg(F.count_if(F.col("country_key").isNull()).alias("v"))),
-        ("dim_country.country_key unique", pk_dups(dc, "country_key")),
-        ("dim_date.date_key unique", pk_dups(dd, "date_key")),
-        ("dim_income_group.income_key unique", pk_dups(di, "income_key")),
-        ("fact.country_key references dim_country", fk("country_key", dc, "country_key")),
-        ("fact.date_key references dim_date", fk("date_key", dd, "date_key")),
-        ("fact.income_key references dim_income_group", fk("income_key", di, "income_key")),
-    ]
-    tables = {"dim_country": dc, "dim_date": dd, "dim_income_group": di}
-    for tname, limits in VARCHAR_LIMITS.items():
-        for col, n in limits.items():
-            checks.append((f"{tname}.{col} varchar({n})",
-                           tables[tname].agg(F.count_if(F.length(col) > n).alias("v"))))
-    out = None
-    for pos, (name, df) in enumerate(checks):
-        part = df.select(F.lit(pos).alias("_pos"), F.lit(name).alias("constraint"),
-                         F.col("v").cast("bigint").alias("violations"))
-        out = part if out is None else out.unionByName(part)
-    return out.orderBy("_pos").drop("_pos")
+    One aggregate per dimension, and one pass over the fact: its distinct keys, tagged by the table they
+    refer to, anti-joined to all dimensions' keys (violations count distinct missing keys).  Pass a star
+    read from its stored tables, so that nothing is computed again."""
+    spark = star.fact.sparkSession
+    dims = {"dim_country": (star.dim_country, "country_key"), "dim_date": (star.dim_date, "date_key"),
+            "dim_income_group": (star.dim_income, "income_key")}
+    parts = []
+    for table, (df, key) in dims.items():
+        rules = [(f"{table}.{key} not null", F.count_if(F.col(key).isNull())),
+                 (f"{table}.{key} unique", F.count(F.lit(1)) - F.count_distinct(key))]
+        rules += [(f"{table}.{col} varchar({n})", F.count_if(F.length(col) > n))
+                  for col, n in VARCHAR_LIMITS.get(table, {}).items()]
+        one = df.agg(*[v.cast("bigint").alias(f"v{i}") for i, (_, v) in enumerate(rules)])
+        parts.append(one.select(F.inline(F.array(*[
+            F.struct(F.lit(name).alias("constraint"), F.col(f"v{i}").alias("violations"))
+            for i, (name, _) in enumerate(rules)]))))
+    tagged = star.fact.select(F.inline(F.array(*[
+        F.struct(F.lit(t).alias("dim"), F.col(key).alias("k")) for t, (_, key) in dims.items()])))
+    known = None
+    for table, (df, key) in dims.items():
+        own = df.select(F.lit(table).alias("dim"), F.col(key).alias("k"))
+        known = own if known is None else known.unionByName(own)
+    missing = (tagged.where(F.col("k").isNotNull()).distinct().join(known, ["dim", "k"], "left_anti")
+               .groupBy("dim").agg(F.count(F.lit(1)).alias("v")))
+    names = spark.createDataFrame([(t, f"fact.{key} references {t}") for t, (_, key) in dims.items()],
+                                  "dim string, constraint string")
+    parts.append(names.join(missing, "dim", "left").select("constraint", F.coalesce("v", F.lit(0)).alias("violations")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
