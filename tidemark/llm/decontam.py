@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import documents, ship, text_or_empty
+from tidemark.llm.common import documents, each, ship, text_or_empty
 
 CHUNK = 64
 SHINGLE = 5
@@ -243,7 +243,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 at, rows = [], []
-                for k, text in enumerate(b.column(1).to_pylist()):
+                for k, text in enumerate(each(b.column(1))):
                     found = index.leaks(text)
                     at += [k] * len(found)
                     rows += found

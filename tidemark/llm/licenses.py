@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, ship, text_or_empty
+from tidemark.llm.common import documents, each, ship, text_or_empty
 
 WORD = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -224,7 +224,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [scanner.scan(t) for t in b.column(1).to_pylist()]
+            rows = [scanner.scan(t) for t in each(b.column(1))]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), *[pa.array([r[f] for r in rows], kind) for f, kind in _FIELDS]],
                 names=[id_col, *[f for f, _ in _FIELDS]])

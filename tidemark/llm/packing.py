@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, ship, text_or_empty
+from tidemark.llm.common import documents, each, ship, text_or_empty
 from tidemark.llm.tokens import encoder
 
 END = 2
@@ -70,7 +70,7 @@ def _encode(path: str | None):
         for b in batches:
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1),
-                 pa.array([enc.encode(t) + end for t in b.column(2).to_pylist()], pa.binary())],
+                 pa.array([enc.encode(t) + end for t in each(b.column(2))], pa.binary())],
                 names=["block", "id", "ids"])
     return run
 
