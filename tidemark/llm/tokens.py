@@ -1,16 +1,22 @@
 """Token ids by a public tokenizer file, in Spark's Python workers.
 
 The tokenizer of ``word_bpe_49k.json`` drops white space before it looks for merges, so a text's ids
-are those of its blank-separated stretches, one after the other.  Stretches repeat, so each worker
-keeps the ids of up to ``KNOWN`` of them and asks the tokenizer only for new ones.
+are those of its blank-separated stretches, one after the other.  Stretches repeat, so each worker keeps
+the ids of up to ``KNOWN`` of them.  A new stretch that is one lower-case word goes straight to the merges;
+marks after a word are a piece of their own; any other stretch goes through the whole tokenizer.
 """
 
 from __future__ import annotations
 
-import re
+import string
+import sys
+import unicodedata
+from array import array
 
-KNOWN = 600_000
-_STOP = re.compile(r"(?<=[a-z])[.,](?![^ ])")
+if sys.byteorder != "little":
+    raise ImportError("ids are kept as this machine's 16-bit integers, which must be little-endian")
+MARKS = string.punctuation
+KNOWN = 700_000
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -19,6 +25,13 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def byte_characters() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others for characters from 256 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
 class Encoder(dict):
     """Stretch -> its ids as little-endian unsigned 16-bit integers."""
 
@@ -28,23 +41,42 @@ class Encoder(dict):
         self.tokenizer = Tokenizer.from_file(path)
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids of more than 16 bits")
+        self.merge = self.tokenizer.model.tokenize
+        self.alphabet = byte_characters()
 
     def __missing__(self, stretch: str) -> bytes:
-        ids = self.tokenizer.encode(stretch, add_special_tokens=False).ids
-        out = b"".join([i.to_bytes(2, "little") for i in ids])
+        word = stretch.rstrip(MARKS)
+        if word != stretch and word.isalpha():
+            out = self[word] + self[stretch[len(word):]]
+        elif word is stretch and self._is_word(stretch):
+            word = stretch.lower()
+            if not word.isascii():
+                word = word.encode("utf-8").decode("latin-1").translate(self.alphabet)
+            out = array("H", [t.id for t in self.merge(word)]).tobytes()
+        else:
+            out = array("H", self.tokenizer.encode(stretch, add_special_tokens=False).ids).tobytes()
         if len(self) < KNOWN and len(stretch) <= 64:
             self[stretch] = out
         return out
 
+    @staticmethod
+    def _is_word(stretch: str) -> bool:
+        """One run of letters whose normal form and lower case leave no room for doubt."""
+        if not stretch.isalpha():
+            return False
+        if stretch.isascii():
+            return True
+        low = stretch.lower()
+        return ("\u03a3" not in stretch and low.isalpha() and len(low) == len(stretch)
+                and unicodedata.is_normalized("NFC", stretch) and unicodedata.is_normalized("NFC", low))
+
     def encode(self, text: str) -> bytes:
         """The ids of a whole text.
 
-        Plain blanks and line feeds separate stretches.  The tokenizer takes letters in lower case and
-        one full stop or comma after a letter as a piece of its own, so both are done here first;
-        then fewer stretches differ.  A text that may name a special token is left as it is."""
+        Plain blanks and line feeds separate stretches.  A-Z are put in lower case first, as the tokenizer does,
+        so that fewer stretches differ, unless the text may name a special token."""
         if "<|" not in text:
             text = text.encode("utf-8").lower().decode("utf-8")
-            return b"".join(map(self.__getitem__, _STOP.sub(r" \g<0>", text.replace("\n", " ")).split(" ")))
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
