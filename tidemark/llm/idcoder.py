@@ -3,7 +3,7 @@
 A block's ids are cut into lanes of equal length that are coded in step, one id of each lane at a time, with
 one model; so every step is a handful of array operations.  The model starts empty in each block.
 * Order 2 and order 1 each predict one id, the last that followed the same two ids or id, with a confidence.
-* Order 0 is the adaptive frequency of all ids, renewed whenever a block has grown by a quarter.
+* Order 0 is the adaptive frequency of all ids, renewed whenever a block has grown by a third.
 * The two confidences choose a row of adaptive counts that mix the three: so much for the order-2 id, so
   much for the order-1 id, and the rest for order 0.
 One interval of the mixture codes one id in a carry-less range coder (64-bit low end, 16-bit words).
@@ -22,7 +22,7 @@ import numpy as np
 
 MAGIC, VERSION = b"TMRC", 1
 HEAD = struct.Struct("<4sIIIII")
-LANES, LEAST_STEPS = 4096, 64
+LANES, LEAST_STEPS = 8192, 64
 MIX_BITS, ID_BITS, CONTEXT_BITS = 12, 20, 18
 SURE = 7                                            # highest confidence
 SYMBOLS = 1 << 16
@@ -35,6 +35,10 @@ def lanes_of(n: int) -> int:
     return max(1, min(LANES, n // LEAST_STEPS))
 
 
+# change of a packed guess by (right, confidence): one more up to SURE, or one fewer
+_STEP = np.array([-(1 << 16)] * 8 + [1 << 16] * SURE + [0], dtype=np.int32)
+
+
 class Model:
     """Predictions and mixture; encoder and decoder update it alike."""
 
@@ -61,34 +65,40 @@ class Model:
         self.cum = np.cumsum(self.freq) - self.freq
         self.freq, self.cum = self.freq.astype(np.uint64), self.cum.astype(np.uint64)
         self.slots = np.repeat(np.arange(SYMBOLS, dtype=np.uint16), self.freq.astype(np.int64)) if slots else None
-        self.renew = max(4 * LANES // 8, self.seen + self.seen // 4)
+        self.renew = max(LANES // 4, self.seen + self.seen // 3)
 
     def predict(self, k: int) -> None:
-        """For the first k lanes: guesses of orders 2 and 1, mixture row, and the mixture's bounds."""
+        """For the first k lanes: guesses of orders 2 and 1 and the row of the mixture; and the mixture itself."""
         last, before = self.last[:k], self.before[:k]
-        self.spot = ((last.astype(np.uint32) * np.uint32(0x9E3779B1) ^ before.astype(np.uint32) * np.uint32(0x85EBCA6B))
-                     >> np.uint32(32 - CONTEXT_BITS)).astype(np.int32)
+        self.spot = ((last.view(np.uint32) * np.uint32(0x9E3779B1) ^ before.view(np.uint32) * np.uint32(0x85EBCA6B))
+                     >> np.uint32(32 - CONTEXT_BITS))
         self.g2, self.g1 = self.two[self.spot], self.one[last]
         self.p2, self.p1 = self.g2 & 0xFFFF, self.g1 & 0xFFFF
         self.n2, self.n1 = self.g2 >> 16, self.g1 >> 16
-        self.row = ((self.n2 << 3 | self.n1) << 1) | (self.p2 == self.p1)
-        weight = self.mix * ((1 << MIX_BITS) - 3) // self.mix.sum(axis=1, keepdims=True) + 1
-        weight[:, 2] = (1 << MIX_BITS) - weight[:, 0] - weight[:, 1]
-        self.w2, self.w1 = weight[self.row, 0].astype(np.uint64), weight[self.row, 1].astype(np.uint64)
-        self.w0 = np.uint64(1 << MIX_BITS) - self.w2 - self.w1
-
-    def learn(self, ids: np.ndarray, by: np.ndarray, slots: bool) -> None:
-        """``by``: which of order 2 (0), order 1 (1), order 0 (2) coded each id.  Of lanes that share a
-        context the last one's update stays."""
+        self.row = (self.n2 << 4) + (self.n1 << 1) + (self.p2 == self.p1)
+        width = self.mix * ((1 << MIX_BITS) - 3) // self.mix.sum(axis=1, keepdims=True) + 1
+        width[:, 2] = (1 << MIX_BITS) - width[:, 0] - width[:, 1]
+        # by row and choice: where its part of the mixture begins, and its width
+        self.begin = (np.cumsum(width, axis=1) - width).astype(np.uint64)
+        self.width = width.astype(np.uint64)
+
+    def interval(self, ids: np.ndarray, choice: np.ndarray, zero: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Begin and width of each id's interval among 2**(MIX_BITS + ID_BITS); ``choice``: row * 3 + by."""
+        begin, width = self.begin.ravel()[choice], self.width.ravel()[choice]
+        cum = np.where(zero, self.cum[ids], np.uint64(0))
+        freq = np.where(zero, self.freq[ids], np.uint64(1 << ID_BITS))
+        return (begin << np.uint64(ID_BITS)) + width * cum, width * freq
+
+    def learn(self, ids: np.ndarray, choice: np.ndarray, slots: bool) -> None:
+        """Of lanes that share a context the last one's update stays."""
         k = len(ids)
-        hits = np.bincount(self.row * 3 + by, minlength=self.mix.size).reshape(self.mix.shape)
-        self.mix += hits
+        self.mix += np.bincount(choice, minlength=self.mix.size).reshape(self.mix.shape)
         self.mix = np.where(self.mix.sum(axis=1, keepdims=True) > 1 << 16, (self.mix + 1) >> 1, self.mix)
+        fresh = ids | 1 << 16
         for table, spot, guess, sure, packed in ((self.two, self.spot, self.p2, self.n2, self.g2),
                                                  (self.one, self.last[:k], self.p1, self.n1, self.g1)):
             right = guess == ids
-            kept = packed + np.where(right, (sure < SURE).astype(np.int32) << 16, -1 << 16)
-            table[spot] = np.where(right | (sure > 1), kept, ids | 1 << 16)
+            table[spot] = np.where(right | (sure > 1), packed + _STEP[right * 8 + sure], fresh)
         self.before[:k] = self.last[:k]
         self.last[:k] = ids
         self.held.append(ids)
@@ -136,17 +146,13 @@ def encode(ids: np.ndarray) -> bytes:
         x = ids[begin[:k] + s].astype(np.int32)
         model.predict(k)
         two = x == model.p2
-        one = ~two & (x == model.p1)
-        by = np.where(two, 0, np.where(one, 1, 2))
-        zero = by == 2
-        w0, w1, w2 = model.w0, model.w1, model.w2
-        id_bits = np.uint64(ID_BITS)
-        cum = np.where(two, np.uint64(0), np.where(one, w2 << id_bits, ((w2 + w1) << id_bits) + w0 * model.cum[x]))
-        freq = np.where(zero, w0 * model.freq[x], np.where(two, w2, w1) << id_bits)
+        zero = ~two & (x != model.p1)
+        choice = model.row * 3 + (1 - two + zero)
+        cum, width = model.interval(x, choice, zero)
         unit = size[:k] >> _TOTAL
         low[:k] += unit * cum
-        size[:k] = unit * freq
-        model.learn(x, by, False)
+        size[:k] = unit * width
+        model.learn(x, choice, False)
         while len(at := _settle(low, size)):
             out_lane.append(at)
             out_word.append((low[at] >> _48).astype(np.uint16))
@@ -185,24 +191,24 @@ def decode(block: bytes) -> np.ndarray:
         code = code << _16 | words[at]
         at += 1
     out = np.empty(n, dtype=np.uint16)
-    id_bits, most = np.uint64(ID_BITS), np.uint64((1 << (MIX_BITS + ID_BITS)) - 1)
+    most = np.uint64((1 << (MIX_BITS + ID_BITS)) - 1)
     for s in range(steps):
         k = lanes if s + 1 < steps else full
         model.predict(k)
-        w0, w1, w2 = model.w0, model.w1, model.w2
         unit = size[:k] >> _TOTAL
-        v = np.minimum((code[:k] - low[:k]) // unit, most)
-        part = v >> id_bits
-        two, zero = part < w2, part >= w2 + w1
-        lower = (w2 + w1) << id_bits
-        symbol = model.slots[np.where(zero, (v - np.where(zero, lower, 0)) // w0, np.uint64(0))].astype(np.int32)
-        x = np.where(zero, symbol, np.where(two, model.p2, model.p1)).astype(np.int32)
-        by = np.where(zero, 2, np.where(two, 0, 1))
-        cum = np.where(two, np.uint64(0), np.where(zero, lower + w0 * model.cum[x], w2 << id_bits))
-        freq = np.where(zero, w0 * model.freq[x], np.where(two, w2, w1) << id_bits)
+        v = np.minimum((code[:k] - low[:k]) // unit, most).astype(np.uint32)
+        part, row = v >> np.uint32(ID_BITS), model.row
+        two, zero = part < model.begin[row, 1], part >= model.begin[row, 2]
+        choice = row * 3 + (1 - two + zero)
+        x = np.where(two, model.p2, model.p1)
+        at0 = np.flatnonzero(zero)
+        mine = choice[at0]
+        x[at0] = model.slots[(v[at0] - (model.begin.ravel()[mine].astype(np.uint32) << np.uint32(ID_BITS)))
+                             // model.width.ravel()[mine].astype(np.uint32)]
+        cum, width = model.interval(x, choice, zero)
         low[:k] += unit * cum
-        size[:k] = unit * freq
-        model.learn(x, by, True)
+        size[:k] = unit * width
+        model.learn(x, choice, True)
         out[begin[:k] + s] = x
         while len(on := _settle(low, size)):
             code[on] = code[on] << _16 | words[at[on]]

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, scratch_path, ship, text_or_empty
+from tidemark.llm.common import documents, each, scratch_path, ship, text_or_empty
 from tidemark.llm.idcoder import decode, encode
 from tidemark.llm.tokens import encoder
 
@@ -49,7 +49,7 @@ def _write(path: str | None, block_ids: int):
 
         for b in batches:
             start = 0
-            for k, text in enumerate(b.column(1).to_pylist()):
+            for k, text in enumerate(each(b.column(1))):
                 ids = enc.encode(text) + end
                 if size and size + len(ids) // 2 > block_ids:
                     keys.append(b.column(0).slice(start, k - start))
@@ -64,7 +64,7 @@ def _write(path: str | None, block_ids: int):
 
 
 def write_ids(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", file_bytes: int = 32_000_000,
-              block_ids: int = 1_000_000, tokenizer_path: str | None = None) -> None:
+              block_ids: int = 2_000_000, tokenizer_path: str | None = None) -> None:
     """Writes the files of all documents under ``folder``, about ``file_bytes`` of text each."""
     ship(docs.sparkSession)
     text = text_or_empty(text_col)
