@@ -19,23 +19,31 @@ def _state(edges: DataFrame) -> tuple:
                            F.bit_xor(F.xxhash64("a", "b"))).first())
 
 
+def star_round(edges: DataFrame) -> DataFrame:
+    """One large-star and one small-star step over ``edges(a, b)``; the components stay the same."""
+    # large star: every greater neighbour goes to the least one
+    both = edges.select(F.col("a").alias("v"), F.col("b").alias("u")).unionByName(
+        edges.select(F.col("b").alias("v"), F.col("a").alias("u")))
+    large = _to_least(both).where("u > v").select(F.col("u").alias("v"), F.col("m").alias("u"))
+    # small star: every lesser neighbour, and the vertex itself, goes to the least one
+    least = _to_least(large)
+    return (least.select(F.col("u").alias("a"), F.col("m").alias("b"))
+            .unionByName(least.select(F.col("v").alias("a"), F.col("m").alias("b"))).where("a <> b").distinct())
+
+
+def downward(edges: DataFrame) -> DataFrame:
+    """The edges without loops, from the greater to the lesser vertex."""
+    return (edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(v, component): the least vertex of each vertex's component, for every vertex in ``edges(a, b)``.
 
     Each round is written to the shared checkpoint folder, so a lost executor costs one round."""
-    now = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                      .distinct(), name)
+    now = materialize(downward(edges), name)
     before = _state(now)
     while before[0]:
-        # large star: every greater neighbour goes to the least one
-        both = now.select(F.col("a").alias("v"), F.col("b").alias("u")).unionByName(
-            now.select(F.col("b").alias("v"), F.col("a").alias("u")))
-        large = _to_least(both).where("u > v").select(F.col("u").alias("v"), F.col("m").alias("u")).distinct()
-        # small star: every lesser neighbour, and the vertex itself, goes to the least one
-        least = _to_least(large)
-        small = (least.select(F.col("u").alias("a"), F.col("m").alias("b"))
-                 .unionByName(least.select(F.col("v").alias("a"), F.col("m").alias("b"))).where("a <> b").distinct())
-        now = materialize(small, name)
+        now = materialize(star_round(now), name)
         after = _state(now)
         if after == before:
             break

@@ -14,10 +14,11 @@ A document's set holds its distinct 5-word shingles as 64-bit hashes; two sets l
      so in the *extended prefix* of ``n - ceil(.8 n) + n/4 + 2`` they share more shingles than differing
      ones can separate: some two shared shingles are neighbours in both.  So each two neighbours of
      the extended prefix are an index entry: *2-combinations*, as many as shingles, not their square.
-3. In each bucket (equal entry) every member is verified against one leader; the links' components are
-   found; then only buckets that still hold several components have their members of different
-   components verified.  A group of near copies thus costs one test a member, not all pairs, and
-   no link that could change a component is lost.
+3. In each bucket (equal entry) every member is verified against one leader, and linked members are grouped;
+   then only buckets that still hold several groups have their members of different groups verified, if
+   parity sketches of the sets (an exact lower bound of their difference) leave a link possible.  A group of
+   near copies thus costs one test a member, not all pairs, and no link that could change a component
+   is lost.
 4. Verification counts the intersection of the whole sets exactly.
 
 Defined results: words are separated by ``[\\x20\\x09-\\x0D]``, A-Z in lower case; with fewer than five words
@@ -40,14 +41,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import documents, materialize, ship, text_or_empty
-from tidemark.llm.components import components
+from tidemark.llm.common import documents, each, materialize, ship, text_or_empty
+from tidemark.llm.components import components, downward, star_round
 
 WORDS = 5
 PERCENT = 80
 FREQUENT = 64           # from this many occurrences a shingle is of a frequent class
-FLUSH = 4_000_000       # shingles that a task holds while counting
-KNOWN_WORDS = 500_000   # word hashes that a worker keeps
+SKETCH = 1024           # parity bits of a set
+EARLIER = 8             # preceding index entries by which a pair is known to have met
+LOW_BITS = 24           # bits of a shingle's hash that are counted, besides those of its hash range
+FLUSH = 2_000_000       # shingles that a task holds while counting
+KNOWN_WORDS = 250_000   # word hashes that a worker keeps
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -97,8 +101,8 @@ def _sets_and_counts(part_bits: int):
         def flush(schema) -> pa.RecordBatch:
             t = np.sort(np.concatenate(held))
             cut = np.searchsorted(t, np.arange(1, 1 << part_bits, dtype=np.uint64) << shift)
-            low = (t << np.uint64(part_bits) >> np.uint64(32)).astype(np.uint32)
-            parts = np.split(low, cut)
+            low = (t << np.uint64(part_bits) >> np.uint64(64 - LOW_BITS)).astype("<u4")
+            parts = np.split(low.view(np.uint8).reshape(-1, 4)[:, :LOW_BITS // 8], cut)
             blobs = pa.array([p.tobytes() for p in parts], pa.binary())
             none = [pa.nulls(len(parts), schema.field(i).type) for i in range(4)]
             return pa.RecordBatch.from_arrays([*none, pa.array(range(len(parts)), pa.int32()), blobs], names=NAMES)
@@ -107,7 +111,7 @@ def _sets_and_counts(part_bits: int):
         for b in batches:
             n, keys = [], []
             schema = pa.schema([("id", b.column(0).type), ("fp", pa.int64()), ("n", pa.int64()), ("key", pa.binary())])
-            for text in b.column(2).to_pylist():
+            for text in each(b.column(2)):
                 t = shingle_set(text)
                 key = set_key(t)
                 n.append(len(t))
@@ -159,8 +163,8 @@ class Frequencies:
 
     def look_up(self, tokens: np.ndarray) -> np.ndarray:
         """-1 for single shingles, else the frequency class."""
-        t = tokens >> np.uint64(32 - self.part_bits)
-        part = (t >> np.uint64(32)).astype(np.int64)
+        t = tokens >> np.uint64(64 - LOW_BITS - self.part_bits)
+        part = (t >> np.uint64(LOW_BITS)).astype(np.int64)
         own = self.bits - self.part_bits
         out = np.full(len(t), -1, dtype=np.int64)
         left = np.arange(len(t))
@@ -176,11 +180,14 @@ def _count_parts(part_bits: int, bits: int):
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         part = int(frame["part"].iloc[0])
-        low = np.sort(np.frombuffer(b"".join(frame["blob"]), dtype=np.uint32))
+        packed = np.frombuffer(b"".join(frame["blob"]), dtype=np.uint8).reshape(-1, LOW_BITS // 8)
+        wide = np.zeros((len(packed), 4), dtype=np.uint8)
+        wide[:, :LOW_BITS // 8] = packed
+        low = np.sort(wide.view("<u4").ravel())
         at = np.flatnonzero(np.diff(low, prepend=low[:1] + np.uint32(1)) != 0) if len(low) else np.zeros(0, int)
         count = np.diff(at, append=len(low))
         more = count > 1
-        t = (np.uint64(part) << np.uint64(32)) | low[at[more]].astype(np.uint64)
+        t = (np.uint64(part) << np.uint64(LOW_BITS)) | low[at[more]].astype(np.uint64)
         bloom, cells = np.zeros(1 << own, dtype=bool), np.zeros(1 << (own - 4), dtype=np.uint8)
         for s in _spots(t, own, 4):
             bloom[s] = True
@@ -193,9 +200,9 @@ def _count_parts(part_bits: int, bits: int):
 def _frequencies(counted: DataFrame, part_bits: int, bits: int) -> Frequencies:
     """Counts each hash range in a group of its own and collects the slices of the bounded table."""
     out = Frequencies(part_bits, bits)
-    slices = counted.groupBy("part").applyInPandas(_count_parts(part_bits, bits),
-                                                   "part int, bloom binary, cells binary")
-    for r in slices.collect():
+    slices = materialize(counted.groupBy("part").applyInPandas(_count_parts(part_bits, bits),
+                                                               "part int, bloom binary, cells binary"), "join-table")
+    for r in slices.toLocalIterator():          # a file at a time
         for table, piece in ((out.bloom, r["bloom"]), (out.cells, r["cells"])):
             table[r["part"] * len(piece):(r["part"] + 1) * len(piece)] = np.frombuffer(piece, dtype=np.uint8)
     return out
@@ -227,12 +234,26 @@ def _unpack48(blob: bytes) -> np.ndarray:
             | np.frombuffer(blob, "<u2", n, 4 * n).astype(np.uint64) << np.uint64(32))
 
 
+def parity(tokens: np.ndarray) -> np.ndarray:
+    """Parities of the numbers of tokens in SKETCH hash places, as 64-bit words.  Two sets' parities differ in
+    no more places than the sets differ in tokens."""
+    odd = np.bincount((tokens >> np.uint64(8)).astype(np.int64) % SKETCH, minlength=SKETCH) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
+def _may_link(a: str, na: str, b: str, nb: str):
+    """Linked sets differ in at most a quarter of the smaller one's tokens."""
+    apart = sum((F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(SKETCH // 64)),
+                F.lit(0))
+    return _sizes_fit(na, nb) & (4 * apart <= F.least(na, nb))
+
+
 def _indexed(table):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, seen = table.value, set()
         for b in batches:
             rows = []
-            for text in b.column(0).to_pylist():
+            for text in each(b.column(0)):
                 t = shingle_set(text)
                 if len(t) < 4:              # smaller sets can only link with equal ones
                     continue
@@ -243,14 +264,15 @@ def _indexed(table):
                     seen.add(key)
                 s = signatures(t, known.look_up(t))
                 if len(s):
-                    rows.append((key, len(t), s.view(np.int64), _pack48(t)))
+                    rows.append((key, len(t), s.view(np.int64), _pack48(t), parity(t)))
             if rows:
-                key, n, sig, blob = zip(*rows, strict=True)
+                key, n, sig, blob, sketch = zip(*rows, strict=True)
                 ends = np.concatenate([[0], np.cumsum([len(s) for s in sig])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key, pa.binary()), pa.array(n, pa.int64()),
                      pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sig))),
-                     pa.array(blob, pa.binary())], names=["key", "n", "sigs", "blob"])
+                     pa.array(blob, pa.binary()), pa.array(sketch, pa.list_(pa.int64()))],
+                    names=["key", "n", "sigs", "blob", "sketch"])
     return run
 
 
@@ -258,7 +280,7 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     last: tuple[bytes, np.ndarray] = (b"", np.zeros(0))
     for b in batches:
         ok = []
-        for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+        for x, y in zip(each(b.column(2)), each(b.column(3)), strict=True):
             if last[0] != y:
                 last = (y, _unpack48(y))
             u, v = _unpack48(x), last[1]
@@ -281,7 +303,7 @@ def _sizes_fit(a: str, b: str):
 
 
 def links(sets: DataFrame) -> DataFrame:
-    """Enough links (a, b) between classes for the components of all links."""
+    """Edges (a, b) between classes with the components of all links."""
     entries = materialize(sets.select("key", "n", F.explode("sigs").alias("sig")).distinct(), "join-entries")
     lead = (entries.groupBy("sig").agg(F.min(F.struct("key", "n")).alias("lead"), F.max("key").alias("last"))
             .where("lead.key <> last").select("sig", "lead"))
@@ -289,27 +311,37 @@ def links(sets: DataFrame) -> DataFrame:
     first = materialize(shared.where((F.col("key") != F.col("lead.key")) & _sizes_fit("n", "lead.n"))
                         .select(F.col("key").alias("a"), F.col("lead.key").alias("b")).distinct(), "join-star")
     found = materialize(_verify(first, sets), "join-links")
-    comp = components(found)
+    # A rough grouping is enough to skip pairs that are surely connected: two rounds, equal labels are connected.
+    merged = materialize(downward(found), "join-merged")
+    for _ in range(2):
+        merged = materialize(star_round(merged), "join-merged")
+    comp = merged.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("component"))
     # buckets that still hold several components
     own = (shared.select("sig", "key", "n").join(comp.withColumnRenamed("v", "key"), "key", "left")
            .withColumn("c", F.coalesce("component", "key")).drop("component"))
     several = own.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("sig")
-    left = materialize(own.join(several, "sig"), "join-left")
+    before = Window.partitionBy("key").orderBy("sig").rowsBetween(-EARLIER, -1)
+    left = materialize(own.join(several, "sig").withColumn("earlier", F.collect_list("sig").over(before)), "join-left")
     most = (left.groupBy("sig", "c").agg(F.count(F.lit(1)).alias("k"))
             .groupBy("sig").agg(F.max_by("c", F.struct("k", "c")).alias("most")))
-    few = left.join(most, "sig").where("c <> most").select("sig", F.col("key").alias("x"), F.col("n").alias("nx"),
-                                                           F.col("c").alias("cx"))
-    cross = (few.join(left, "sig").where((F.col("cx") != F.col("c")) & _sizes_fit("nx", "n"))
-             .select(F.greatest("x", "key").alias("a"), F.least("x", "key").alias("b")).distinct()
+    # Only pairs whose parity sketches allow a link leave the join, and not those that certainly met in an
+    # earlier bucket: that share one of the last few entries before this one.
+    sketched = left.join(sets.select("key", "sketch"), "key")
+    few = (sketched.join(most, "sig").where("c <> most")
+           .select("sig", *[F.col(x).alias(f"{x}_x") for x in ("key", "n", "c", "sketch", "earlier")]))
+    cross = (few.join(sketched, "sig").where((F.col("c_x") != F.col("c")) & _may_link("sketch_x", "n_x", "sketch", "n")
+                                         & ~F.arrays_overlap("earlier_x", "earlier"))
+             .select(F.greatest("key_x", "key").alias("a"), F.least("key_x", "key").alias("b")).distinct()
              .join(first, ["a", "b"], "left_anti"))
     more = _verify(materialize(cross, "join-cross"), sets)
-    return found.unionByName(more)
+    return merged.unionByName(more)
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = 28) -> DataFrame:
-    """One row per input row: id, fp (hash of the text), n (set size), component_id.
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = 27) -> DataFrame:
+    """One row per input row: id, fp (hash of the text), n (set size), component_id, stays (one id and text of
+    each component).
 
-    ``max_bits`` bounds the frequency table (2**28 bits and 2**24 cells: 48 MB)."""
+    ``max_bits`` bounds the frequency table (2**27 bits and 2**23 cells: 24 MB)."""
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
@@ -322,17 +354,19 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max
         _sets_and_counts(part_bits), f"id {id_type}, fp long, n long, key binary, part int, blob binary"), "join-sets")
     table = spark.sparkContext.broadcast(
         _frequencies(work.where("part IS NOT NULL").select("part", "blob"), part_bits, bits))
-    sets = materialize(rows.select("text").mapInArrow(_indexed(table), "key binary, n long, sigs array<long>, blob binary")
-                       , "join-index")
+    sets = materialize(rows.select("text").mapInArrow(_indexed(table), "key binary, n long, sigs array<long>, blob binary, sketch array<long>"), "join-index")
     comp = components(links(sets), "join-components")
     table.destroy()
     own = (work.where("key IS NOT NULL").select("id", "fp", "n", "key")
            .join(comp.select(F.col("v").alias("key"), "component"), "key", "left")
            .withColumn("root", F.coalesce("component", "key")))
     some, empty = own.where("n > 0"), own.where("n = 0")
-    least = some.groupBy("root").agg(F.min("id").alias("component_id"))
-    return (some.join(least, "root").select("id", "fp", "n", "component_id")
-            .unionByName(empty.select("id", "fp", "n", F.col("id").alias("component_id"))))
+    # the row that stays: the least id, nulls last, then the least hash of the text
+    best = F.min(F.struct(F.col("id").isNull(), "id", "fp"))
+    least = some.groupBy("root").agg(F.min("id").alias("component_id"), best.alias("best"))
+    stays = F.col("id").eqNullSafe(F.col("best.id")) & (F.col("fp") == F.col("best.fp"))
+    return (some.join(least, "root").select("id", "fp", "n", "component_id", stays.alias("stays"))
+            .unionByName(empty.select("id", "fp", "n", F.col("id").alias("component_id"), F.lit(True).alias("stays"))))
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -346,7 +380,7 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     out = materialize(classes(docs, id_col, text_col), "join-classes")
     # rows that need a decision: those that go, and those whose id and text repeat
     marked = (out.groupBy("id", "fp").agg(
-        F.max((F.col("n") > 0) & ~F.col("id").eqNullSafe(F.col("component_id"))).alias("goes"),
+        F.max(~F.col("stays")).alias("goes"),
         F.max("n").alias("n"), F.count(F.lit(1)).alias("rows"))
         .where("goes OR (rows > 1 AND n > 0)")
         .select(F.col("id").alias("__id"), F.col("fp").alias("__fp"), F.col("goes").alias("__goes")))
