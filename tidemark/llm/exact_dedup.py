@@ -30,16 +30,18 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(text, SPACE_RUN, " ")
 
 
-def _with_digest(docs: DataFrame, text_col: str) -> DataFrame:
-    digest = F.unhex(F.sha2(normalised(text_or_empty(text_col)), 256))
-    return docs.withColumns({"__row": F.monotonically_increasing_id(), "__digest": digest})
-
-
-def settle(digests: DataFrame, id_col: str, top_k: int, tracked: int, min_copies: int) -> DataFrame:
-    """(id, __row, __digest) -> the same with keep_id, group_size, kept."""
-    # order of the row that stays: smallest id, nulls last, then the first stored row
-    rank = F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).alias("id"),
-                    F.col("__row").alias("row"))
+def _digests(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, __row, __digest, __fp): digest of the normalised text, hash of the text as it is; written once."""
+    text = text_or_empty(text_col)
+    return materialize(docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("__row"),
+                                   F.unhex(F.sha2(normalised(text), 256)).alias("__digest"),
+                                   F.xxhash64(text).alias("__fp")), "dedup-digests")
+
+
+def settle(digests: DataFrame, top_k: int, tracked: int, min_copies: int) -> DataFrame:
+    """``_digests`` with keep_id, group_size, kept."""
+    # order of the row that stays: smallest id, nulls last, then the text's hash, then the first stored row
+    rank = F.struct(F.col("id").isNull().alias("n"), "id", "__fp", "__row")
     summary = digests.agg(F.expr(f"approx_top_k(hex(__digest), {top_k}, {tracked})").alias("t"))
     candidates = (summary.select(F.explode("t").alias("t"))
                   .where(F.col("t.count") >= min_copies)
@@ -52,8 +54,8 @@ def settle(digests: DataFrame, id_col: str, top_k: int, tracked: int, min_copies
     w = Window.partitionBy("__digest")
     light = (digests.join(F.broadcast(winners), "__digest", "left_anti")
              .withColumns({"__best": F.min(rank).over(w), "group_size": F.count(F.lit(1)).over(w)}))
-    cols = [id_col, "__row", "__digest", F.col("__best.id").alias("keep_id"), "group_size",
-            (F.col("__row") == F.col("__best.row")).alias("kept")]
+    cols = ["id", "__fp", "__digest", F.col("__best.id").alias("keep_id"), "group_size",
+            (F.col("__row") == F.col("__best.__row")).alias("kept")]
     return heavy.select(*cols).unionByName(light.select(*cols))
 
 
@@ -64,10 +66,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``tracked`` counters bound the summary, ``top_k`` bounds the broadcast, ``min_copies`` is the
     estimated size from which a digest is worth a broadcast row; none of them changes the result.
     """
-    digests = materialize(_with_digest(docs.select(id_col, text_col), text_col)
-                          .select(id_col, "__row", "__digest"), "dedup-digests")
-    out = settle(digests, id_col, top_k, tracked, min_copies)
-    return out.select(id_col, "keep_id", "group_size", "kept",
+    out = settle(_digests(docs, id_col, text_col), top_k, tracked, min_copies)
+    return out.select(F.col("id").alias(id_col), "keep_id", "group_size", "kept",
                       F.lower(F.hex("__digest")).alias("text_sha256"))
 
 
@@ -75,13 +75,18 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 tracked: int = 65536, min_copies: int = 32) -> DataFrame:
     """The input rows that stay, with exactly the input's columns.
 
-    The rows are written once with their row number, so a dropped row is found again exactly even
-    when ids repeat.
-    """
-    stored = materialize(_with_digest(docs, text_col), "dedup-rows")
-    out = settle(stored.select(id_col, "__row", "__digest"), id_col, top_k, tracked, min_copies)
-    dropped = out.where(~F.col("kept")).select("__row")
-    return stored.join(dropped, "__row", "left_anti").select(*docs.columns)
+    Rows are found again by id and text hash; of rows that are equal in both, one stays."""
+    out = settle(_digests(docs, id_col, text_col), top_k, tracked, min_copies)
+    marked = materialize(
+        out.groupBy("id", "__fp").agg(F.max("kept").alias("__kept"), F.count(F.lit(1)).alias("rows"))
+        .where("NOT __kept OR rows > 1").select(F.col("id").alias("__id"), F.col("__fp").alias("__hash"), "__kept"),
+        "dedup-marked")
+    tagged = docs.withColumn("__text_hash", F.xxhash64(text_or_empty(text_col))).join(
+        marked, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash")), "left")
+    stay = tagged.where(F.col("__kept").isNull())
+    repeated = tagged.where("__kept").withColumn("__k", F.row_number().over(
+        Window.partitionBy("__id", "__hash").orderBy(F.monotonically_increasing_id()))).where("__k = 1")
+    return stay.select(*docs.columns).unionByName(repeated.select(*docs.columns))
 
 
 def op10_exact_dedup(spark, sf_dir):

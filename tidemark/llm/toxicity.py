@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, materialize, ship, text_or_empty
+from tidemark.llm.common import documents, each, materialize, ship, text_or_empty
 
 # Words of insult and contempt, the lexicon voters.
 INSULTS = (
@@ -111,7 +111,7 @@ def _labels(labels: DataFrame, id_col: str, broadcast_rows: int) -> DataFrame:
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         found: dict[bytes, list[int]] = {}
-        for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+        for text, toxic in zip(each(b.column(0)), each(b.column(1)), strict=True):
             ws = words(text)
             if toxic:
                 # one bit for the word that follows: copies of one text set the same few bits
@@ -169,7 +169,7 @@ def _votes(voters: dict[bytes, int]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [model.fired(t) for t in b.column(0).to_pylist()]
+            rows = [model.fired(t) for t in each(b.column(0))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.int64()),
                  pa.array([r[2] for r in rows], pa.int64()), b.column(1)], names=["fired", "hits", "n", "toxic"])
@@ -240,13 +240,13 @@ def _label_model(votes: DataFrame, k: int, n_toxic: int, n_clean: int, rounds: i
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 25) -> tuple[np.ndarray, float]:
     """Ridge logistic regression on soft labels by Newton's method."""
-    a = np.hstack([x, np.ones((len(x), 1))])
+    a = np.hstack([x, np.ones((len(x), 1), dtype=x.dtype)])
     w = np.zeros(a.shape[1])
     keep = np.full(a.shape[1], ridge)
     keep[-1] = 1e-3
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -40, 40)))
-        h = (a * (p * (1 - p) + 1e-9)[:, None]).T @ a + np.diag(keep)
+        h = ((a * (p * (1 - p) + 1e-9).astype(a.dtype)[:, None]).T @ a).astype(float) + np.diag(keep)
         move = np.linalg.solve(h, a.T @ (y - p) - keep * w)
         w += move * min(1.0, 4 / (1e-9 + np.abs(move).max()))
         if np.abs(move).max() < 1e-6:
@@ -255,7 +255,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 25)
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_voters: int = 160,
-        rounds: int = 4, sample_rows: int = 40_000, broadcast_rows: int = 2_000_000) -> Model:
+        rounds: int = 4, sample_rows: int = 20_000, broadcast_rows: int = 2_000_000) -> Model:
     """Learn from ``labels`` (id, toxic); ``sample_rows`` bounds the classifier's training rows."""
     spark = docs.sparkSession
     ship(spark)
@@ -270,7 +270,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     share = min(1.0, sample_rows / max(1, n_toxic + n_clean))
     sample = (votes.where("toxic IS NOT NULL").withColumn("p", found["posterior"])
               .where(F.rand(7) < share).limit(2 * sample_rows).collect())
-    x = np.zeros((len(sample), len(voters) + 2))
+    x = np.zeros((len(sample), len(voters) + 2), dtype=np.float32)
     for i, r in enumerate(sample):
         x[i, r["fired"]] = 1.0
         x[i, -2:] = _numbers(r["hits"], r["n"])
