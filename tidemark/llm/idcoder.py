@@ -56,8 +56,8 @@ class Model:
 
     def _renew(self, slots: bool) -> None:
         """Order-0 frequencies that sum up to 2**ID_BITS, each at least 1."""
-        for ids in self.held:
-            self.count += np.bincount(ids, minlength=SYMBOLS)
+        if self.held:
+            self.count += np.bincount(np.concatenate(self.held), minlength=SYMBOLS)
         self.held = []
         spare, total = (1 << ID_BITS) - SYMBOLS, max(1, int(self.count.sum()))
         self.freq = 1 + self.count * spare // total
@@ -107,13 +107,19 @@ class Model:
             self._renew(slots)
 
 
-def _settle(low: np.ndarray, size: np.ndarray):
-    """The lanes whose top word is certain or whose interval is too small (which is then cut to fit)."""
-    certain = (low ^ (low + size)) < TOP
-    small = ~certain & (size < BOTTOM)
-    if small.any():
-        size[small] = (np.uint64(0) - low[small]) & (BOTTOM - np.uint64(1))
-    return np.flatnonzero(certain | small)
+def _settle(low: np.ndarray, size: np.ndarray, among: np.ndarray | None = None) -> np.ndarray:
+    """The lanes (of all, or ``among`` some) whose top word is certain or whose interval is too small, which
+    is then cut to fit."""
+    own_low, own_size = (low, size) if among is None else (low[among], size[among])
+    certain = (own_low ^ (own_low + own_size)) < TOP
+    small = own_size < BOTTOM
+    on = np.flatnonzero(certain | small)
+    cut = np.flatnonzero(small & ~certain)
+    if among is not None:
+        on, cut = among[on], among[cut]
+    if len(cut):
+        size[cut] = (np.uint64(0) - low[cut]) & (BOTTOM - np.uint64(1))
+    return on
 
 
 def _lane_lengths(n: int, lanes: int) -> tuple[int, int]:
@@ -153,11 +159,13 @@ def encode(ids: np.ndarray) -> bytes:
         low[:k] += unit * cum
         size[:k] = unit * width
         model.learn(x, choice, False)
-        while len(at := _settle(low, size)):
+        at = _settle(low, size)
+        while len(at):
             out_lane.append(at)
             out_word.append((low[at] >> _48).astype(np.uint16))
             low[at] <<= _16
             size[at] <<= _16
+            at = _settle(low, size, at)
     for _ in range(4):
         out_lane.append(np.arange(lanes))
         out_word.append((low >> _48).astype(np.uint16))
@@ -210,11 +218,13 @@ def decode(block: bytes) -> np.ndarray:
         size[:k] = unit * width
         model.learn(x, choice, True)
         out[begin[:k] + s] = x
-        while len(on := _settle(low, size)):
+        on = _settle(low, size)
+        while len(on):
             code[on] = code[on] << _16 | words[at[on]]
             at[on] += 1
             low[on] <<= _16
             size[on] <<= _16
+            on = _settle(low, size, on)
     if zlib.crc32(out.astype("<u4").tobytes()) != check:
         raise ValueError("ids fail their checksum")
     return out
