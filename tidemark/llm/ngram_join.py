@@ -129,6 +129,7 @@ def _sets_and_counts(part_bits: int):
                                               pa.array(keys, pa.binary()), *none], names=NAMES)
         if held and size:
             yield flush(schema)
+        _HASH.clear()               # workers live on: later stages need the memory
     return run
 
 
@@ -273,6 +274,7 @@ def _indexed(table):
                      pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sig))),
                      pa.array(blob, pa.binary()), pa.array(sketch, pa.list_(pa.int64()))],
                     names=["key", "n", "sigs", "blob", "sketch"])
+        _HASH.clear()
     return run
 
 

@@ -66,7 +66,7 @@ def pack(lengths: np.ndarray, size: int, linear: float, quadratic: float) -> lis
 
 def _encode(path: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end = encoder(path), END.to_bytes(2, "little")
+        enc, end = encoder(path, 250_000), END.to_bytes(2, "little")
         for b in batches:
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1),

@@ -43,6 +43,7 @@ class Encoder(dict):
             raise ValueError("ids of more than 16 bits")
         self.merge = self.tokenizer.model.tokenize
         self.alphabet = byte_characters()
+        self.known = KNOWN
 
     def __missing__(self, stretch: str) -> bytes:
         word = stretch.rstrip(MARKS)
@@ -55,7 +56,7 @@ class Encoder(dict):
             out = array("H", [t.id for t in self.merge(word)]).tobytes()
         else:
             out = array("H", self.tokenizer.encode(stretch, add_special_tokens=False).ids).tobytes()
-        if len(self) < KNOWN and len(stretch) <= 64:
+        if len(self) < self.known and len(stretch) <= 64:
             self[stretch] = out
         return out
 
@@ -80,9 +81,10 @@ class Encoder(dict):
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
-def encoder(path: str | None = None) -> Encoder:
-    """This worker's encoder of a tokenizer file."""
+def encoder(path: str | None = None, known: int = KNOWN) -> Encoder:
+    """This worker's encoder of a tokenizer file; it keeps at most ``known`` stretches."""
     path = path or default_path()
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
+    _ENCODERS[path].known = known
     return _ENCODERS[path]
