@@ -42,6 +42,34 @@ def test_matching_statistics_equal_brute_force():
             assert sorted(SCANNER.auto.places[state]) == places
 
 
+def test_pieces_equal_brute_force():
+    """Every template's own maximal matches, also inside longer matches of other templates."""
+    for ws in mixtures(60):
+        want = set()
+        for t, own in enumerate(SCANNER.auto.templates):
+            for i in range(len(ws)):
+                for j in range(len(own)):
+                    m = 0
+                    while i + m < len(ws) and j + m < len(own) and ws[i + m] == own[j + m]:
+                        m += 1
+                    if m >= 3 and not SCANNER.is_base[t] and not (i and j and ws[i - 1] == own[j - 1]):
+                        want.add((t, i, j, m))
+        found = SCANNER.matches(ws)[2]
+        assert len(found) == len(set(found)) and set(found) == want
+
+
+def test_complete_templates_inside_longer_matches():
+    got = SCANNER.scan("This work is licensed under the GNU General Public License version 3")
+    assert (got["labels"], got["score"], got["base_labels"]) == ("gpl", 1.0, "")
+    assert got["spans"] == [{"label": "gpl", "start": 6, "end": 10, "share": 1.0}]
+    for ws in mixtures(200):
+        whole = {SCANNER.labels[t] for t, own in enumerate(SCANNER.auto.templates)
+                 if any(ws[i:i + len(own)] == own for i in range(len(ws)))}
+        assert whole <= set(SCANNER.scan(" ".join(ws))["labels"].split(","))
+    few = X.Scanner({"long": ("one two three four five six",), "middle": ("three four five",), "short": ("two three",)}, {})
+    assert few.scan("one two three four five")["labels"] == "long,middle,short"
+
+
 def test_labels():
     mit = X.TEMPLATES["mit"][0]
     got = SCANNER.scan("some words " + mit.upper() + " and more, Apache License, Version 2.0")

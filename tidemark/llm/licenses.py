@@ -5,8 +5,10 @@ streamed through it: after each word the state and length give the longest suffi
 some template (the matching statistics).  Words in no template leave the automaton at its root, so only
 stretches of known words are walked.
 * A base phrase ends at a word if it is a suffix of the current match: a table from states answers that.
-* Maximal matches of at least ``min_match`` words are chained per template, in template order and with bounded
-  gaps; a chain that covers at least ``cover`` of its template's words is a covered span, and labels the file.
+* Each template's own maximal matches of at least ``min_match`` words (or of the whole template) are chained, in
+  template order and with bounded gaps; a chain that covers at least ``cover`` of its template's words is a covered
+  span, and labels the file.  A template's match may lie inside a longer match of another template: the states
+  down the suffix links have those places.
 
 The automaton is built once on the driver (some hundred words) and sent with the tasks; documents are
 scanned once and never shuffled.
@@ -146,11 +148,46 @@ class Scanner:
         self.sizes = [len(t) for t in self.auto.templates]
         # complete base phrases as (phrase, words) by state
         self.phrases = [[t for t in c if self.is_base[t]] for c in self.auto.complete]
+        # complete templates of fewer than min_match words by state
+        self.short = [[t for t in c if not self.is_base[t] and self.sizes[t] < min_match] for c in self.auto.complete]
+        self._top: dict[int, list] = {}
+        self._below: dict[int, list] = {}
 
-    def matches(self, ws: list[str]) -> tuple[list[tuple[int, int]], list[tuple[int, int, int]]]:
-        """Base places (template, start), and maximal matches (end, length, state) of ``min_match`` words or more."""
+    def _by_next(self, places: list[tuple[int, int]]) -> list[tuple[str, list[tuple[int, int]]]]:
+        """Places of templates (no base phrases) by the template's next word, "" at its end."""
+        out: dict[str, list[tuple[int, int]]] = {}
+        for t, e in places:
+            if not self.is_base[t]:
+                own = self.auto.templates[t]
+                out.setdefault(own[e] if e < len(own) else "", []).append((t, e))
+        return list(out.items())
+
+    def pieces(self, end: int, size: int, state: int, after: str | None) -> list[tuple[int, int, int, int]]:
+        """(template, start, start in the template, words) of the templates' own maximal matches that end here.
+
+        ``after`` is the file's next word: a place whose template goes on with it is not maximal.
+        """
+        auto, out = self.auto, []
+        if state not in self._top:
+            self._top[state] = self._by_next(auto.places[state])
+        groups = self._top[state]
+        while size >= self.min_match:
+            for word, own in groups:
+                if word != after:
+                    out += [(t, end - size, e - size, size) for t, e in own]
+            if state not in self._below:            # places that match the link's words and no more
+                here = set(auto.places[state])
+                below = auto.places[auto.link[state]] if auto.link[state] > 0 else []
+                self._below[state] = self._by_next([x for x in below if x not in here])
+            groups, state = self._below[state], auto.link[state]
+            size = auto.length[state]
+        return out
+
+    def matches(self, ws: list[str]) -> tuple[list[tuple[int, int]], list[tuple[int, int, int]],
+                                              list[tuple[int, int, int, int]]]:
+        """Base places (template, start), maximal matches (end, length, state) of ``min_match`` words or more, pieces."""
         auto, known = self.auto, self.known
-        places, long_, state, size, n = [], [], 0, 0, len(ws)
+        places, long_, pieces, state, size, n = [], [], [], 0, 0, len(ws)
         for i, w in enumerate(ws):
             if w not in known:
                 if size >= self.min_match:
@@ -168,20 +205,22 @@ class Scanner:
             for t in self.phrases[state]:
                 if size >= self.sizes[t]:
                     places.append((t, i + 1 - self.sizes[t]))
+            for t in self.short[state]:
+                if size >= self.sizes[t]:
+                    pieces.append((t, i + 1 - self.sizes[t], 0, self.sizes[t]))
+            if size >= self.min_match:
+                pieces += self.pieces(i + 1, size, state, ws[i + 1] if i + 1 < n else None)
         if size >= self.min_match:
             long_.append((n, size, state))
-        return places, long_
-
-    def spans(self, long_: list[tuple[int, int, int]]) -> list[tuple[str, int, int, float]]:
-        """Covered template spans (label, start word, end word, share of the template), by chaining matches."""
-        pieces: dict[int, list[tuple[int, int, int]]] = {}
-        for end, size, state in long_:
-            for t, e in self.auto.places[state]:
-                pieces.setdefault(t, []).append((end - size, e - size, size))
+        return places, long_, pieces
+
+    def spans(self, pieces: list[tuple[int, int, int, int]]) -> list[tuple[str, int, int, float]]:
+        """Covered template spans (label, start word, end word, share of the template), by chaining pieces."""
+        by_template: dict[int, list[tuple[int, int, int]]] = {}
+        for t, at, in_t, size in pieces:
+            by_template.setdefault(t, []).append((at, in_t, size))
         out = []
-        for t, own in pieces.items():
-            if self.is_base[t]:
-                continue
+        for t, own in by_template.items():
             # best chain ending in each piece: later in the file, later in the template, small gaps
             own.sort()
             best: list[tuple[int, int]] = []            # covered words, first word of the chain
@@ -200,9 +239,9 @@ class Scanner:
 
     def scan(self, text: str) -> dict:
         ws = words(text)
-        places, long_ = self.matches(ws)
+        places, _, pieces = self.matches(ws)
         starts = [s for _, s in places]
-        spans = self.spans(long_)
+        spans = self.spans(pieces)
         base = sorted({self.labels[t] for t, _ in places})
         score = max([x[3] for x in spans], default=0.0)
         return {"n_words": len(ws), "n_base": len(places), "first_word": min(starts, default=None),
