@@ -38,6 +38,36 @@ def test_induced_voters(spark):
     assert model.score("haus quarkzz baum") > 0.5 > model.score("haus tisch baum")
 
 
+def _coded(i):
+    return "".join(chr(97 + int(c)) for c in str(i))
+
+
+def test_all_significant_terms_vote(spark):
+    """Rare toxic words vote however many there are, and whatever word follows them; words of one copied text do not."""
+    rows = [(f"{_coded(i)}m {_coded(1000 + i // 8)}zq the end", 1) for i in range(2400)]
+    rows += [("pqr copied stu text vwx again", 1)] * 30
+    rows += [(f"{_coded(i)}m some words the end", 0) for i in range(8000)]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)], "doc_id long, toxic int")
+    train = X.held_out("doc_id")
+    kept = {r.doc_id for r in docs.where(~train).collect()}
+    model = X.fit(docs, labels)
+    want = {f"{_coded(1000 + g)}zq" for g in range(300) if sum(8 * g + x in kept for x in range(8)) >= 6}
+    assert len(want) > 150
+    assert all(model.fired(f"{w} the end")[0] for w in want)
+    assert not model.fired("pqr copied stu text vwx again")[0]
+
+
+def test_support_does_not_rise_with_the_rows(spark):
+    """The same term counts at a larger size: still a voter."""
+    for times in (1, 20):
+        rows = [(f"{_coded(i)}n xyxyx {_coded(i * i)}p", 1) for i in range(6)]
+        rows += [(f"{_coded(i)}m idiot", 1) for i in range(200 * times)] + [(f"{_coded(i)}m fine", 0) for i in range(1800 * times)]
+        docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+        labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)], "doc_id long, toxic int")
+        assert X.fit(docs, labels).fired("the xyxyx")[0]
+
+
 def test_odd_rows(spark, odd, empty):
     labels = spark.createDataFrame([(1, 0), (2, None), (6, 1), (6, 0), (None, 1), (99, 1)], "doc_id long, toxic int")
     for some in (labels, labels.limit(0)):

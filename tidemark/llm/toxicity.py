@@ -1,19 +1,19 @@
 """Toxicity by weak supervision: many voters, a generative label model, a linear classifier.
 
 * Voters.  Lexicon voters fire on a word of a fixed insult list.  Pattern voters fire on a word or
-  word prefix induced from the labelled training rows: one that stands in toxic rows, in several
-  different contexts (so that a group of copies counts once), and hardly ever in clean rows.
+  word prefix induced from the labelled training rows: every one that stands in several
+  different toxic texts (so that a group of copies counts once), hardly ever in clean rows, and so more often than
+  chance would have it, by a test that is the same at every size.  Their number is not bounded.
 * Label model.  Each row has a hidden label; voter j fires with a probability that depends on it and
   else abstains, silence of all voters is a voter of its own, and the given label, where there is
   one, is one more voter of known reliability.  EM over the vote patterns of *all* rows estimates
-  priors and accuracies; the pairwise correlations of the
-  voters within the toxic class then discount voters that repeat one another.
+  priors and accuracies; the summed correlations of each voter with the others
+  within the toxic class then discount voters that repeat one another.
 * Classifier.  A logistic regression is trained on the posteriors of at most ``sample_rows``
   labelled training rows (the documented bound) and scores every row from its text alone.
 
 All corpus counts (term counts, vote patterns, correlations) cover all rows and are Spark
-aggregates; the driver holds only per-voter numbers (at most ``max_voters`` of them) and the
-bounded training sample.
+aggregates; the driver and the workers hold per-voter numbers, and the driver the training sample.
 
 Defined results: null and empty texts get the score of a row without hits; rows with a null id are
 never learned from; several labels of one id count as toxic if any is; null labels are ignored;
@@ -23,6 +23,7 @@ language, source and labels are no inputs of a score.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -112,55 +113,90 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         found: dict[bytes, list[int]] = {}
         for text, toxic in zip(each(b.column(0)), each(b.column(1)), strict=True):
-            ws = words(text)
-            if toxic:
-                # one bit for the word that follows: copies of one text set the same few bits
-                after = dict(zip(ws, ws[1:] + [b""], strict=True))
-                context: dict[bytes, int] = {}
-                for w, nxt in after.items():
-                    bit = 1 << (sum(nxt) * 31 + len(nxt) + (nxt[0] if nxt else 0)) % 62
-                    for t in terms({w}):
-                        context[t] = context.get(t, 0) | bit
-                for t, bits in context.items():
-                    c = found.setdefault(t, [0, 0, 0])
-                    c[0] += 1
-                    c[2] |= bits
-            else:
-                for t in terms(set(ws)):
-                    found.setdefault(t, [0, 0, 0])[1] += 1
+            for t in terms(set(words(text))):
+                found.setdefault(t, [0, 0])[0 if toxic else 1] += 1
         if found:
             n = list(found.values())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(found), pa.binary()), *[pa.array([x[k] for x in n], pa.int64()) for k in range(3)]],
-                names=["term", "n_toxic", "n_clean", "contexts"])
+                [pa.array(list(found), pa.binary()), *[pa.array([x[k] for x in n], pa.int64()) for k in range(2)]],
+                names=["term", "n_toxic", "n_clean"])
 
 
-def _induce(train: DataFrame, max_voters: int) -> tuple[list, int, int]:
-    """The best term statistics of the training rows, and the numbers of toxic and clean rows."""
+def _texts(index: dict[bytes, int]):
+    """(term, digest of the row's words) of the rows, for the terms of ``index``; each once a batch."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found: set[tuple[int, bytes]] = set()
+            for text in each(b.column(0)):
+                ws = words(text)
+                own = [j for j in map(index.get, terms(set(ws))) if j is not None]
+                if own:
+                    digest = hashlib.blake2b(b" ".join(ws), digest_size=12).digest()
+                    found.update((j, digest) for j in own)
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int32()),
+                                              pa.array([x[1] for x in found], pa.binary())], names=["j", "text"])
+    return run
+
+
+SIGNIFICANT = 15.0  # least log-likelihood ratio statistic of a voter (chance below 1 in 9,000), at every size
+
+
+def _significance(toxic: Column, clean: Column, rate: float) -> Column:
+    """G statistic of a term's toxic and clean rows against the toxic share of all rows."""
+    n = toxic + clean
+    return 2 * (toxic * F.log(toxic / (n * rate))
+                + F.when(clean > 0, clean * F.log(clean / (n * (1 - rate)))).otherwise(0.0))
+
+
+def _induce(train: DataFrame) -> tuple[list[tuple[bytes, int, int]], int, int]:
+    """All significant terms (term, different toxic texts, clean rows), best first; numbers of toxic and clean rows."""
     size = train.agg(F.coalesce(F.sum("__toxic"), F.lit(0)).alias("t"), F.count(F.lit(1)).alias("n")).first()
     n_toxic, n_clean = int(size["t"]), int(size["n"]) - int(size["t"])
+    if not n_toxic or not n_clean:
+        return [], n_toxic, n_clean
+    rate = n_toxic / (n_toxic + n_clean)
+
+    def passing(t: DataFrame, toxic: str) -> DataFrame:
+        return t.where((F.col(toxic) >= 3) & (F.col(toxic) >= 4 * (F.col("n_clean") + 0.25))
+                       & (_significance(F.col(toxic), F.col("n_clean"), rate) >= SIGNIFICANT))
+
     counts = (train.select("__text", "__toxic")
-              .mapInArrow(_term_counts, "term binary, n_toxic long, n_clean long, contexts long")
-              .groupBy("term").agg(F.sum("n_toxic").alias("n_toxic"), F.sum("n_clean").alias("n_clean"),
-                                   F.bit_or("contexts").alias("contexts")))
-    support = max(3, n_toxic // 400)
-    best = (counts.where((F.col("n_toxic") >= support) & (F.bit_count("contexts") >= 3)
-                         & (F.col("n_toxic") >= 4 * (F.col("n_clean") + 0.25)))
-            .withColumn("gain", F.col("n_toxic") * F.log2(1.0 + F.bit_count("contexts")) / (1 + F.col("n_clean")))
-            .orderBy(F.desc("gain"), F.length("term"), "term").limit(4 * max_voters).collect())
+              .mapInArrow(_term_counts, "term binary, n_toxic long, n_clean long")
+              .groupBy("term").agg(F.sum("n_toxic").alias("n_toxic"), F.sum("n_clean").alias("n_clean")))
+    # rows bound different texts from above, so only terms that pass by rows are counted by texts
+    found = passing(counts, "n_toxic").select("term", "n_clean").toArrow()
+    names, clean = found["term"].to_pylist(), found["n_clean"].to_pylist()
+    texts = (train.where("__toxic = 1").select("__text")
+             .mapInArrow(_texts({t: i for i, t in enumerate(names)}), "j int, text binary")
+             .distinct().groupBy("j").agg(F.count(F.lit(1)).alias("texts")).toArrow())
+    table = train.sparkSession.createDataFrame(pa.table({
+        "j": texts["j"], "texts": texts["texts"],
+        "n_clean": pa.array([clean[j] for j in texts["j"].to_pylist()], pa.int64())}))
+    best = [(names[r["j"]], r["texts"], r["n_clean"]) for r in passing(table, "texts").collect()]
+    best.sort(key=lambda r: (-r[1] / (1 + r[2]), len(r[0]), r[0]))
     return best, n_toxic, n_clean
 
 
-def _choose(best: list, max_voters: int) -> dict[bytes, int]:
-    """Lexicon words first, then induced terms that no chosen shorter prefix already covers."""
+def _choose(best: list[tuple[bytes, int, int]], max_voters: int | None) -> dict[bytes, int]:
+    """Lexicon words first, then induced terms that no chosen shorter prefix, or no chosen words of theirs, cover."""
     chosen: dict[bytes, int] = {w.encode(): i for i, w in enumerate(INSULTS)}
-    for r in best:
-        t = bytes(r["term"])
+    held: dict[bytes, int] = {}                     # toxic texts of the chosen words by prefix
+
+    def add(t: bytes, toxic: int) -> None:
+        for k in PREFIX_BYTES:
+            if len(t) > k and not t.endswith(b"*"):
+                held[t[:k]] = held.get(t[:k], 0) + toxic
+
+    for t, toxic, _ in best:
+        if t in chosen:
+            add(t, toxic)
+    for t, toxic, _ in best:
         stem = t.rstrip(b"*")
         covered = (any(stem[:k] + b"*" in chosen for k in PREFIX_BYTES if len(stem) > k)
-                   or t.endswith(b"*") and any(w.startswith(stem) for w in chosen if not w.endswith(b"*")))
-        if len(chosen) < max_voters and t not in chosen and not covered:
+                   or t.endswith(b"*") and held.get(stem, 0) >= toxic)
+        if (max_voters is None or len(chosen) < max_voters) and t not in chosen and not covered:
             chosen[t] = len(chosen)
+            add(t, toxic)
     return chosen
 
 
@@ -179,107 +215,160 @@ def _votes(voters: dict[bytes, int]):
 RELIABILITY = 0.97  # of a given label, as one more voter
 
 
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Row and value of every entry of a list column."""
+    lengths = column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    return np.repeat(np.arange(len(column)), lengths), column.flatten().to_numpy(zero_copy_only=False)
+
+
+def _posterior(rows: np.ndarray, voters: np.ndarray, toxic: np.ndarray, steps: np.ndarray, base: float) -> np.ndarray:
+    label = math.log(RELIABILITY / (1 - RELIABILITY))
+    z = (base + np.bincount(rows, steps[voters], minlength=len(toxic))
+         + np.where(toxic == 1, label, np.where(toxic == 0, -label, 0.0)))
+    return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+
+
+def _voter_sums(patterns: DataFrame, steps: np.ndarray, base: float, scale: np.ndarray) -> dict[str, np.ndarray]:
+    """Sums over all rows by voter and, as the last entry, over the rows themselves.
+
+    p: posterior, n: rows, t and c: labelled toxic and clean rows, s: posterior times the row's sum of ``scale``.
+    """
+    k, fields = len(steps), "pntcs"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows, voters = _flat(b.column(0))
+            toxic = b.column(1).cast(pa.float64()).to_numpy(zero_copy_only=False)
+            n = b.column(2).to_numpy(zero_copy_only=False).astype(float)
+            p = n * _posterior(rows, voters, toxic, steps, base)
+            own = [p, n, n * (toxic == 1), n * (toxic == 0), p * np.bincount(rows, scale[voters], minlength=len(n))]
+            at, place = np.unique(voters, return_inverse=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.append(at, k).astype(np.int32)),
+                 *[pa.array(np.append(np.bincount(place, x[rows], minlength=len(at)), x.sum())) for x in own]],
+                names=["j", *fields])
+
+    found = (patterns.mapInArrow(run, "j int, " + ", ".join(f"{f} double" for f in fields))
+             .groupBy("j").agg(*[F.sum(f).alias(f) for f in fields]).toArrow())
+    out = {f: np.zeros(k + 1) for f in fields}
+    at = found["j"].to_numpy()
+    for f in fields:
+        out[f][at] = found[f].to_numpy()
+    return out
+
+
 def _label_model(votes: DataFrame, k: int, n_toxic: int, n_clean: int, rounds: int) -> dict:
     """EM over the vote patterns of all rows; returns per-voter log-likelihood ratios and accuracies."""
     # voter k: no other voter fires
     patterns = materialize(
         votes.withColumn("fired", F.when(F.size("fired") == 0, F.array(F.lit(k))).otherwise(F.col("fired")))
         .groupBy("fired", "toxic").agg(F.count(F.lit(1)).alias("n")), "toxic-patterns")
-    known = patterns.where("toxic IS NOT NULL").select(F.explode("fired").alias("j"), "toxic", "n")
-    first = {r["j"]: r for r in known.groupBy("j").agg(
-        F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("t"),
-        F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("c")).collect()}
-    total = int(patterns.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    none = np.zeros(k + 1)
+    first = _voter_sums(patterns, none, 0.0, none)
+    total, count1, count0 = first["n"][-1], first["t"][:-1], first["c"][:-1]
     prior = (n_toxic + 1) / (n_toxic + n_clean + 10)
-    count1 = np.array([first[j]["t"] if j in first else 0 for j in range(k + 1)], dtype=float)
-    count0 = np.array([first[j]["c"] if j in first else 0 for j in range(k + 1)], dtype=float)
     on1, on0 = (count1 + 0.5) / (n_toxic + 10), (count0 + 0.05) / (n_clean + 10)
-    discount = np.ones(k + 1)
-
-    def posterior(fired: Column | None = None) -> Column:
-        step = F.array(*[F.lit(float(x)) for x in discount * np.log(on1 / on0)])
-        label = math.log(RELIABILITY / (1 - RELIABILITY))
-        z = (F.aggregate(F.col("fired") if fired is None else fired, F.lit(math.log(prior / (1 - prior))),
-                         lambda a, j: a + F.get(step, j))
-             + F.when(F.col("toxic") == 1, label).when(F.col("toxic") == 0, -label).otherwise(0.0))
-        return 1 / (1 + F.exp(-F.greatest(F.lit(-40.0), F.least(F.lit(40.0), z))))
-
-    for _ in range(rounds):
-        weighed = patterns.select("fired", (F.col("n") * posterior()).alias("p"), "n")
-        # one pass: per voter sums and, as voter -1, the sums of all rows
-        sums = {r["j"]: r for r in weighed.select(
-            F.explode(F.array_append("fired", F.lit(-1))).alias("j"), "p", "n")
-            .groupBy("j").agg(F.sum("p").alias("p"), F.sum("n").alias("n")).collect()}
-        if -1 not in sums:
-            break
-        t = sums[-1]["p"]
+    for _ in range(rounds if total else 0):
+        sums = _voter_sums(patterns, np.log(on1 / on0), math.log(prior / (1 - prior)), none)
+        t, p, n = sums["p"][-1], sums["p"][:-1], sums["n"][:-1]
         prior = (t + 1) / (total + 10)
-        p = np.array([sums[j]["p"] if j in sums else 0.0 for j in range(k + 1)])
-        n = np.array([sums[j]["n"] if j in sums else 0.0 for j in range(k + 1)])
         # the labelled counts stay in as a prior
         on1 = np.clip((p + count1 + 0.5) / (t + n_toxic + 10), 1e-7, 0.999)
         on0 = np.clip((n - p + count0 + 0.05) / (total - t + n_clean + 10), 1e-8, 0.999)
-    # correlations of voters within the toxic class
-    pairs = (patterns.withColumn("p", F.col("n") * posterior()).where(F.size("fired") > 1)
-             .select("fired", "p", F.explode("fired").alias("i"))
-             .select("i", "p", F.explode("fired").alias("j")).where("i < j")
-             .groupBy("i", "j").agg(F.sum("p").alias("p")).collect())
-    t = max(1.0, prior * (total + 10) - 1)
-    repeat = np.zeros(k + 1)
-    for r in pairs:
-        i, j, both = r["i"], r["j"], r["p"] / t
-        spread = math.sqrt(on1[i] * (1 - on1[i]) * on1[j] * (1 - on1[j]))
-        rho = max(0.0, min(1.0, (both - on1[i] * on1[j]) / spread)) if spread > 0 else 0.0
-        repeat[i] += rho
-        repeat[j] += rho
-    discount = 1 / (1 + repeat)
+    # a voter's summed correlation with all others within the toxic class: its covariance with the sum of all
+    # voters in units of their deviation, so that no pairs need to be formed; silence is left out
+    scale = 1 / np.sqrt(on1 * (1 - on1))
+    scale[k] = 0.0
+    sums = _voter_sums(patterns, np.log(on1 / on0), math.log(prior / (1 - prior)), scale)
+    t = max(1.0, sums["p"][-1])
+    mean = sums["p"][:-1] / t
+    repeat = (sums["s"][:-1] / t - mean * (mean * scale).sum()) * scale - mean * (1 - mean) * scale ** 2
+    steps = np.log(on1 / on0) / (1 + np.maximum(0.0, repeat))
     accuracy = prior * on1 / (prior * on1 + (1 - prior) * on0)
-    silent = F.when(F.size("fired") == 0, F.array(F.lit(k))).otherwise(F.col("fired"))
-    return {"posterior": posterior(silent), "accuracy": accuracy[:k]}
+    return {"steps": steps, "base": math.log(prior / (1 - prior)), "accuracy": accuracy[:k],
+            "labelled": count1[:k] + count0[:k]}
+
 
+def _logistic(rows: np.ndarray, cols: np.ndarray, numbers: np.ndarray, y: np.ndarray, weight: np.ndarray,
+              start: np.ndarray, ridge: float = 1.0, steps: int = 25) -> tuple[np.ndarray, float]:
+    """Ridge logistic regression on weighted soft labels by Newton's method with conjugate gradients.
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 25) -> tuple[np.ndarray, float]:
-    """Ridge logistic regression on soft labels by Newton's method."""
-    a = np.hstack([x, np.ones((len(x), 1), dtype=x.dtype)])
-    w = np.zeros(a.shape[1])
-    keep = np.full(a.shape[1], ridge)
+    Row ``rows[i]`` has voter ``cols[i]``; the ridge draws the voters' weights to ``start``.  Only the hits are
+    held, so memory grows with them and with the voters.
+    """
+    k, m = len(start), numbers.shape[1]
+    at = np.concatenate([start, np.zeros(m + 1)])
+    keep = np.full(k + m + 1, ridge)
     keep[-1] = 1e-3
+
+    def forth(v: np.ndarray) -> np.ndarray:
+        return np.bincount(rows, v[cols], minlength=len(y)) + numbers @ v[k:k + m] + v[-1]
+
+    def back(u: np.ndarray, x: np.ndarray) -> np.ndarray:
+        return np.concatenate([np.bincount(cols, u[rows], minlength=k), u @ x, [u.sum()]])
+
+    w = at.copy()
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(a @ w, -40, 40)))
-        h = ((a * (p * (1 - p) + 1e-9).astype(a.dtype)[:, None]).T @ a).astype(float) + np.diag(keep)
-        move = np.linalg.solve(h, a.T @ (y - p) - keep * w)
-        w += move * min(1.0, 4 / (1e-9 + np.abs(move).max()))
+        p = 1 / (1 + np.exp(-np.clip(forth(w), -40, 40)))
+        d = weight * (p * (1 - p) + 1e-9)
+        diagonal = back(d, numbers ** 2) + keep
+        r = back(weight * (y - p), numbers) - keep * (w - at)
+        move, z = np.zeros_like(w), r / diagonal
+        q, rz, least = z, r @ z, 1e-16 * max(1e-300, r @ (r / diagonal))
+        for _ in range(300):
+            h = back(d * forth(q), numbers) + keep * q
+            a = rz / max(1e-300, q @ h)
+            move, r = move + a * q, r - a * h
+            z = r / diagonal
+            rz, old = r @ z, rz
+            if rz <= least:
+                break
+            q = z + rz / old * q
+        move *= min(1.0, 4 / (1e-9 + np.abs(move).max()))
+        w += move
         if np.abs(move).max() < 1e-6:
             break
     return w[:-1], float(w[-1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_voters: int = 160,
+def _sample(votes: DataFrame, n_labelled: int, sample_rows: int) -> pa.Table:
+    """(fired, hits, n, toxic, weight) of a sample of the labelled rows; equal rows once, with their weight."""
+    share = min(1.0, sample_rows / max(1, n_labelled))
+    return (votes.where("toxic IS NOT NULL").where(F.rand(7) < share)
+            .withColumn("n", F.when(F.col("hits") > 0, F.col("n")).otherwise(0))
+            .groupBy("fired", "hits", "n", "toxic").agg(F.count(F.lit(1)).cast("double").alias("weight")).toArrow())
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_voters: int | None = None,
         rounds: int = 4, sample_rows: int = 20_000, broadcast_rows: int = 2_000_000) -> Model:
-    """Learn from ``labels`` (id, toxic); ``sample_rows`` bounds the classifier's training rows."""
+    """Learn from ``labels`` (id, toxic); ``sample_rows`` bounds the classifier's training rows.
+
+    All significant terms are voters; ``max_voters`` may bound them.
+    """
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(F.col(id_col).alias("__id"), text_or_empty(text_col).alias("__text"))
     known = _labels(labels, id_col, broadcast_rows)
-    best, n_toxic, n_clean = _induce(rows.join(known, "__id"), max_voters)
+    best, n_toxic, n_clean = _induce(rows.join(known, "__id"))
     voters = _choose(best, max_voters)
+    k = len(voters)
     votes = materialize(rows.join(known, "__id", "left").select("__text", "__toxic")
                         .mapInArrow(_votes(voters), "fired array<int>, hits long, n long, toxic int"),
                         "toxic-votes")
-    found = _label_model(votes, len(voters), n_toxic, n_clean, rounds)
-    share = min(1.0, sample_rows / max(1, n_toxic + n_clean))
-    sample = (votes.where("toxic IS NOT NULL").withColumn("p", found["posterior"])
-              .where(F.rand(7) < share).limit(2 * sample_rows).collect())
-    x = np.zeros((len(sample), len(voters) + 2), dtype=np.float32)
-    for i, r in enumerate(sample):
-        x[i, r["fired"]] = 1.0
-        x[i, -2:] = _numbers(r["hits"], r["n"])
-    y = np.array([r["p"] for r in sample])
-    if len(sample) < 20 or not 0 < n_toxic < n_toxic + n_clean:
-        return Model(voters, tuple([3.0] * len(voters) + [0.0, 0.0]), -2.0, tuple(found["accuracy"]))
-    # a lexicon word that the sample never shows keeps the mean weight of those that it shows
-    w, b = _logistic(x, y)
-    seen = x[:, :len(INSULTS)].sum(axis=0) > 0
+    found = _label_model(votes, k, n_toxic, n_clean, rounds)
+    if n_toxic + n_clean < 20 or not 0 < n_toxic < n_toxic + n_clean:
+        return Model(voters, tuple([3.0] * k + [0.0, 0.0]), -2.0, tuple(found["accuracy"]))
+    sample = _sample(votes, n_toxic + n_clean, sample_rows)
+    fired = sample["fired"].combine_chunks()
+    at, cols = _flat(fired)
+    silent = np.flatnonzero(fired.value_lengths().to_numpy() == 0)
+    hits, n = sample["hits"].to_numpy().astype(float), sample["n"].to_numpy()
+    numbers = np.stack([np.log1p(hits), np.sqrt(hits / np.maximum(n, 1))], axis=1)
+    y = _posterior(np.append(at, silent), np.append(cols, np.full(len(silent), k)), sample["toxic"].to_numpy(),
+                   found["steps"], found["base"])
+    w, b = _logistic(at, cols, numbers, y, sample["weight"].to_numpy(), np.zeros(k))
+    # a lexicon word that the labelled rows never show keeps the mean weight of those that they show
+    seen = np.bincount(cols, minlength=k)[:len(INSULTS)] > 0
     if seen.any():
         w[:len(INSULTS)][~seen] = w[:len(INSULTS)][seen].mean()
     return Model(voters, tuple(float(v) for v in w), b, tuple(found["accuracy"]))
