@@ -68,6 +68,18 @@ def test_support_does_not_rise_with_the_rows(spark):
         assert X.fit(docs, labels).fired("the xyxyx")[0]
 
 
+def test_rare_voters_count_beyond_the_sample(spark):
+    """A voter found on all rows raises scores, however small the classifier's sample is."""
+    rows = [(f"{_coded(i)}m {_coded(1000 + i // 8)}zq the end", 1) for i in range(400)]
+    rows += [(f"{_coded(i)}m some words the end", 0) for i in range(8000)]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)], "doc_id long, toxic int")
+    model = X.fit(docs, labels, sample_rows=100)
+    voters = [w for w in (f"{_coded(1000 + g)}zq" for g in range(50)) if model.fired(w)[0]]
+    assert len(voters) > 40
+    assert all(model.score(f"{w} the end") > 0.5 > model.score("some words the end") for w in voters)
+
+
 def test_odd_rows(spark, odd, empty):
     labels = spark.createDataFrame([(1, 0), (2, None), (6, 1), (6, 0), (None, 1), (99, 1)], "doc_id long, toxic int")
     for some in (labels, labels.limit(0)):

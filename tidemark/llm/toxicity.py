@@ -9,8 +9,10 @@
   one, is one more voter of known reliability.  EM over the vote patterns of *all* rows estimates
   priors and accuracies; the summed correlations of each voter with the others
   within the toxic class then discount voters that repeat one another.
-* Classifier.  A logistic regression is trained on the posteriors of at most ``sample_rows``
-  labelled training rows (the documented bound) and scores every row from its text alone.
+* Classifier.  A logistic regression is trained on the posteriors of about ``sample_rows`` labelled
+  training rows with votes (the documented bound), half of each class, and a few more of each rare voter,
+  weighted by their inverse chance; rows without votes are counted.  A voter that the sample never shows keeps
+  the label model's weight.  It scores every row from its text alone.
 
 All corpus counts (term counts, vote patterns, correlations) cover all rows and are Spark
 aggregates; the driver and the workers hold per-voter numbers, and the driver the training sample.
@@ -286,7 +288,8 @@ def _label_model(votes: DataFrame, k: int, n_toxic: int, n_clean: int, rounds: i
     steps = np.log(on1 / on0) / (1 + np.maximum(0.0, repeat))
     accuracy = prior * on1 / (prior * on1 + (1 - prior) * on0)
     return {"steps": steps, "base": math.log(prior / (1 - prior)), "accuracy": accuracy[:k],
-            "labelled": count1[:k] + count0[:k]}
+            "labelled": count1[:k] + count0[:k],
+            "firing": (first["c"][-1] - count0[k], first["t"][-1] - count1[k])}
 
 
 def _logistic(rows: np.ndarray, cols: np.ndarray, numbers: np.ndarray, y: np.ndarray, weight: np.ndarray,
@@ -331,17 +334,40 @@ def _logistic(rows: np.ndarray, cols: np.ndarray, numbers: np.ndarray, y: np.nda
     return w[:-1], float(w[-1])
 
 
-def _sample(votes: DataFrame, n_labelled: int, sample_rows: int) -> pa.Table:
-    """(fired, hits, n, toxic, weight) of a sample of the labelled rows; equal rows once, with their weight."""
-    share = min(1.0, sample_rows / max(1, n_labelled))
-    return (votes.where("toxic IS NOT NULL").where(F.rand(7) < share)
-            .withColumn("n", F.when(F.col("hits") > 0, F.col("n")).otherwise(0))
-            .groupBy("fired", "hits", "n", "toxic").agg(F.count(F.lit(1)).cast("double").alias("weight")).toArrow())
+PER_VOTER = 8  # labelled rows that the sample expects of a voter, if it has as many
+
+
+def _sample(votes: DataFrame, labelled: np.ndarray, firing: tuple[float, float], sample_rows: int) -> pa.Table:
+    """(fired, hits, n, toxic, weight) of a sample of the labelled rows; equal rows once, with their weight.
+
+    A row in which a voter fires is drawn with the larger of its class's and its voters' shares, and weighs the
+    inverse, so a rare class and a rare voter are shown.  Rows in which none fires are all alike and all counted.
+    """
+    clean, toxic = max(1.0, firing[0]), max(1.0, firing[1])
+    half = sample_rows / 2
+    share = np.array([min(1.0, max(half, sample_rows - toxic) / clean), min(1.0, max(half, sample_rows - clean) / toxic)])
+    own = np.minimum(1.0, PER_VOTER / np.maximum(1.0, labelled))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows, voters = _flat(b.column(0))
+            q = share[b.column(3).to_numpy(zero_copy_only=False).astype(int)]
+            np.maximum.at(q, rows, own[voters])
+            q[np.bincount(rows, minlength=len(q)) == 0] = 1.0
+            kept = pa.array(b.column(4).to_numpy(zero_copy_only=False) < q)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), b.column(3), pa.array(1 / q)],
+                                             names=["fired", "hits", "n", "toxic", "weight"]).filter(kept)
+
+    return (votes.where("toxic IS NOT NULL")
+            .select("fired", "hits", F.when(F.col("hits") > 0, F.col("n")).otherwise(0).alias("n"), "toxic",
+                    F.rand(7).alias("u"))
+            .mapInArrow(run, "fired array<int>, hits long, n long, toxic int, weight double")
+            .groupBy("fired", "hits", "n", "toxic").agg(F.sum("weight").alias("weight")).toArrow())
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_voters: int | None = None,
         rounds: int = 4, sample_rows: int = 20_000, broadcast_rows: int = 2_000_000) -> Model:
-    """Learn from ``labels`` (id, toxic); ``sample_rows`` bounds the classifier's training rows.
+    """Learn from ``labels`` (id, toxic); ``sample_rows`` bounds the classifier's training rows (and 8 a voter).
 
     All significant terms are voters; ``max_voters`` may bound them.
     """
@@ -358,7 +384,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     found = _label_model(votes, k, n_toxic, n_clean, rounds)
     if n_toxic + n_clean < 20 or not 0 < n_toxic < n_toxic + n_clean:
         return Model(voters, tuple([3.0] * k + [0.0, 0.0]), -2.0, tuple(found["accuracy"]))
-    sample = _sample(votes, n_toxic + n_clean, sample_rows)
+    sample = _sample(votes, found["labelled"], found["firing"], sample_rows)
     fired = sample["fired"].combine_chunks()
     at, cols = _flat(fired)
     silent = np.flatnonzero(fired.value_lengths().to_numpy() == 0)
@@ -366,9 +392,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     numbers = np.stack([np.log1p(hits), np.sqrt(hits / np.maximum(n, 1))], axis=1)
     y = _posterior(np.append(at, silent), np.append(cols, np.full(len(silent), k)), sample["toxic"].to_numpy(),
                    found["steps"], found["base"])
-    w, b = _logistic(at, cols, numbers, y, sample["weight"].to_numpy(), np.zeros(k))
+    # a voter that the sample never shows keeps the label model's weight
+    shown = np.bincount(cols, minlength=k) > 0
+    w, b = _logistic(at, cols, numbers, y, sample["weight"].to_numpy(), np.where(shown, 0.0, found["steps"][:k]))
     # a lexicon word that the labelled rows never show keeps the mean weight of those that they show
-    seen = np.bincount(cols, minlength=k)[:len(INSULTS)] > 0
+    seen = found["labelled"][:len(INSULTS)] > 0
     if seen.any():
         w[:len(INSULTS)][~seen] = w[:len(INSULTS)][seen].mean()
     return Model(voters, tuple(float(v) for v in w), b, tuple(found["accuracy"]))
