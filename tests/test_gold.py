@@ -57,7 +57,7 @@ def test_one_dim_row_per_entity_and_no_fanout(spark):
 
 
 def test_daily_trend_country_slicer(spark):
-    from conftest import SF_SMALL
+    from paths import SF_SMALL
     from tidemark.plans import marts, stages
     star = stages.star(spark, SF_SMALL)
     name = star.dim_country.orderBy("country_key").first()["country_name"]

@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as E
 from tidemark.sources.tables import TABLES
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 QUERIES = E.queries()
 SQLS = E.oracle_sql()

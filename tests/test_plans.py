@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.plans import queries, stages, warehouse
 from tidemark.sources import panel
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def _plan(df):

@@ -2,7 +2,7 @@
 from tidemark.operators import profile
 from tidemark.plans import stages
 
-from conftest import SF_MID
+from paths import SF_MID
 
 
 def test_distinct_exact_and_approx(spark):

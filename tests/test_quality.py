@@ -6,7 +6,7 @@ from tidemark.operators import quality
 from tidemark.plans import stages
 from tidemark.sources.tables import read_table
 
-from conftest import SF_MID
+from paths import SF_MID
 
 
 def test_unique_pass_and_fail(spark):

@@ -5,7 +5,7 @@ from tidemark.sources import files
 from tidemark.sources.panel import PANEL_COLUMNS
 from tidemark.streaming.silver_stream import silver_stream
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_batch_equals_stream(spark, tmp_path):

@@ -10,7 +10,7 @@ from tidemark.operators import quality
 from tidemark.plans import stages, warehouse
 from tidemark.sources import files
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_missing_layer_raises(spark, tmp_path):
