@@ -318,7 +318,7 @@ def _cut(data: bytes, spans: list) -> tuple[bytes, list[tuple[int, int]]]:
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = 2048,
                    max_bits: int = 28, with_kept: bool = True) -> DataFrame:
-    """One row per input row: id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, the kept bytes."""
+    """One row per input row: id, n_bytes, n_removed, n_spans, kept_sha256, has_repeats (it lost bytes), maybe the kept bytes."""
     ship(docs.sparkSession)
     data = text_or_empty(text_col).cast("binary")
     rows = docs.select(F.col(id_col).alias("__id"), F.unhex(F.md5(data)).alias("ref"), data.alias("bytes"))
@@ -330,15 +330,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             cols = [b.column(0), pc.binary_length(b.column(1)).cast(pa.int64()),
                     pa.array([sum(y - x for x, y in r) for _, r in cut], pa.int64()),
                     pa.array([len(r) for _, r in cut], pa.int64()),
-                    pa.array([hashlib.sha256(k).hexdigest() for k, _ in cut])]
-            names = [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+                    pa.array([hashlib.sha256(k).hexdigest() for k, _ in cut]),
+                    pa.array([bool(r) for _, r in cut])]
+            names = [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256", "has_repeats"]
             if with_kept:
                 cols, names = [*cols, pa.array([k for k, _ in cut], pa.binary())], [*names, "kept"]
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
     kind = docs.schema[id_col].dataType.simpleString()
     return (rows.join(spans, "ref", "left").select("__id", "bytes", "spans").mapInArrow(
-        run, f"`{id_col}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+        run, f"`{id_col}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, has_repeats boolean"
              + ", kept binary" * with_kept))
 
 
