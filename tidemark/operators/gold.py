@@ -51,31 +51,39 @@ class Star:
 NUMERIC_ATTRIBUTES = ("population", "median_age", "gdp_per_capita", "human_development_index")
 
 
-def country_attributes(silver: DataFrame, cfg: PanelConfig) -> DataFrame:
-    """One row per entity with its latest non-null attributes.
+def partial_attributes(silver: DataFrame) -> DataFrame:
+    """Per ``(entity, name, group)``: its last date, and per numeric attribute the value at its latest non-null
+    date plus that date.  Partial rows of several loads may be put together by ``latest_attributes``.
 
-    Two levels, so the pass over Silver is a hash aggregate with fixed-width buffers only
-    (``max_by`` over a string value would force a sort-based aggregate, i.e. a sort of every
-    Silver row): level 1 groups by ``(entity, name, group)`` and keeps, per numeric attribute,
-    the value at its latest non-null date plus that date; level 2 reduces the few level-1 rows
-    per entity (about one per entity) with ``max_by``."""
+    A hash aggregate with fixed-width buffers only: ``max_by`` over a string value would force a sort-based
+    aggregate, i.e. a sort of every Silver row."""
     d = F.col("date")
 
     def guarded(c: str):
         return F.when(F.col(c).isNotNull(), d)
 
-    lvl1 = silver.groupBy("iso_code", "location", "continent").agg(
+    return silver.groupBy("iso_code", "location", "continent").agg(
         F.max(d).alias("_d"),
         *[F.max_by(F.col(c), guarded(c)).alias(c) for c in NUMERIC_ATTRIBUTES],
         *[F.max(guarded(c)).alias(f"_d_{c}") for c in NUMERIC_ATTRIBUTES],
     )
-    return lvl1.groupBy("iso_code").agg(
+
+
+def latest_attributes(partial: DataFrame) -> DataFrame:
+    """One row per entity with its latest non-null attributes, from ``partial_attributes``."""
+    return partial.groupBy("iso_code").agg(
         F.max_by("location", F.when(F.col("location").isNotNull(), F.col("_d"))).alias("country_name"),
         F.max_by("continent", F.when(F.col("continent").isNotNull(), F.col("_d"))).alias("continent"),
         *[F.max_by(F.col(c), F.col(f"_d_{c}")).alias(c) for c in NUMERIC_ATTRIBUTES],
     )
 
 
+def country_attributes(silver: DataFrame, cfg: PanelConfig) -> DataFrame:
+    """One row per entity with its latest non-null attributes (D2), in two levels (about one row per entity
+    reaches the second)."""
+    return latest_attributes(partial_attributes(silver))
+
+
 def dim_country(silver: DataFrame, cfg: PanelConfig):
     keyed = dense_key(country_attributes(silver, cfg), "iso_code", "country_key", cfg.key_buckets)
     return keyed.df.select(*DIM_COUNTRY_COLUMNS), keyed.rows

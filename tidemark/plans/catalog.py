@@ -31,5 +31,5 @@ for _name in ("q1_top_countries", "q2_monthly_continent", "q3_vax_vs_death", "q4
 
 def load_all() -> dict[str, tuple[Query, str | None]]:
     # importing the modules registers their entries
-    from tidemark.plans import registry_extra, registry_io  # noqa: F401
+    from tidemark.plans import registry_extra, registry_io, registry_load  # noqa: F401
     return REGISTRY

@@ -8,14 +8,17 @@ physical layout and the constraints a Parquet table does not enforce.
   ``country_key`` and sorted by ``date_key`` inside each bucket, so a later aggregation or join
   on ``country_key`` reads co-located buckets without an ``Exchange`` and row-group min/max
   statistics on ``date_key`` stay tight.  ``write_fact`` writes rebalanced, sorted Parquet instead,
-  which also suits skewed keys.
+  which also suits skewed keys.  ``write_dim_bucketed`` and ``join_colocated`` join such a fact without
+  any exchange; ``write_fact_clustered`` lays it out along a curve over two keys, so that either prunes.
 * ``constraint_violations`` enforces NOT NULL / PRIMARY KEY / FOREIGN KEY / VARCHAR length,
   which Parquet tables accept but do not check.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import VARCHAR_LIMITS
@@ -121,6 +124,56 @@ def write_fact_bucketed(fact: DataFrame, table: str, buckets: int = 64,
     w.saveAsTable(table)
 
 
+def write_dim_bucketed(dim: DataFrame, table: str, buckets: int = 64, path: str | None = None,
+                       key: str = "country_key") -> None:
+    """A dimension in the buckets of ``write_fact_bucketed``, one file a bucket, sorted by its key."""
+    w = (dim.repartition(buckets, key).write.mode("overwrite")
+         .bucketBy(buckets, key).sortBy(key).format("parquet"))
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(table)
+
+
+def join_colocated(spark: SparkSession, fact_table: str, dim_table: str, key: str = "country_key") -> DataFrame:
+    """Fact and dimension of equal buckets joined bucket by bucket: no row of either side is exchanged.
+
+    Each bucket is joined by one task.  It suits a dimension that is too large to broadcast; for a small one
+    the planner's own choice does as well."""
+    return spark.table(fact_table).join(spark.table(dim_table).hint("merge"), key)
+
+
+def curve_key(columns: Sequence[str], ranges: Sequence[tuple[int, int]], bits: int = 16) -> Column:
+    """Place on a Z-order curve: each column's position in its (least, largest) range, bits interleaved.
+
+    NULL and values below the range count as the least, values above as the largest."""
+    parts = []
+    for c, (low, high) in zip(columns, ranges, strict=True):
+        held = F.least(F.greatest(F.coalesce(F.col(c), F.lit(low)), F.lit(low)), F.lit(high)).cast("double")
+        parts.append(F.floor((held - low) * (1 << bits) / (high - low + 1)).cast("long"))
+    out = F.lit(0).cast("long")
+    for i, x in enumerate(parts):
+        for b in range(bits):
+            out = out.bitwiseOR(F.shiftleft(F.shiftright(x, b).bitwiseAND(1), b * len(parts) + len(parts) - 1 - i))
+    return out
+
+
+def write_fact_clustered(fact: DataFrame, path: str, columns: Sequence[str] = ("country_key", "date_key"),
+                         ranges: Sequence[tuple[int, int]] | None = None, files: int | None = None) -> None:
+    """The fact along a Z-order curve over ``columns``: files and row groups are narrow in each of them, so a
+    predicate on any one prunes, where a sorted layout prunes on its first column alone.
+
+    ``ranges`` of dense keys are known (1 to the dimension's rows); else one aggregate finds them.  Rows are
+    range-partitioned by their place on the curve and a row hash, so a hot key spreads over many files."""
+    spark = fact.sparkSession
+    if ranges is None:
+        one = fact.agg(*[f(c) for c in columns for f in (F.min, F.max)]).first()
+        ranges = [(one[2 * i] or 0, one[2 * i + 1] or 0) for i in range(len(columns))]
+    files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (fact.withColumn("_place", curve_key(columns, ranges))
+     .repartitionByRange(files, "_place", F.xxhash64(*fact.columns)).sortWithinPartitions("_place", *columns).drop("_place")
+     .write.mode("overwrite").parquet(path))
+
+
 def constraint_violations(star: Star) -> DataFrame:
     """``(constraint, violations)`` for the DDL's NOT NULL / PK / FK / VARCHAR rules.
 

@@ -179,11 +179,16 @@ def stream_files(spark: SparkSession, folder: str, bucket: str | None, sink: str
 
 
 def stream_events(spark: SparkSession, folder: str, sink: str, checkpoint: str,
-                  max_files_per_trigger: int = 10_000, summary_sink: str | None = None):
+                  max_files_per_trigger: int = 10_000, summary_sink: str | None = None,
+                  once_within: str | None = None):
     """Event-driven audit as a stream: notification bodies land as text files (one JSON body per
     line); each micro-batch parses and explodes them into audit rows appended to ``sink``.
     Stateless, so no watermark; the checkpoint makes each notification file count once.
 
+    Stores deliver a notification at least once.  With ``once_within`` (as ``7 days``) a record that repeats one of
+    the same bucket, key and event time is dropped if it comes within that span of event time; the state
+    holds the records of that span only.  Records without a readable time count as of now.
+
     With ``summary_sink`` every micro-batch also writes its summary (files and MB per layer, the
     per-invocation report of the reference) via ``foreachBatch``.  Both outputs of a batch go to
     ``.../batch_id=<id>`` folders in overwrite mode, so a retried batch replaces its own output
@@ -191,6 +196,10 @@ def stream_events(spark: SparkSession, folder: str, sink: str, checkpoint: str,
     bodies = (spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_trigger)
               .load(folder).withColumnRenamed("value", "body"))
     rows = from_events(bodies)
+    if once_within is not None:
+        at = F.coalesce(F.try_to_timestamp("event_time", F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSS][X]")), F.current_timestamp())
+        rows = (rows.withColumn("_at", at).withWatermark("_at", once_within)
+                .dropDuplicatesWithinWatermark(["bucket", "file_key", "event_time"]).drop("_at"))
     if summary_sink is None:
         w = rows.writeStream.format("parquet").option("path", sink)
     else:
