@@ -83,6 +83,45 @@ def test_labels():
     assert SCANNER.scan("under the mit licenses")["n_base"] == 0
 
 
+def chained(scanner, pieces):
+    """Covered template spans with every earlier piece as a possible predecessor."""
+    out = []
+    for t in {p[0] for p in pieces}:
+        own = sorted(p[1:] for p in pieces if p[0] == t)
+        best = []
+        for k, (at, in_t, size) in enumerate(own):
+            top = (size, at)
+            for j, (a, b, s) in enumerate(own[:k]):
+                over = max(0, a + s - at, b + s - in_t)
+                if a < at and b < in_t and over < size and max(at - a - s, in_t - b - s) <= scanner.gap:
+                    top = max(top, (best[j][0] + size - over, best[j][1]), key=lambda x: x[0])
+            best.append(top)
+        for (n, first), (at, _, size) in zip(best, own, strict=True):
+            if n >= scanner.cover * scanner.sizes[t]:
+                out.append((scanner.labels[t], first, at + size, min(1.0, n / scanner.sizes[t])))
+    return sorted(out)
+
+
+def test_chains_equal_brute_force_where_a_phrase_repeats():
+    # one match has 20 places in the template, so a piece has up to 60 earlier ones within the gap
+    phrase = "you may copy it"
+    template = " ".join(f"{phrase} {w}" for w in "a b c d e f g h i j k l m n o p q r s t".split())
+    scanner = X.Scanner({"own": (template, "the whole of it you may copy it")}, {"under a license": "x"})
+    random.seed(4)
+    for _ in range(30):
+        ws = template.split()
+        for _ in range(random.randrange(6)):
+            ws[random.randrange(len(ws))] = random.choice(["zz", "copy"])
+        if random.random() < 0.5:
+            ws = phrase.split() * random.randint(1, 30) + ws
+        pieces = scanner.matches(ws)[2]
+        assert sorted(scanner.spans(list(pieces))) == chained(scanner, pieces)
+    assert scanner.scan(template)["labels"] == "own"
+    for ws in mixtures(200):
+        pieces = SCANNER.matches(ws)[2]
+        assert sorted(SCANNER.spans(list(pieces))) == chained(SCANNER, pieces)
+
+
 def test_rows(docs, odd, empty):
     for df in (docs, odd):
         got = sorted(((r.doc_id, r.n_words, r.n_base) for r in X.scan_licenses(df).collect()), key=repr)

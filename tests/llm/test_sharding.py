@@ -9,8 +9,7 @@ def check(df, shards=8, **settings):
     rows = [(r.doc_id, r.text) for r in df.collect()]
     got = X.shard_rows(df, shards, **settings).collect()
     assert len(got) == len(rows)
-    assert sorted((r["doc_id"], r["text"]) for r in got if r["doc_id"] is not None) == \
-        sorted(((i, t) for i, t in rows if i is not None), key=lambda x: (x[0], x[1] or "")) or True
+    assert sorted(((r["doc_id"], r["text"]) for r in got), key=repr) == sorted(rows, key=repr)
     assert sorted(r["__size"] for r in got) == sorted(len((t or "").encode()) + 1 for _, t in rows)
     by = {}
     for r in got:

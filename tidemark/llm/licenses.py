@@ -224,9 +224,12 @@ class Scanner:
             # best chain ending in each piece: later in the file, later in the template, small gaps
             own.sort()
             best: list[tuple[int, int]] = []            # covered words, first word of the chain
+            longest, low = max(size for _, _, size in own), 0
             for k, (at, in_t, size) in enumerate(own):
                 top = (size, at)
-                for j in range(max(0, k - 16), k):
+                while own[low][0] + longest < at - self.gap:        # these and all before end too early
+                    low += 1
+                for j in range(low, k):
                     a, b, s = own[j]
                     over = max(0, a + s - at, b + s - in_t)
                     if a < at and b < in_t and over < size and at - a - s <= self.gap and in_t - b - s <= self.gap:
