@@ -24,7 +24,7 @@ too; a language without kept terms has pair values 0; an empty table gives no ro
 
 from __future__ import annotations
 
-import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,40 +34,44 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import documents, each, materialize, ship
 
-TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
-_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+# the bytes of terms: A-Z lower-cased, a-z, and all bytes of other characters; the rest become spaces
+_FOLD = bytes(c if c > 127 else ord(chr(c).lower()) if chr(c).isalpha() else 32 for c in range(256))
 SCALE = 1_000_000_000
-HELD = 200_000          # combined terms that a task holds before it hands them on
+HELD = 500_000          # combined terms that a task holds before it hands them on
 PAIRS = 2_000_000       # pairs of a term's sources that a task looks at in one go
+_ROW = 1 << 40          # a combined term's rows are counted in the bits above, its occurrences below
+
+
+def terms(text: str) -> list[bytes]:
+    return text.encode("utf-8").translate(_FOLD).split()
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (lang, source, text) -> (lang, source, term, n, docs) combined; term null: the group itself."""
-    found: dict[tuple, list[int]] = {}
-
-    def out() -> pa.RecordBatch:
-        keys = list(zip(*found, strict=True))
-        cols = [pa.array(k, pa.string()) for k in keys] + [
-            pa.array([v[i] for v in found.values()], pa.int64()) for i in range(2)]
+    found: dict[tuple[str, str], dict[bytes | None, int]] = {}
+
+    def out() -> Iterator[pa.RecordBatch]:
+        for (lang, source), own in found.items():
+            sums = np.fromiter(own.values(), np.int64, len(own))
+            name = [pa.array([x]).take(pa.array(np.zeros(len(own), np.int32))) for x in (lang, source)]
+            yield pa.RecordBatch.from_arrays(
+                [*name, pa.array(list(own), pa.binary()).cast(pa.string()), pa.array(sums % _ROW), pa.array(sums // _ROW)],
+                names=["lang", "source", "term", "n", "docs"])
         found.clear()
-        return pa.RecordBatch.from_arrays(cols, names=["lang", "source", "term", "n", "docs"])
 
+    held = rows = 0
     for b in batches:
         for lang, source, text in zip(*[each(b.column(i)) for i in range(3)], strict=True):
-            own: dict[str, int] = {}
-            for t in TERM.findall(text.translate(_LOWER)):
-                own[t] = own.get(t, 0) + 1
-            found.setdefault((lang, source, None), [0, 0])[1] += 1
-            for t, n in own.items():
-                if (x := found.get((lang, source, t))) is None:
-                    found[lang, source, t] = [n, 1]
-                else:
-                    x[0] += n
-                    x[1] += 1
-            if len(found) >= HELD:
-                yield out()
-    if found:
-        yield out()
+            own = found.setdefault((lang, source), {})
+            before, get = len(own), own.get
+            own[None] = get(None, 0) + _ROW
+            for t, n in Counter(terms(text)).items():
+                own[t] = get(t, 0) + n + _ROW
+            held, rows = held + len(own) - before, rows + 1
+            if held >= HELD or rows >= 1 << 22:
+                yield from out()
+                held = rows = 0
+    yield from out()
 
 
 def share(count: Column, total: Column, v: Column) -> Column:
@@ -91,16 +95,16 @@ def _both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     Cells (a, share in a, b, share in b) of a batch are counted first; f is evaluated once per cell.
     """
-    def parts(column: pa.Array) -> tuple[np.ndarray, ...]:
+    def parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Entries by row, their kinds (group, share, share of count 0) and each entry's kind."""
         flat = column.flatten()
-        return (column.value_lengths().to_numpy().astype(np.int64),
-                *[flat.field(i).to_numpy(zero_copy_only=False) for i in range(3)])
+        g, p, p0 = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(3))
+        groups, own = np.unique(g, return_inverse=True)
+        _, at, code = np.unique(own * (SCALE + 2) + p, return_index=True, return_inverse=True)
+        return column.value_lengths().to_numpy().astype(np.int64), np.stack([g[at], p[at], p0[at]]), code
 
     def settle(rows: pa.RecordBatch) -> pa.RecordBatch | None:
-        (nl, al, pl, zl), (nr, ar, pr, zr) = parts(rows.column(0)), parts(rows.column(1))
-        kinds_l, code_l = np.unique(np.stack([al, pl, zl]), axis=1, return_inverse=True)
-        kinds_r, code_r = np.unique(np.stack([ar, pr, zr]), axis=1, return_inverse=True)
-        code_l, code_r = code_l.ravel(), code_r.ravel()
+        (nl, kinds_l, code_l), (nr, kinds_r, code_r) = parts(rows.column(0)), parts(rows.column(1))
         # every left entry of a row meets every right entry of the row
         row = np.repeat(np.arange(len(nl)), nl)
         left = np.repeat(code_l, nr[row])
@@ -112,12 +116,13 @@ def _both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         b, q, b0 = kinds_r[:, cells % kinds_r.shape[1]]
         value = m * (_f(p, q) - _f(p, b0) - _f(a0, q) + _f(a0, b0))
         own = a != b
-        pairs, place = np.unique(np.stack([a[own], b[own]]), axis=1, return_inverse=True)
-        if not pairs.shape[1]:
+        if not own.any():
             return None
-        total = np.zeros(pairs.shape[1], np.int64)
-        np.add.at(total, place.ravel(), value[own])
-        return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1]), pa.array(total)],
+        (left, x), (right, y) = (np.unique(c[own], return_inverse=True) for c in (a, b))
+        pairs, place = np.unique(x * len(right) + y, return_inverse=True)
+        total = np.zeros(len(pairs), np.int64)
+        np.add.at(total, place, value[own])
+        return pa.RecordBatch.from_arrays([pa.array(left[pairs // len(right)]), pa.array(right[pairs % len(right)]), pa.array(total)],
                                           names=["a", "b", "value"])
 
     for b in batches:
