@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import documents, materialize, ship, shuffle_width
 
 LONG = np.iinfo(np.int64)
-LEAF_ROWS = 128
+LEAF_ROWS = 256
 CHUNK_ROWS = 8192       # rows that are tiled together
 SHARD_ROWS = 4096       # about so many rows of the tree meet a block of queries in a task
 BLOCK_QUERIES = 512
@@ -137,8 +137,9 @@ def _bounds(a: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray,
 
 
 def _exact(m: np.ndarray, a: np.ndarray, small: bool) -> np.ndarray:
+    """Inner products: whole numbers in doubles where those are exact, else longs."""
     if small:
-        return (m @ a).astype(np.int64)
+        return m @ a
     ints = [[int(x) for x in r] for r in m]
     own = [int(x) for x in a]
     return np.array([max(LONG.min, min(LONG.max, sum(x * y for x, y in zip(r, own, strict=True)))) for r in ints], np.int64)
@@ -162,7 +163,10 @@ def search_shard(shard: Shard, vec: np.ndarray, row: int, label: int, same: bool
             continue
         rows, ids, none, labels, m = shard.leaves[i]
         scores = _exact(m, vec, small)
-        own = np.flatnonzero(((labels == label) == same) & (rows != row))
+        own = np.flatnonzero((scores >= min(kth[w] for w in open_)) & ((labels == label) == same) & (rows != row))
+        if not len(own):
+            continue
+        scores = scores.astype(np.int64)
         own = own[np.argsort(-scores[own], kind="stable")]      # ids and rows are in order within a leaf
         down = -scores[own]
         for w in open_:
