@@ -108,7 +108,7 @@ def test_chains_equal_brute_force_where_a_phrase_repeats():
     template = " ".join(f"{phrase} {w}" for w in "a b c d e f g h i j k l m n o p q r s t".split())
     scanner = X.Scanner({"own": (template, "the whole of it you may copy it")}, {"under a license": "x"})
     random.seed(4)
-    for _ in range(30):
+    for _ in range(5):
         ws = template.split()
         for _ in range(random.randrange(6)):
             ws[random.randrange(len(ws))] = random.choice(["zz", "copy"])
