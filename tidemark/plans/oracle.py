@@ -20,31 +20,50 @@ CFG = PanelConfig.for_tables()
 
 PANEL_SQL = """
 SELECT iso_code, location, continent, d AS date, new_cases, new_deaths, total_cases, total_deaths,
-       people_vaccinated, icu_patients, population, gdp_per_capita
+       people_vaccinated, icu_patients, population, gdp_per_capita,
+       CASE WHEN day(d) = 14 THEN -q ELSE new_cases END / 8 AS new_cases_smoothed,
+       CASE WHEN day(d) = 15 THEN -q WHEN day(d) = 16 THEN NULL ELSE r END / 8 AS new_deaths_smoothed,
+       total_cases * 1000000 / NULLIF(population, 0) AS total_cases_per_million,
+       new_cases * 1000000 / NULLIF(population, 0) AS new_cases_per_million,
+       total_deaths * 1000000 / NULLIF(population, 0) AS total_deaths_per_million,
+       new_deaths * 1000000 / NULLIF(population, 0) AS new_deaths_per_million,
+       people_vaccinated * 2.5e0 AS total_vaccinations, CAST(floor(people_vaccinated / 2) AS DOUBLE) AS people_fully_vaccinated,
+       people_vaccinated * 100 / NULLIF(population, 0) AS people_vaccinated_per_hundred,
+       CAST(floor(people_vaccinated / 2) AS DOUBLE) * 100 / NULLIF(population, 0) AS people_fully_vaccinated_per_hundred,
+       CASE WHEN day(d) <= 20 THEN icu_patients * 3 END AS hosp_patients, median_age, aged_65_older, human_development_index
 FROM (
   SELECT iso_code, location, continent, d, new_cases, new_deaths, icu_patients, population, gdp_per_capita,
-    SUM(q) OVER (PARTITION BY iso_code ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS total_cases,
-    SUM(r) OVER (PARTITION BY iso_code ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS total_deaths,
+    q, r, median_age, aged_65_older, human_development_index,
+    SUM(q) OVER (PARTITION BY iso_code, d IS NULL ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS total_cases,
+    SUM(r) OVER (PARTITION BY iso_code, d IS NULL ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS total_deaths,
     CASE WHEN d >= DATE '1998-01-01' THEN
-      SUM(f) OVER (PARTITION BY iso_code ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END AS people_vaccinated
+      SUM(f) OVER (PARTITION BY iso_code, d IS NULL ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END AS people_vaccinated
   FROM (
-    SELECT n_name AS iso_code, n_name AS location, r_name AS continent, CAST(o_orderdate AS DATE) AS d,
-      SUM(CASE WHEN l_returnflag = 'R' AND l_discount > 0.08 THEN -3 * l_quantity ELSE l_quantity END) AS new_cases,
-      SUM(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0 END) AS new_deaths,
-      SUM(CASE WHEN l_returnflag = 'A' AND n_nationkey % 3 = 0 THEN l_quantity END) AS icu_patients,
-      SUM(l_quantity) AS q,
-      SUM(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0 END) AS r,
-      SUM(CASE WHEN l_linestatus = 'F' THEN l_quantity ELSE 0 END) AS f,
-      CASE WHEN n_nationkey = 7 THEN NULL WHEN n_nationkey = 11 THEN 0.0 ELSE 100000.0 * (1 + n_nationkey) END AS population,
-      CASE WHEN n_nationkey % 5 = 0 THEN NULL ELSE 700.0 * n_nationkey END AS gdp_per_capita
-    FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-         JOIN customer ON o_custkey = c_custkey
-         JOIN nation ON c_nationkey = n_nationkey
-         JOIN region ON n_regionkey = r_regionkey
-    GROUP BY n_name, r_name, n_nationkey, CAST(o_orderdate AS DATE)) a) b
+    SELECT n_name AS iso_code, n_name AS location, r_name AS continent, d, q, r, f, new_cases,
+      CASE WHEN day(d) = 13 THEN -r ELSE r END AS new_deaths,
+      CASE WHEN n_nationkey % 3 = 0 THEN icu END AS icu_patients,
+      CASE WHEN n_nationkey = 7 THEN NULL WHEN n_nationkey = 11 THEN 0e0
+           ELSE 100000e0 * (1 + n_nationkey) + 100 * (year(d) - 2001) END AS population,
+      CASE WHEN n_nationkey % 5 = 0 THEN NULL ELSE 700e0 * n_nationkey + 10 * (year(d) - 2001) END AS gdp_per_capita,
+      CASE WHEN n_nationkey % 4 <> 3 THEN 20e0 + n_nationkey + (year(d) - 1995) / 2e0 END AS median_age,
+      5 + n_nationkey / 4e0 AS aged_65_older,
+      CASE WHEN n_nationkey % 6 <> 5 THEN 5e-1 + n_nationkey / 64e0 END AS human_development_index
+    FROM (
+      SELECT n_name, r_name, n_nationkey, CAST(o_orderdate AS DATE) AS d,
+        SUM(CASE WHEN l_returnflag = 'R' AND l_discount > 0.08 THEN -3 * l_quantity ELSE l_quantity END) AS new_cases,
+        SUM(CASE WHEN l_returnflag = 'A' THEN l_quantity END) AS icu,
+        SUM(l_quantity) AS q,
+        SUM(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0 END) AS r,
+        SUM(CASE WHEN l_linestatus = 'F' THEN l_quantity ELSE 0 END) AS f
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+           JOIN customer ON o_custkey = c_custkey
+           JOIN nation ON c_nationkey = n_nationkey
+           JOIN region ON n_regionkey = r_regionkey
+      GROUP BY GROUPING SETS ((n_name, r_name, n_nationkey, CAST(o_orderdate AS DATE)), (n_name, r_name, n_nationkey))) s) a) b
 UNION ALL
-SELECT 'OWID_' || r_name, r_name, CASE WHEN r_regionkey = 0 THEN r_name END, CAST(o_orderdate AS DATE),
-       SUM(l_quantity), 0.0, SUM(l_quantity), 0.0, NULL, NULL, 1.0, NULL
+SELECT CASE WHEN r_regionkey <> 3 THEN 'OWID_' || r_name END, r_name, CASE WHEN r_regionkey IN (0, 3) THEN r_name END,
+       CAST(o_orderdate AS DATE), SUM(l_quantity), 0.0, SUM(l_quantity), 0.0, NULL, NULL, 1.0, NULL,
+       NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
      JOIN customer ON o_custkey = c_custkey
      JOIN nation ON c_nationkey = n_nationkey
@@ -54,7 +73,11 @@ GROUP BY r_name, r_regionkey, CAST(o_orderdate AS DATE)
 
 PANEL_COLUMNS = ("iso_code", "location", "continent", "date", "new_cases", "new_deaths",
                  "total_cases", "total_deaths", "people_vaccinated", "icu_patients", "population",
-                 "gdp_per_capita")
+                 "gdp_per_capita", "new_cases_smoothed", "new_deaths_smoothed",
+                 "total_cases_per_million", "new_cases_per_million", "total_deaths_per_million",
+                 "new_deaths_per_million", "total_vaccinations", "people_fully_vaccinated",
+                 "people_vaccinated_per_hundred", "people_fully_vaccinated_per_hundred",
+                 "hosp_patients", "median_age", "aged_65_older", "human_development_index")
 
 
 def sround(expr: str, digits: int) -> str:
@@ -147,7 +170,8 @@ def with_panel(body: str, cfg: PanelConfig = CFG) -> str:
 
 # ----------------------------------------------------------------------------------------------
 # The analytic answers, computed from Silver alone: no star, no keys, no dimension joins, so they
-# are independent of the code they check.  ``names`` holds each entity's latest label and area.
+# are independent of the code they check.  ``names`` holds each entity's latest label and area.  Answers by a
+# calendar attribute leave out rows without a date, as those meet no row of the date dimension.
 # ----------------------------------------------------------------------------------------------
 def with_names(body: str, cfg: PanelConfig = CFG) -> str:
     return with_panel(f"SELECT * FROM (WITH names AS (SELECT iso_code AS code, {_latest('location')} AS label, "
@@ -172,7 +196,7 @@ _VAX = {"max_vax_rate_pct": ("vaccination_rate", 2), "peak_death_rate_pct": ("de
         "total_cases": ("total_cases", None)}
 VAX_BY_ENTITY = entity_maxima(_VAX, "max_vax_rate_pct", None, "vaccination_rate")
 _MONTHS = ("SELECT label AS country_name, CAST(year(date) AS INTEGER) AS year, monthname(date) AS month_name, "
-           "sum(new_cases) AS monthly_cases FROM named WHERE new_cases IS NOT NULL GROUP BY ALL")
+           "sum(new_cases) AS monthly_cases FROM named WHERE new_cases IS NOT NULL AND date IS NOT NULL GROUP BY ALL")
 
 
 def _distinct(column: str) -> str:
@@ -185,12 +209,13 @@ QUERY_SQL = {
          "cases_per_million": ("cases_per_million_calc", 0)}, "total_cases", 20),
     "q2_monthly_continent": with_names(
         "SELECT CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, area AS continent, "
-        "sum(new_cases) AS monthly_new_cases, sum(new_deaths) AS monthly_new_deaths FROM named GROUP BY ALL"),
+        "sum(new_cases) AS monthly_new_cases, sum(new_deaths) AS monthly_new_deaths FROM named "
+        "WHERE date IS NOT NULL GROUP BY ALL"),
     "q3_vax_vs_death": entity_maxima(_VAX, "max_vax_rate_pct", 20, "vaccination_rate"),
     "q4_by_wave": with_panel(
         f"SELECT {_wave_case('date', CFG)} AS covid_wave, sum(new_cases) AS total_new_cases, "
         "sum(new_deaths) AS total_new_deaths, count(DISTINCT iso_code) AS countries_reporting "
-        "FROM silver WHERE new_cases IS NOT NULL GROUP BY ALL"),
+        "FROM silver WHERE new_cases IS NOT NULL AND date IS NOT NULL GROUP BY ALL"),
     "q5_peak_icu": entity_maxima(
         {"peak_icu_patients": ("icu_patients", 0), "peak_hosp_patients": ("hosp_patients", 0),
          "total_cases": ("total_cases", None)}, "peak_icu_patients", 15, "icu_patients"),

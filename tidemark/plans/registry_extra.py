@@ -128,7 +128,7 @@ SELECT c.iso_code, c.country_name, {sround('p.max_cpm', 2)} AS cases_per_million
 FROM per_country p JOIN dim_country c ON p.country_key = c.country_key
 ORDER BY cases_per_million DESC NULLS LAST, c.iso_code"""),
     "m3_daily_trend": oracle.with_names(
-        "SELECT date, area AS continent, sum(new_cases) AS daily_new_cases FROM named GROUP BY ALL"),
+        "SELECT date, area AS continent, sum(new_cases) AS daily_new_cases FROM named WHERE date IS NOT NULL GROUP BY ALL"),
     "m5_scatter": oracle.VAX_BY_ENTITY,
     "m6_vax_death_corr": (f"SELECT {sround('corr(max_vax_rate_pct, peak_death_rate_pct)', 6)} AS vax_death_corr, "
                           f"count(*) AS countries FROM ({oracle.VAX_BY_ENTITY}) s"),

@@ -340,7 +340,8 @@ def silver_ingested_at(spark, sf_dir):
     return silver.select("iso_code", "date", F.date_format(utc, "yyyy-MM-dd HH:mm:ss").alias("ingested_at"))
 
 
-_LENIENT = tuple(r for r in default_rules(CFG) if r.kind in ("not_null", "unique"))
+# the panel has rows without a date, so a gate that passes has no rule for it
+_LENIENT = tuple(r for r in default_rules(CFG) if r.kind in ("not_null", "unique") and r.columns != ("date",))
 _STRICT = default_rules(CFG.with_(row_count_bounds=(1, 2), valid_groups=("ASIA",)))
 
 

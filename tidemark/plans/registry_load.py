@@ -54,7 +54,7 @@ def layout_two_keys(spark, sf_dir):
 # ---------------------------------------------------------------- load errors
 def _damaged_landing(spark, sf_dir):
     """One CSV file a year, its lines in (code, date) order, some with bad dates, bad numbers or a field too many."""
-    b = stages.bronze(spark, sf_dir).withColumn("year", F.year("date"))
+    b = stages.bronze(spark, sf_dir).where("date IS NOT NULL").withColumn("year", F.year("date"))
     cell = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in PANEL_COLUMNS}
     cell["date"] = F.when(F.col("new_cases") < 0, F.concat(F.lit("bad-"), cell["date"])).otherwise(cell["date"])
     cell["total_deaths"] = F.when(F.day("date") == 9, F.lit("n/a")).otherwise(cell["total_deaths"])
@@ -69,8 +69,8 @@ def _damaged_landing(spark, sf_dir):
 
 
 _ERRORS_SQL = """
-lines AS (SELECT *, CAST(year(date) AS VARCHAR) AS year, 1 + row_number() OVER (PARTITION BY year(date) ORDER BY iso_code, date) AS line
-          FROM panel),
+lines AS (SELECT *, CAST(year(date) AS VARCHAR) AS year, 1 + row_number() OVER (PARTITION BY year(date) ORDER BY iso_code NULLS FIRST, date) AS line
+          FROM panel WHERE date IS NOT NULL),
 errors AS (
   SELECT year, line, '_line' AS "column", CAST(NULL AS VARCHAR) AS raw_value, 'wrong number of fields' AS reason
   FROM lines WHERE day(date) = 20
@@ -231,7 +231,7 @@ def stream_gold_monthly(spark, sf_dir):
     """Q2 from the monthly sums that the stream keeps, without the fact."""
     base = _arrived(spark, sf_dir)
     star = gold_stream.read_star(spark, base, CFG)
-    return (gold_stream.read_monthly(spark, base).join(star.dim_country.select("country_key", "continent"), "country_key", "left")
+    return (gold_stream.read_monthly(spark, base).where("year IS NOT NULL").join(star.dim_country.select("country_key", "continent"), "country_key", "left")
             .groupBy("year", "month", "continent").agg(F.sum("new_cases").alias("monthly_new_cases"),
                                                        F.sum("new_deaths").alias("monthly_new_deaths")))
 

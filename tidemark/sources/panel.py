@@ -1,7 +1,8 @@
 """The raw daily panel (Bronze) derived from the TPC-H-style test tables.
 
 One row per (nation, order date) with case-like measures taken from ``lineitem`` quantities,
-plus one aggregate ``OWID_<region>`` row per (region, date) that the Silver filters must drop.
+plus one aggregate ``OWID_<region>`` row per (region, date) that the Silver filters must drop (one region
+without a code), and one row per nation without a date.
 The definition is the fixture text in FIXTURES.md section 4; this module computes the same rows
 with the DataFrame API, planned for scale:
 
@@ -12,8 +13,8 @@ with the DataFrame API, planned for scale:
 * ``nation`` and ``region`` are tiny fixed tables and are broadcast; ``customer`` grows with the
   data, so its join strategy is left to AQE (it broadcasts only when the runtime size is below
   ``spark.sql.autoBroadcastJoinThreshold``).
-* The per-nation and per-region sums come from ONE grouping-sets aggregate over the join (an
-  ``Expand`` before the partial aggregate), so the join runs once.
+* The per-nation and per-region sums come from ONE grouping-sets aggregate over the rows per nation and
+  date (an ``Expand`` before the partial aggregate), so the join runs once.
 * Running totals are windows partitioned by entity over the *aggregated* rows, whose size is
   bounded by the number of distinct dates, not by the number of line items.
 """
@@ -37,13 +38,27 @@ POPULATION_ZERO_NATION = 11
 POPULATION_PER_NATION = 100000.0
 GDP_NULL_MODULUS = 5
 GDP_PER_NATION = 700.0
+ATTRIBUTE_YEAR = 2001               # population and GDP change by so much a year, to their plain value then
+POPULATION_PER_YEAR = 100
+GDP_PER_YEAR = 10
+MEDIAN_AGE_YEAR = 1995
+NEGATIVE_DEATHS_DAY = 13
+NEGATIVE_SMOOTHED_CASES_DAY = 14
+NEGATIVE_SMOOTHED_DEATHS_DAY = 15
+NO_SMOOTHED_DEATHS_DAY = 16
+LAST_HOSPITAL_DAY = 20
+NO_CODE_REGION = 3
 ICU_MODULUS = 3
 AGGREGATE_PREFIX = "OWID_"
 AGGREGATE_CONTINENT_REGION = 0
 
 PANEL_COLUMNS = ("iso_code", "location", "continent", "date", "new_cases", "new_deaths",
                  "total_cases", "total_deaths", "people_vaccinated", "icu_patients", "population",
-                 "gdp_per_capita")
+                 "gdp_per_capita", "new_cases_smoothed", "new_deaths_smoothed",
+                 "total_cases_per_million", "new_cases_per_million", "total_deaths_per_million",
+                 "new_deaths_per_million", "total_vaccinations", "people_fully_vaccinated",
+                 "people_vaccinated_per_hundred", "people_fully_vaccinated_per_hundred",
+                 "hosp_patients", "median_age", "aged_65_older", "human_development_index")
 
 
 def order_measures(lineitem: DataFrame) -> DataFrame:
@@ -78,12 +93,15 @@ def _per_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per_nation.join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"))
 
 
+NATION_DATE, NATION, REGION_DATE = 0, 1, 24       # grouping ids of ``daily_sums``
+
+
 def daily_sums(per_nation: DataFrame) -> DataFrame:
-    """Per (nation, date) and per (region, date) sums by grouping sets over the rows per nation and date, so
-    neither the join nor the large aggregate sees a row twice; ``gid`` = 0 marks nation rows."""
+    """Per (nation, date), per nation and per (region, date) sums by grouping sets over the rows per nation and
+    date, so neither the join nor the large aggregate sees a row twice; ``gid`` tells them apart."""
     keys = ("n_nationkey", "n_name", "r_regionkey", "r_name", "d")
     return per_nation.groupingSets(
-        [list(keys), ["r_regionkey", "r_name", "d"]], *keys,
+        [list(keys), list(keys[:4]), ["r_regionkey", "r_name", "d"]], *keys,
     ).agg(
         F.sum("nc").alias("nc"), F.sum("nd").alias("nd"), F.sum("icu").alias("icu"),
         F.sum("q").alias("q"), F.sum("f").alias("f"), F.grouping_id().alias("gid"),
@@ -91,9 +109,10 @@ def daily_sums(per_nation: DataFrame) -> DataFrame:
 
 
 def panel_from_daily(daily: DataFrame) -> DataFrame:
-    """Entity rows (with running totals) and per-region aggregate rows from ``daily_sums``."""
-    nk = F.col("n_nationkey")
-    ent = F.col("gid") == 0
+    """Entity rows (with running totals; without a date: an entity's totals) and per-region aggregate rows from
+    ``daily_sums``."""
+    nk, q, nd, d = F.col("n_nationkey"), F.col("q"), F.col("nd"), F.col("d")
+    ent = F.col("gid") != REGION_DATE
     run = (Window.partitionBy("gid", "n_name").orderBy("d")
            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     null = F.lit(None).cast("double")
@@ -101,26 +120,48 @@ def panel_from_daily(daily: DataFrame) -> DataFrame:
     def pick(entity_value, region_value):
         return F.when(ent, entity_value).otherwise(region_value)
 
-    return daily.select(
-        pick(F.col("n_name"), F.concat(F.lit(AGGREGATE_PREFIX), F.col("r_name"))).alias("iso_code"),
+    def day(k: int):
+        return F.day(d) == k
+
+    base = daily.select(
+        pick(F.col("n_name"), F.when(F.col("r_regionkey") != NO_CODE_REGION, F.concat(F.lit(AGGREGATE_PREFIX), F.col("r_name"))))
+        .alias("iso_code"),
         pick(F.col("n_name"), F.col("r_name")).alias("location"),
         pick(F.col("r_name"),
-             F.when(F.col("r_regionkey") == AGGREGATE_CONTINENT_REGION, F.col("r_name")))
+             F.when(F.col("r_regionkey").isin(AGGREGATE_CONTINENT_REGION, NO_CODE_REGION), F.col("r_name")))
         .alias("continent"),
-        F.col("d").alias("date"),
-        pick(F.col("nc"), F.col("q")).alias("new_cases"),
-        pick(F.col("nd"), F.lit(0.0)).alias("new_deaths"),
-        pick(F.sum("q").over(run), F.col("q")).alias("total_cases"),
+        d.alias("date"),
+        pick(F.col("nc"), q).alias("new_cases"),
+        pick(F.when(day(NEGATIVE_DEATHS_DAY), -nd).otherwise(nd), F.lit(0.0)).alias("new_deaths"),
+        pick(F.sum("q").over(run), q).alias("total_cases"),
         pick(F.sum("nd").over(run), F.lit(0.0)).alias("total_deaths"),
-        pick(F.when(F.col("d") >= F.lit(VACCINATION_START).cast("date"), F.sum("f").over(run)),
+        pick(F.when(d >= F.lit(VACCINATION_START).cast("date"), F.sum("f").over(run)),
              null).alias("people_vaccinated"),
         pick(F.when(nk % ICU_MODULUS == 0, F.col("icu")), null).alias("icu_patients"),
         pick(F.when(nk == POPULATION_NULL_NATION, null)
              .when(nk == POPULATION_ZERO_NATION, F.lit(0.0))
-             .otherwise(F.lit(POPULATION_PER_NATION) * (nk + 1)), F.lit(1.0)).alias("population"),
-        pick(F.when(nk % GDP_NULL_MODULUS == 0, null).otherwise(F.lit(GDP_PER_NATION) * nk),
-             null).alias("gdp_per_capita"),
+             .otherwise(F.lit(POPULATION_PER_NATION) * (nk + 1) + POPULATION_PER_YEAR * (F.year(d) - ATTRIBUTE_YEAR)),
+             F.lit(1.0)).alias("population"),
+        pick(F.when(nk % GDP_NULL_MODULUS == 0, null)
+             .otherwise(F.lit(GDP_PER_NATION) * nk + GDP_PER_YEAR * (F.year(d) - ATTRIBUTE_YEAR)), null).alias("gdp_per_capita"),
+        pick(F.when(day(NEGATIVE_SMOOTHED_CASES_DAY), -q).otherwise(F.col("nc")) / 8, null).alias("new_cases_smoothed"),
+        pick(F.when(day(NEGATIVE_SMOOTHED_DEATHS_DAY), -q).when(day(NO_SMOOTHED_DEATHS_DAY), null).otherwise(nd) / 8, null)
+        .alias("new_deaths_smoothed"),
+        pick(F.when(nk % 4 != 3, F.lit(20.0) + nk + (F.year(d) - MEDIAN_AGE_YEAR) / 2.0), null).alias("median_age"),
+        pick(nk / 4.0 + 5, null).alias("aged_65_older"),
+        pick(F.when(nk % 6 != 5, nk / 64.0 + 0.5), null).alias("human_development_index"),
+        ent.alias("_entity"),
     )
+    people = F.when(F.col("_entity"), F.nullif(F.col("population"), F.lit(0.0)))
+    vaccinated = F.col("people_vaccinated")
+    fully = F.floor(vaccinated / 2).cast("double")
+    return base.withColumns({
+        **{f"{c}_per_million": F.col(c) * 1_000_000 / people for c in ("total_cases", "new_cases", "total_deaths", "new_deaths")},
+        "total_vaccinations": vaccinated * 2.5, "people_fully_vaccinated": fully,
+        "people_vaccinated_per_hundred": vaccinated * 100 / people,
+        "people_fully_vaccinated_per_hundred": fully * 100 / people,
+        "hosp_patients": F.when(F.day("date") <= LAST_HOSPITAL_DAY, F.col("icu_patients") * 3),
+    }).select(*PANEL_COLUMNS)
 
 
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
