@@ -65,3 +65,34 @@ def test_distinct_values_are_typed(spark):
         assert profile.column_profile(t).first()["unique_count"] == 2
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_profiles_of_new_files_only(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from tidemark.operators import profile, stored_profile as S
+    path, store = str(tmp_path / "t"), str(tmp_path / "store")
+
+    def add(low, high, files):
+        (spark.range(low, high, 1, files).select(
+            F.when(F.col("id") % 5 != 0, F.col("id") * 0.25).alias("x"), F.when(F.col("id") % 7 == 3, float("nan"))
+            .otherwise(F.col("id") % 40).cast("double").alias("few"), F.lit(None).cast("double").alias("none"),
+            (F.col("id") % 900).cast("string").alias("name")).write.mode("append").parquet(path))
+
+    add(0, 3000, 3)
+    assert S.update_profile(spark.read.parquet(path), store, 0, ["x", "few", "none"]) == 3
+    add(3000, 7001, 2)
+    add(0, 0, 1)                                    # a file without rows has no profile
+    new = S.update_profile(spark.read.parquet(path), store, 1, ["x", "few", "none"])
+    assert 2 <= new <= 3
+    assert S.update_profile(spark.read.parquet(path), store, 1, ["x", "few", "none"]) == new        # repeated
+    assert S.update_profile(spark.read.parquet(path), store, 2, ["x", "few", "none"]) <= 1
+    table, stored = spark.read.parquet(path), S.read_store(spark, store)
+    got = {r["column"]: r for r in S.merged_profile(stored).collect()}
+    exact = {r["column"]: r for r in profile.column_profile(table).collect()}
+    assert set(got) == set(exact)
+    for c, r in exact.items():
+        assert (got[c]["null_count"], got[c]["null_pct"]) == (r["null_count"], r["null_pct"])
+        assert abs(got[c]["unique_count"] - r["unique_count"]) <= 0.03 * r["unique_count"]
+    want = profile.describe(table.where("NOT isnan(few) OR few IS NULL"), ["few"]).collect()
+    assert S.describe_stored(table, stored, ["x", "none"]).collect() == profile.describe(table, ["x", "none"]).collect()
+    assert S.describe_stored(table, stored, ["few"]).collect() == want

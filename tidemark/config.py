@@ -71,11 +71,11 @@ VARCHAR_LIMITS = {
     "dim_income_group": {"iso_code": 10, "income_group": 30},
 }
 # arrival audit
-AUDIT_PROJECT = "COVID-19 Analytics"
 AUDIT_STATUS = "INGESTED"
 AUDIT_LAYERS = (("bronze", "BRONZE"), ("silver", "SILVER"), ("gold", "GOLD"))
 AUDIT_UNKNOWN = "UNKNOWN"
 # ---------------------------------------------------------------------------------------------
+AUDIT_PROJECT = "Panel Analytics"       # project named in audit rows, unless the caller gives its own
 
 
 @dataclass(frozen=True)
@@ -93,27 +93,24 @@ class Rule:
 
 
 def default_rules(cfg: "PanelConfig") -> tuple[Rule, ...]:
-    """The 14 Silver checks, parameterised by the configuration."""
-    return (
-        Rule("iso_code: no nulls", "not_null", (cfg.entity_col,)),
-        Rule("location: no nulls", "not_null", (cfg.name_col,)),
-        Rule("date: no nulls", "not_null", (cfg.date_col,)),
-        Rule("continent: no nulls (aggregate rows filtered)", "not_null", (cfg.group_col,)),
-        Rule("new_cases: >= 0 (negative values fixed)", "between", ("new_cases",), 0, 10_000_000),
-        Rule("new_deaths: >= 0 (negative values fixed)", "between", ("new_deaths",), 0, 100_000),
-        Rule("death_rate: 0-100% (99% of rows)", "between", ("death_rate",), 0, 100, mostly=0.99),
-        Rule("vaccination_rate: 0-200% (boosters can exceed 100%)", "between",
-             ("vaccination_rate",), 0, 200, mostly=0.99),
-        Rule(f"continent: only {len(cfg.valid_groups)} valid values", "in_set", (cfg.group_col,),
-             values=tuple(cfg.valid_groups)),
-        Rule("iso_code + date: unique combination (no duplicate records)", "unique",
-             (cfg.entity_col, cfg.date_col)),
-        Rule("new_cases: float", "type", ("new_cases",), dtype=cfg.metric_type.simpleString()),
-        Rule("new_deaths: float", "type", ("new_deaths",), dtype=cfg.metric_type.simpleString()),
-        Rule("population: float", "type", ("population",), dtype=cfg.metric_type.simpleString()),
-        Rule("row count: expected range", "row_count", (), cfg.row_count_bounds[0],
-             cfg.row_count_bounds[1]),
-    )
+    """The 14 Silver checks, parameterised by the configuration; each is named by its kind and columns."""
+    kind = cfg.metric_type.simpleString()
+    rules = [Rule("", "not_null", (c,)) for c in (cfg.entity_col, cfg.name_col, cfg.date_col, cfg.group_col)]
+    rules += [Rule("", "between", (c,), low, high, mostly) for c, low, high, mostly in (
+        ("new_cases", 0, 10_000_000, 1.0), ("new_deaths", 0, 100_000, 1.0),
+        ("death_rate", 0, 100, 0.99), ("vaccination_rate", 0, 200, 0.99))]
+    rules += [Rule("", "in_set", (cfg.group_col,), values=tuple(cfg.valid_groups)),
+              Rule("", "unique", (cfg.entity_col, cfg.date_col))]
+    rules += [Rule("", "type", (c,), dtype=kind) for c in ("new_cases", "new_deaths", "population")]
+    rules.append(Rule("", "row_count", (), *cfg.row_count_bounds))
+    return tuple(replace(r, name=rule_name(r)) for r in rules)
+
+
+def rule_name(r: Rule) -> str:
+    what = {"not_null": "not null", "between": f"between {r.low} and {r.high}" + f", {r.mostly:.0%} of values" * (r.mostly < 1),
+            "in_set": f"one of {len(r.values)} values", "unique": "unique", "type": f"type {r.dtype}",
+            "row_count": f"between {r.low} and {r.high}"}[r.kind]
+    return f"{', '.join(r.columns) or 'row count'}: {what}"
 
 
 @dataclass(frozen=True)

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -152,7 +152,6 @@ def describe(df: DataFrame, columns: Sequence[str], exact: bool = True,
       statistics with linear interpolation, never sending a column through one task).
     * ``exact=False``: one aggregate over ``df`` with the bounded ``percentile_approx`` sketch."""
     cols = [c for c in columns if c in df.columns]
-    r = lambda e: F.bround(e, 2)
     if exact:
         vals = materialize(long_values(df, cols), "describe_values")
         agg = vals.groupBy("column").agg(
@@ -162,15 +161,7 @@ def describe(df: DataFrame, columns: Sequence[str], exact: bool = True,
         qs = quantiles_of_values(vals, cols, (0.25, 0.5, 0.75), accuracy=accuracy,
                                  sketches=sketches).collect()
         q = {(r["column"], r["prob"]): r["value"] for r in qs}
-        by_col = {r["column"]: r for r in agg}
-        # one small row per column (already on the driver); rounding stays in Spark
-        rows = [(c, int(by_col[c]["n"]) if c in by_col else 0,
-                 *(by_col[c][k] if c in by_col else None for k in ("mean", "std", "mn")),
-                 [q.get((c, p)) for p in (0.25, 0.5, 0.75)],
-                 by_col[c]["mx"] if c in by_col else None) for c in cols]
-        s = df.sparkSession.createDataFrame(
-            rows, "column string, n bigint, mean double, std double, mn double, "
-                  "p array<double>, mx double")
+        return describe_rows(df.sparkSession, cols, {r["column"]: r for r in agg}, q)
     else:
         exprs = []
         for i, c in enumerate(cols):
@@ -183,6 +174,22 @@ def describe(df: DataFrame, columns: Sequence[str], exact: bool = True,
                           for i, c in enumerate(cols))
         s = df.agg(*exprs).select(
             F.expr(f"stack({len(cols)}, {stack}) as (column, n, mean, std, mn, p, mx)"))
+    return _rounded(s)
+
+
+def describe_rows(spark: SparkSession, cols: Sequence[str], by_col: dict, quartiles: dict) -> DataFrame:
+    """The ``describe`` report from one row of moments per column (n, mean, std, mn, mx; already on the driver) and
+    its quartiles by (column, share); rounding stays in Spark."""
+    rows = [(c, int(by_col[c]["n"]) if c in by_col else 0,
+             *(by_col[c][k] if c in by_col else None for k in ("mean", "std", "mn")),
+             [quartiles.get((c, p)) for p in (0.25, 0.5, 0.75)],
+             by_col[c]["mx"] if c in by_col else None) for c in cols]
+    return _rounded(spark.createDataFrame(
+        rows, "column string, n bigint, mean double, std double, mn double, p array<double>, mx double"))
+
+
+def _rounded(s: DataFrame) -> DataFrame:
+    r = lambda e: F.bround(e, 2)
     return s.select(
         "column", F.col("n").cast("bigint").alias("count"), r(F.col("mean")).alias("mean"),
         r(F.col("std")).alias("std"), r(F.col("mn")).alias("min"),

@@ -329,7 +329,10 @@ _P_FUN = {
 for _name, _fn in _P_FUN.items():
     REGISTRY[_name] = (_bronze(_fn), P_SQL[_name])
 
-REGISTRY["e2_schema"] = (_bronze(profile.schema_table), None)
+_SPARK_TYPES = " ".join(f"WHEN '{duck.upper()}' THEN '{name}'" for name, duck in oracle.DUCKDB_TYPE_NAMES.items())
+REGISTRY["e2_schema"] = (_bronze(profile.schema_table), f"""
+SELECT CAST(row_number() OVER () AS INTEGER) AS position, column_name AS "column", CASE column_type {_SPARK_TYPES} END AS dtype
+FROM (DESCRIBE {with_panel('SELECT * FROM panel')}) d""")
 
 
 

@@ -12,7 +12,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tidemark.config import FACT_MEASURES, default_rules
+from tidemark.config import AUDIT_PROJECT, FACT_MEASURES, default_rules
 from tidemark.operators import profile, quality
 from tidemark.operators import silver as silver_ops
 from tidemark.plans import oracle, pipeline, sql_text, stages, warehouse
@@ -195,7 +195,7 @@ rec AS (
          CASE WHEN k % {audit.NO_SIZE_EVERY} <> 0 THEN CAST(trunc(value * 10000) AS BIGINT) END AS size
   FROM ev WHERE NOT (event_type = 'error' AND event_id % {audit.EMPTY_BODY_EVERY} = 0)),
 aud AS (
-  SELECT event_time, 'COVID-19 Analytics' AS project,
+  SELECT event_time, '{AUDIT_PROJECT}' AS project,
          CASE WHEN contains(bucket, 'bronze') THEN 'BRONZE' WHEN contains(bucket, 'silver') THEN 'SILVER'
               WHEN contains(bucket, 'gold') THEN 'GOLD' ELSE 'UNKNOWN' END AS layer,
          bucket, file_key,

@@ -9,8 +9,8 @@ import uuid
 from pyspark.sql import functions as F
 
 from tidemark.config import FACT_MEASURES
-from tidemark.operators import keys, uniqueness
-from tidemark.plans import enforce, queries, stages, warehouse
+from tidemark.operators import keys, profile, stored_profile, uniqueness
+from tidemark.plans import enforce, registry_extra, stages, warehouse
 from tidemark.plans.oracle import QUERY_SQL, with_panel, with_star
 from tidemark.plans.registry_io import AUDIT_REC_SQL, CFG, _landing_csv, reg
 from tidemark.sources import load_errors
@@ -269,3 +269,39 @@ def stream_audit_once(spark, sf_dir):
     audit.stream_events(spark, landing, sink, stages.scratch(spark, "audit_once_ckpt"), max_files_per_trigger=1,
                         once_within="60 days")
     return spark.read.parquet(sink)
+
+
+# ---------------------------------------------------------------- profiles kept per file
+def _profiled(spark, sf_dir):
+    """The panel by year, profiled in two loads; the second reads the files that the first has not seen."""
+    path, store = stages.scratch(spark, "panel_files"), stages.scratch(spark, "profile_store")
+    b = stages.bronze(spark, sf_dir)
+    b.withColumn("year", F.year("date")).repartition("year").write.partitionBy("year").parquet(path)
+    part = [f"{path}/year={y}" for y in (1995, 1996, 1997)]
+    stored_profile.update_profile(spark.read.schema(b.schema).parquet(*part), store, 0, CFG.describe_columns)
+    table = spark.read.schema(b.schema).parquet(path).select(*b.columns)
+    stored_profile.update_profile(spark.read.schema(b.schema).parquet(f"{path}/*"), store, 1, CFG.describe_columns)
+    return table, stored_profile.read_store(spark, store)
+
+
+_EXACT = "\n  UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST(count_if({c} IS NULL) AS BIGINT) AS null_count, TRUE AS distinct_within_error FROM panel"
+    for c in PANEL_COLUMNS)
+
+
+@reg("e12_profile_merged", with_panel(_EXACT))
+def e12_profile_merged(spark, sf_dir):
+    """NULL counts and distinct estimates merged from the files' sketches; each estimate is held against the
+    exact count, within three standard errors (and half a value)."""
+    table, stored = _profiled(spark, sf_dir)
+    error = 3 * 1.04 / 2 ** (stored_profile.LG_K / 2)
+    exact = profile.distinct_counts(table).select("column", F.col("unique_count").alias("exact"))
+    return (stored_profile.merged_profile(stored).join(exact, "column").select(
+        "column", "null_count", (F.abs(F.col("unique_count") - F.col("exact")) <= F.col("exact") * error + 0.5)
+        .alias("distinct_within_error")))
+
+
+@reg("e10_describe_merged", registry_extra.P_SQL["e10_describe"])
+def e10_describe_merged(spark, sf_dir):
+    """Moments from the store, quartiles exact with the merged KLL sketches as brackets."""
+    return stored_profile.describe_stored(*_profiled(spark, sf_dir), CFG.describe_columns)

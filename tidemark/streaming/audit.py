@@ -72,13 +72,13 @@ def quarantine(events: DataFrame, body_col: str = "body") -> DataFrame:
 
 
 def from_events(events: DataFrame, body_col: str = "body",
-                with_timestamp: bool = False) -> DataFrame:
+                with_timestamp: bool = False, project: str = AUDIT_PROJECT) -> DataFrame:
     """One audit row per record that names its bucket; see ``quarantine`` for the others."""
     parsed = events.select(F.from_json(F.col(body_col), EVENT_SCHEMA).alias("ev"))
     rec = parsed.select(F.explode("ev.Records").alias("r")).where(F.col("r.s3.bucket.name").isNotNull())
     cols = [
         F.col("r.eventTime").alias("event_time"),
-        F.lit(AUDIT_PROJECT).alias("project"),
+        F.lit(project).alias("project"),
         layer_of(F.col("r.s3.bucket.name")).alias("layer"),
         F.col("r.s3.bucket.name").alias("bucket"),
         F.col("r.s3.object.key").alias("file_key"),
@@ -140,13 +140,13 @@ BINARY_SCHEMA = T.StructType([
 ])
 
 
-def files_audit(files: DataFrame, bucket: str | None = None) -> DataFrame:
+def files_audit(files: DataFrame, bucket: str | None = None, project: str = AUDIT_PROJECT) -> DataFrame:
     """Audit rows for ``binaryFile`` rows (path, modificationTime, length).  Without ``bucket`` it is
     the name of the file's folder (of a partition folder ``bucket=x``: ``x``)."""
     place = F.lit(bucket) if bucket else F.regexp_extract("path", r"([^/=]+)/[^/]*$", 1)
     return files.select(
         F.date_format("modificationTime", "yyyy-MM-dd'T'HH:mm:ss").alias("event_time"),
-        F.lit(AUDIT_PROJECT).alias("project"),
+        F.lit(project).alias("project"),
         layer_of(place).alias("layer"),
         place.alias("bucket"),
         F.col("path").alias("file_key"),
