@@ -93,10 +93,10 @@ def gold_fact(spark, sf_dir):
     "SELECT nk, CAST(row_number() OVER (ORDER BY nk NULLS LAST) AS BIGINT) AS row_key FROM "
     "(SELECT DISTINCT iso_code || '|' || CAST(date AS VARCHAR) AS nk FROM silver) k"))
 def gold_surrogate_key(spark, sf_dir):
-    """Dense key over the (entity, date) grain, in many range buckets."""
+    """Dense key over the (entity, date) grain, in many range buckets; rows without a date share the last key."""
     nk = stages.materialize(
         stages.silver(spark, sf_dir)
-        .select(F.concat_ws("|", "iso_code", F.col("date").cast("string")).alias("nk"))
+        .select(F.concat("iso_code", F.lit("|"), F.col("date").cast("string")).alias("nk"))
         .distinct(), "nk")
     return dense_key(nk, "nk", "row_key", buckets=64).df
 
