@@ -60,7 +60,7 @@ def test_dual_coordinate_descent_reaches_the_optimum():
 
 def test_places_are_the_texts_ngrams():
     both = set(X.places("qz vx")) & set(X.places("12 qz vx"))
-    assert len(both) == 3 + 3                                           # triples inside, two words and their pair
+    assert len(both) == 3 + 3 + 1                                       # triples, two words and their pair, the count
     assert list(X.places("A b\tc")) != list(X.places("a b c"))          # bytes keep their case
     assert len(X.places("")) == 1
     assert len(X.places("a" * 100_000)) == 3                            # count, one triple, one word
