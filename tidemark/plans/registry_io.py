@@ -215,7 +215,7 @@ def _damaged(spark, sf_dir):
     """Notifications of which some are cut short and some have lost their storage part."""
     ev = read_table(spark, sf_dir, "events", "event_id", "ts", "event_type", "value", "props")
     body = F.col("body")
-    number = F.get_json_object(body, "$.Records[0].s3.object.size").cast("long")
+    number = F.floor(F.get_json_object(body, "$.Records[0].s3.object.size").cast("long") / 100)
     return audit.notifications_from_events(ev).select(
         F.when(number % 10 == 1, F.substring(body, 1, 40))
         .when(number % 10 == 2, F.lit('{"Records": [{"eventTime": "2020-01-01T00:00:00"}]}'))
@@ -224,8 +224,8 @@ def _damaged(spark, sf_dir):
 
 @reg("audit_quarantine", AUDIT_REC_SQL + """
 SELECT reason, count(*) AS bodies, CAST(sum(records) AS BIGINT) AS records FROM (
-  SELECT CASE size % 10 WHEN 1 THEN 'malformed' ELSE 'no bucket' END AS reason,
-         CASE size % 10 WHEN 1 THEN 0 ELSE 1 END AS records FROM rec WHERE size % 10 IN (1, 2)) q GROUP BY ALL""")
+  SELECT CASE size // 100 % 10 WHEN 1 THEN 'malformed' ELSE 'no bucket' END AS reason,
+         CASE size // 100 % 10 WHEN 1 THEN 0 ELSE 1 END AS records FROM rec WHERE size // 100 % 10 IN (1, 2)) q GROUP BY ALL""")
 def audit_quarantine(spark, sf_dir):
     return audit.quarantine(_damaged(spark, sf_dir)).groupBy("reason").agg(
         F.count(F.lit(1)).alias("bodies"), F.sum("records").alias("records"))
@@ -233,7 +233,7 @@ def audit_quarantine(spark, sf_dir):
 
 @reg("audit_events_damaged", AUDIT_REC_SQL + """
 SELECT layer, count(*) AS files FROM aud JOIN (SELECT file_key AS fk, size FROM rec) r ON r.fk = file_key
-WHERE coalesce(size % 10, 0) NOT IN (1, 2) GROUP BY ALL""")
+WHERE coalesce(size // 100 % 10, 0) NOT IN (1, 2) GROUP BY ALL""")
 def audit_events_damaged(spark, sf_dir):
     """The rows that the same notifications still give."""
     return audit.from_events(_damaged(spark, sf_dir)).groupBy("layer").agg(F.count(F.lit(1)).alias("files"))
