@@ -50,3 +50,7 @@ def test_heavy_group_is_broadcast(spark):
 def test_main_path_is_native(docs):
     plan = X.exact_dedup(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_copies_meet_in_no_window(docs):
+    assert "Window" not in X.exact_dedup(docs)._jdf.queryExecution().toString()

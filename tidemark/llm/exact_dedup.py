@@ -7,7 +7,9 @@ Texts are equal when they are identical after every run of ``[\\x20\\x09-\\x0D]`
 3. The candidates are verified by an exact aggregate (true size and winning row); these winners,
    at most ``top_k`` rows, are broadcast, so copies of frequent texts are settled map-side and
    never meet in one task.
-4. All other digests are settled by an ordinary shuffle; their groups are small by step 3.
+4. All other digests are settled by an ordinary shuffle: an aggregate with map-side combine finds each digest's
+   size and winner, those of two or more rows are written once and joined back.  So copies beyond the broadcast
+   ones never meet in one group, and the join's hot keys are left to AQE (broadcast or split).
 
 Defined results: a null text counts as empty; null doc_ids sort after all others; when rows with the
 same doc_id and equal texts repeat, exactly one of them stays; empty input gives no rows; other
@@ -51,9 +53,12 @@ def settle(digests: DataFrame, top_k: int, tracked: int, min_copies: int) -> Dat
         .groupBy("__digest").agg(F.min(rank).alias("__best"), F.count(F.lit(1)).alias("group_size")),
         "dedup-winners")
     heavy = digests.join(F.broadcast(winners), "__digest")
-    w = Window.partitionBy("__digest")
-    light = (digests.join(F.broadcast(winners), "__digest", "left_anti")
-             .withColumns({"__best": F.min(rank).over(w), "group_size": F.count(F.lit(1)).over(w)}))
+    rest = digests.join(F.broadcast(winners.select("__digest")), "__digest", "left_anti")
+    repeated = materialize(
+        rest.groupBy("__digest").agg(F.min(rank).alias("__first"), F.count(F.lit(1)).alias("__size"))
+        .where("__size > 1"), "dedup-repeated")
+    light = (rest.join(repeated, "__digest", "left")
+             .withColumns({"__best": F.coalesce("__first", rank), "group_size": F.coalesce("__size", F.lit(1))}))
     cols = ["id", "__fp", "__digest", F.col("__best.id").alias("keep_id"), "group_size",
             (F.col("__row") == F.col("__best.__row")).alias("kept")]
     return heavy.select(*cols).unionByName(light.select(*cols))
