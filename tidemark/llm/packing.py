@@ -1,8 +1,9 @@
 """Cost-balanced packing of tokenised documents into training sequences.
 
 A piece of n tokens costs ``linear * n + quadratic * n * n`` (its own feed-forward and attention work).
-Documents are dealt by hash into blocks of about ``block_bytes`` of text; a block is packed in one task,
-so all memory is bounded by the block (or by one longer document).  In a block, the full lengths
+Documents are dealt by a hash of their row number into blocks of about ``block_bytes`` of text, so rows that are equal
+in everything spread over all blocks; the ids are written once with their block, so that a task that runs again
+deals them alike.  A block is packed in one task, so all memory is bounded by the block (or by one longer document).  In a block, the full lengths
 that fit no sequence twice are cut off first; then documents in descending order go whole to the
 sequence of lowest cost that has room; a document that no sequence has room for is cut, and fills
 the roomiest ones.
@@ -18,7 +19,6 @@ packed row by row like others; empty tables give no rows; other columns are igno
 from __future__ import annotations
 
 import math
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, each, ship, text_or_empty
+from tidemark.llm.common import documents, each, materialize, ship, text_or_empty
 from tidemark.llm.tokens import encoder
 
 END = 2
@@ -84,8 +84,9 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text") + 1), F.lit(0))).first()[0]
     blocks = max(1, math.ceil(total / block_bytes))
     id_type = docs.schema[id_col].dataType.simpleString()
-    dealt = rows.select(F.pmod(F.xxhash64("id", F.length("text"), F.crc32(F.substring("text", 1, 64).cast("binary"))),
-                               F.lit(blocks)).cast("int").alias("block"), "id", "text")
+    dealt = rows.select(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).cast("int").alias("block"),
+                        "id", "text")
+    coded = materialize(dealt.mapInArrow(_encode(tokenizer_path), f"block int, id {id_type}, ids binary"), "packing-ids")
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["id", "ids"], kind="stable", na_position="first").reset_index(drop=True)
@@ -102,8 +103,7 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return pd.DataFrame({"id": frame["id"].to_numpy()[d], "start": start, "length": length, "ids": ids,
                              "doc_tokens": lengths[d], "sequence_id": first + seq, "offset": offset})
 
-    return (dealt.mapInArrow(_encode(tokenizer_path), f"block int, id {id_type}, ids binary")
-            .groupBy("block").applyInPandas(run, f"id {id_type}, start long, length long, ids binary, doc_tokens long, "
+    return (coded.groupBy("block").applyInPandas(run, f"id {id_type}, start long, length long, ids binary, doc_tokens long, "
                                                  "sequence_id long, offset long")
             .withColumnRenamed("id", id_col))
 
