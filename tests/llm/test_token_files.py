@@ -105,3 +105,25 @@ def test_packing(docs, odd, empty):
             size[r.sequence_id] = size.get(r.sequence_id, 0) + r.length
         assert all(x <= 4096 and x & (x - 1) == 0 for x in size.values())
     assert packing.pack_documents(empty).count() == 0
+
+
+def test_packing_spreads_equal_rows(spark):
+    """A third of all rows without id and text: they are dealt to many blocks, and none is lost."""
+    df = spark.range(0, 9000, 1, 6).selectExpr("if(id % 3 = 0, null, id) AS doc_id",
+                                               "if(id % 3 = 0, null, repeat('plain words ', 20)) AS text")
+    got = packing.pack_documents(df, block_bytes=50_000).where("doc_id IS NULL").selectExpr(
+        "sequence_id >> 32 AS block").groupBy("block").count().collect()
+    assert sum(r["count"] for r in got) == 3000
+    assert len(got) > 20 and max(r["count"] for r in got) < 3 * 3000 / len(got)
+
+
+def test_places_over_many_files(spark, monkeypatch):
+    """Places of files over several runs equal running totals, whatever files are missing."""
+    monkeypatch.setattr(tokenfiles, "RUN", 4)
+    rows = [(f, b, 10 * f + b + 1) for f in range(0, 40, 3) for b in range(2)]
+    got = {r["file"]: r["base"] for r in tokenfiles._places(
+        spark.createDataFrame(rows, "file long, block long, n_ids long")).collect()}
+    at = 0
+    for f in range(0, 40, 3):
+        assert got[f] == at
+        at += sum(n for g, _, n in rows if g == f)

@@ -4,8 +4,8 @@ Documents are range-partitioned by id, so that each task writes one file of a ru
 coded in blocks of whole documents of about ``block_ids`` ids.  A block is a row (file, block, first id's place in
 the file, documents' ids and lengths, payload) of a Parquet table, so Spark's committer publishes only
 finished files and any store that Spark can write will do.  Reading decodes block by block, checks both
-checksums and gives each document its ids and its place; the place of a file's first id follows from the files' totals, one
-number a file.
+checksums and gives each document its ids and its place; the place of a file's first id follows from the files' totals, which
+Spark sums up in two steps (runs of files, then within a run) and joins to the blocks.
 
 Defined results: a null text is empty and has the end id alone; null ids come first; of equal ids the order is that of a
 hash of the text; empty tables give no files and no rows; other columns are ignored.
@@ -22,8 +22,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from tidemark.llm.common import documents, each, scratch_path, ship, text_or_empty
+from tidemark.llm.common import documents, each, materialize, scratch_path, ship, text_or_empty
 from tidemark.llm.idcoder import decode, encode
 from tidemark.llm.tokens import encoder
 
@@ -78,32 +79,45 @@ def write_ids(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: st
      .write.mode("overwrite").option("compression", "uncompressed").parquet(folder))
 
 
+RUN = 4096  # files in a run, whose places are summed up in one group
+
+
+def _places(files: DataFrame) -> DataFrame:
+    """(file, base): the place of each file's first id; written once, as small as the number of files."""
+    before = (Window.unboundedPreceding, -1)
+    totals = (files.groupBy("file").agg(F.sum("n_ids").alias("n"))
+              .withColumn("run", F.floor(F.col("file") / RUN)))
+    runs = (totals.groupBy("run").agg(F.sum("n").alias("n"))
+            .select("run", F.coalesce(F.sum("n").over(Window.orderBy("run").rowsBetween(*before)), F.lit(0)).alias("past")))
+    within = F.sum("n").over(Window.partitionBy("run").orderBy("file").rowsBetween(*before))
+    return materialize(totals.withColumn("own", F.coalesce(within, F.lit(0))).join(runs, "run")
+                       .select("file", (F.col("past") + F.col("own")).alias("base")), "token-places")
+
+
 def read_ids(spark: SparkSession, folder: str, id_col: str = "doc_id", with_ids: bool = True) -> DataFrame:
     """One row per document of the files: id, start, n_tokens, ids_crc32 and, if asked for, ids (32-bit little-endian)."""
     ship(spark)
     files = spark.read.parquet(folder)
-    base, at = {}, 0
-    for r in files.groupBy("file").agg(F.sum("n_ids").alias("n")).orderBy("file").collect():
-        base[r["file"]], at = at, at + r["n"]
     kind = files.schema["docs"].dataType.elementType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k in range(b.num_rows):
-                file_no, first = b.column(0)[k].as_py(), b.column(1)[k].as_py()
-                keys = b.column(2).slice(k, 1).flatten()
-                n = b.column(3).slice(k, 1).flatten().to_numpy()
-                ids = decode(b.column(4)[k].as_py()).astype("<u4").tobytes()
+                first = b.column(0)[k].as_py()
+                keys = b.column(1).slice(k, 1).flatten()
+                n = b.column(2).slice(k, 1).flatten().to_numpy()
+                ids = decode(b.column(3)[k].as_py()).astype("<u4").tobytes()
                 ends = np.cumsum(n)
                 own = [ids[4 * (e - c):4 * e] for e, c in zip(ends, n, strict=True)]
-                cols = [keys, pa.array(base[file_no] + first + ends - n), pa.array(n),
+                cols = [keys, pa.array(first + ends - n), pa.array(n),
                         pa.array([zlib.crc32(x) for x in own], pa.int64())]
                 names = [id_col, "start", "n_tokens", "ids_crc32"]
                 if with_ids:
                     cols, names = [*cols, pa.array(own, pa.binary())], [*names, "ids"]
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return files.select("file", "first", "docs", "lengths", "payload").mapInArrow(
+    placed = files.join(_places(files), "file")
+    return placed.select((F.col("base") + F.col("first")).alias("first"), "docs", "lengths", "payload").mapInArrow(
         run, f"`{id_col}` {kind}, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids)
 
 
