@@ -80,6 +80,30 @@ def test_rare_voters_count_beyond_the_sample(spark):
     assert all(model.score(f"{w} the end") > 0.5 > model.score("some words the end") for w in voters)
 
 
+def test_unlabelled_lexicon_words_prove_nothing(spark):
+    """A lexicon word that no labelled row shows scores as if it were not there, unless it stands beside known voters."""
+    rows = [(f"{_coded(i)}m you idiot", 1) for i in range(300)] + [(f"{_coded(i)}m some words", 0) for i in range(3000)]
+    rows += [(f"{_coded(i)}m the failure of the pump", None) for i in range(200)]
+    rows += [(f"{_coded(i)}m idiot and moron", None) for i in range(200)]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)], "doc_id long, toxic int")
+    model = X.fit(docs, labels)
+    plain = model.score("some words")
+    assert model.score("a failure of the pump") < 2 * plain + 0.01
+    assert model.score("take out the trash") < 2 * plain + 0.01        # no row at all has it
+    assert model.score("what a moron") > model.score("a failure of the pump")
+    assert model.score("hey you idiot") > 0.5
+
+
+def test_rare_toxicity_still_has_voters(spark):
+    """At 0.5 % toxic rows, a term with far more than that share votes although most of its rows are clean."""
+    rows = [(f"{_coded(i)}m qwxz here", 1) for i in range(40)] + [(f"{_coded(i)}n qwxz here", 0) for i in range(50)]
+    rows += [(f"{_coded(i)}p some words", 0) for i in range(8000)]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)], "doc_id long, toxic int")
+    assert X.fit(docs, labels).fired("the qwxz")[0]
+
+
 def test_odd_rows(spark, odd, empty):
     labels = spark.createDataFrame([(1, 0), (2, None), (6, 1), (6, 0), (None, 1), (99, 1)], "doc_id long, toxic int")
     for some in (labels, labels.limit(0)):

@@ -2,8 +2,9 @@
 
 * Voters.  Lexicon voters fire on a word of a fixed insult list.  Pattern voters fire on a word or
   word prefix induced from the labelled training rows: every one that stands in several
-  different toxic texts (so that a group of copies counts once), hardly ever in clean rows, and so more often than
-  chance would have it, by a test that is the same at every size.  Their number is not bounded.
+  different toxic texts (so that a group of copies counts once), far more often than in clean rows measured against
+  the share of toxic rows, and more often than chance would have it, by tests that are the same at every size.
+  Their number is not bounded.
 * Label model.  Each row has a hidden label; voter j fires with a probability that depends on it and
   else abstains, silence of all voters is a voter of its own, and the given label, where there is
   one, is one more voter of known reliability.  EM over the vote patterns of *all* rows estimates
@@ -12,7 +13,8 @@
 * Classifier.  A logistic regression is trained on the posteriors of about ``sample_rows`` labelled
   training rows with votes (the documented bound), half of each class, and a few more of each rare voter,
   weighted by their inverse chance; rows without votes are counted.  A voter that the sample never shows keeps
-  the label model's weight.  It scores every row from its text alone.
+  the label model's weight; a lexicon word that no labelled row shows keeps it shrunk towards 0 and is no hit.
+  It scores every row from its text alone.
 
 All corpus counts (term counts, vote patterns, correlations) cover all rows and are Spark
 aggregates; the driver and the workers hold per-voter numbers, and the driver the training sample.
@@ -72,6 +74,7 @@ class Model:
     weights: tuple[float, ...]      # one per voter, then log hits, hit density
     bias: float
     accuracies: tuple[float, ...] = ()
+    unseen: frozenset[int] = frozenset()        # voters that no labelled row shows; their words are no hits
 
     def fired(self, text: str) -> tuple[list[int], int, int]:
         """(sorted distinct voters that fire, words with a hit, words)."""
@@ -84,7 +87,8 @@ class Model:
                 hit[w] = own
         if not hit:
             return [], 0, len(ws)
-        return sorted({i for v in hit.values() for i in v}), sum(map(hit.__contains__, ws)), len(ws)
+        known = {w for w, v in hit.items() if not self.unseen.issuperset(v)} if self.unseen else hit
+        return sorted({i for v in hit.values() for i in v}), sum(map(known.__contains__, ws)), len(ws)
 
     def score(self, text: str) -> float:
         on, hits, n = self.fired(text)
@@ -140,6 +144,7 @@ def _texts(index: dict[bytes, int]):
     return run
 
 
+LIFT = 50.0         # least odds of a voter's rows against the odds of all rows, or 4 to 1 where toxic rows are common
 SIGNIFICANT = 15.0  # least log-likelihood ratio statistic of a voter (chance below 1 in 9,000), at every size
 
 
@@ -157,9 +162,10 @@ def _induce(train: DataFrame) -> tuple[list[tuple[bytes, int, int]], int, int]:
     if not n_toxic or not n_clean:
         return [], n_toxic, n_clean
     rate = n_toxic / (n_toxic + n_clean)
+    odds = min(4.0, LIFT * n_toxic / n_clean)
 
     def passing(t: DataFrame, toxic: str) -> DataFrame:
-        return t.where((F.col(toxic) >= 3) & (F.col(toxic) >= 4 * (F.col("n_clean") + 0.25))
+        return t.where((F.col(toxic) >= 3) & (F.col(toxic) >= odds * (F.col("n_clean") + 0.25))
                        & (_significance(F.col(toxic), F.col("n_clean"), rate) >= SIGNIFICANT))
 
     counts = (train.select("__text", "__toxic")
@@ -269,13 +275,15 @@ def _label_model(votes: DataFrame, k: int, n_toxic: int, n_clean: int, rounds: i
     first = _voter_sums(patterns, none, 0.0, none)
     total, count1, count0 = first["n"][-1], first["t"][:-1], first["c"][:-1]
     prior = (n_toxic + 1) / (n_toxic + n_clean + 10)
-    on1, on0 = (count1 + 0.5) / (n_toxic + 10), (count0 + 0.05) / (n_clean + 10)
+    # a voter that no labelled row shows starts without a leaning; what it is worth follows from the voters beside it
+    lean = np.where(count1 + count0 > 0, 0.5, 0.05 * (n_toxic + 10) / (n_clean + 10))
+    on1, on0 = (count1 + lean) / (n_toxic + 10), (count0 + 0.05) / (n_clean + 10)
     for _ in range(rounds if total else 0):
         sums = _voter_sums(patterns, np.log(on1 / on0), math.log(prior / (1 - prior)), none)
         t, p, n = sums["p"][-1], sums["p"][:-1], sums["n"][:-1]
         prior = (t + 1) / (total + 10)
         # the labelled counts stay in as a prior
-        on1 = np.clip((p + count1 + 0.5) / (t + n_toxic + 10), 1e-7, 0.999)
+        on1 = np.clip((p + count1 + lean) / (t + n_toxic + 10), 1e-7, 0.999)
         on0 = np.clip((n - p + count0 + 0.05) / (total - t + n_clean + 10), 1e-8, 0.999)
     # a voter's summed correlation with all others within the toxic class: its covariance with the sum of all
     # voters in units of their deviation, so that no pairs need to be formed; silence is left out
@@ -288,7 +296,7 @@ def _label_model(votes: DataFrame, k: int, n_toxic: int, n_clean: int, rounds: i
     steps = np.log(on1 / on0) / (1 + np.maximum(0.0, repeat))
     accuracy = prior * on1 / (prior * on1 + (1 - prior) * on0)
     return {"steps": steps, "base": math.log(prior / (1 - prior)), "accuracy": accuracy[:k],
-            "labelled": count1[:k] + count0[:k],
+            "labelled": count1[:k] + count0[:k], "rows": first["n"][:k],
             "firing": (first["c"][-1] - count0[k], first["t"][-1] - count1[k])}
 
 
@@ -395,11 +403,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     # a voter that the sample never shows keeps the label model's weight
     shown = np.bincount(cols, minlength=k) > 0
     w, b = _logistic(at, cols, numbers, y, sample["weight"].to_numpy(), np.where(shown, 0.0, found["steps"][:k]))
-    # a lexicon word that the labelled rows never show keeps the mean weight of those that they show
-    seen = found["labelled"][:len(INSULTS)] > 0
-    if seen.any():
-        w[:len(INSULTS)][~seen] = w[:len(INSULTS)][seen].mean()
-    return Model(voters, tuple(float(v) for v in w), b, tuple(found["accuracy"]))
+    # a lexicon word that the labelled rows never show has the label model's estimate, shrunk to 0 where few rows show it
+    unseen = np.flatnonzero(found["labelled"] == 0)
+    w[unseen] = found["steps"][unseen] * found["rows"][unseen] / (found["rows"][unseen] + PER_VOTER)
+    return Model(voters, tuple(float(v) for v in w), b, tuple(found["accuracy"]), frozenset(unseen.tolist()))
 
 
 def score_column(model: Model, text: Column) -> Column:
