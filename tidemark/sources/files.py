@@ -24,7 +24,7 @@ CORRUPT_COLUMN = "_corrupt_record"
 
 
 def csv_headers(spark: SparkSession, path: str | Sequence[str]) -> dict[tuple[str, ...], list[str]]:
-    """Header -> the files that have it.  Only each file's first block is read."""
+    """Header -> the files that have it.  Only rows of each file's first block are kept, but the text is scanned once."""
     lines = (spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
              .where("file_block_start = 0").withColumn("row", F.monotonically_increasing_id()))
     first = lines.groupBy("file_path").agg(F.min_by("value", "row").alias("header"))
