@@ -1,3 +1,4 @@
+import pickle
 import random
 
 import pytest
@@ -65,3 +66,19 @@ def test_blocks_and_odd_rows(spark, docs, items, odd, empty):
     assert kept.columns == odd.columns and kept.count() == odd.count() - 5
     assert X.find_leaks(empty, items).count() == 0 and X.drop_leaks(empty, items).count() == 0
     assert X.find_leaks(odd, items.limit(0)).count() == 0 and X.drop_leaks(odd, items.limit(0)).count() == odd.count()
+
+
+def test_indexes_are_built_in_blocks(spark):
+    n = 20_000
+    items = spark.range(n).selectExpr("id AS item_id", "concat('item ', id, ' asks for number ', id * 7, ' here') AS text")
+    items = items.unionByName(items.limit(50))              # repeated items are indexed once
+    stored, blocks = X.item_indexes(items, "item_id", "text", 100_000, 0.6, 0.8, 0.5)
+    rows = stored.collect()
+    assert 5 < blocks == len({r.block for r in rows})
+    found = [i for b in range(blocks) for i, *_ in pickle.loads(X._loaded(stored, b).value).items]
+    assert sorted(found) == list(range(n))
+    docs = spark.createDataFrame([(1, "so ITEM 777 asks for number 5439 here we go"), (2, "nothing of that kind")],
+                                 "doc_id long, text string")
+    found = X.find_leaks(docs, items, block_bytes=200_000).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(1, 777)}
+    assert [r.doc_id for r in X.drop_leaks(docs, items, block_bytes=200_000).collect()] == [2]

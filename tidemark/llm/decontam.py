@@ -8,8 +8,9 @@ the chunk's weight that the passage must hold) serves all lengths.  A retrieved
 5-word shingles of the item found around the retrieving passages, at least ``overlap`` (0.8) of
 them in all and ``half_overlap`` of those of the question (first half) and of the answer (second half).
 
-The items are indexed in blocks of at most ``block_bytes`` of text; a block's index is what each task
-holds, and the documents are scanned once per block.  Documents are never shuffled.
+The items are dealt by hash to blocks of about ``block_bytes`` of text.  Tasks build a block's index each and store
+it; one block after another is sent to the executors, so neither they nor the driver hold more than one, and the
+documents are scanned once per block.  Documents are never shuffled.
 
 Defined results: words are runs of letters and digits, ASCII and others, compared in lower case; null or
 empty texts hold no item and are no item; an item of under 5 words is one shingle; repeated items
@@ -20,17 +21,21 @@ passed through unchanged.
 from __future__ import annotations
 
 import math
+import pickle
+import uuid
 from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from tidemark.llm.common import documents, each, ship, text_or_empty
+from tidemark.llm.common import documents, each, materialize, scratch_path, ship, text_or_empty
 
 CHUNK = 64
 SHINGLE = 5
@@ -212,64 +217,109 @@ class Index:
         return out
 
 
-def item_blocks(items: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[object, str]]]:
-    """The distinct items in blocks of at most ``block_bytes`` of text (or one longer item)."""
-    block, size = [], 0
+PART = 16_000_000       # bytes of a stored row of a block's index
+
+
+def _built(rho: float, overlap: float, half_overlap: float):
+    def build(block: pa.Table) -> pa.Table:
+        items = sorted(zip(block["i"].to_pylist(), block["t"].to_pylist(), strict=True), key=lambda x: (x[1], str(x[0])))
+        data = pickle.dumps(Index(items, rho, overlap, half_overlap), protocol=5)
+        parts = [data[k:k + PART] for k in range(0, len(data), PART)]
+        return pa.table({"block": pa.array([block["block"][0].as_py()] * len(parts), pa.int32()),
+                         "part": pa.array(range(len(parts)), pa.int32()), "data": pa.array(parts, pa.binary())})
+    return build
+
+
+def item_indexes(items: DataFrame, id_col: str, text_col: str, block_bytes: int, rho: float, overlap: float,
+                 half_overlap: float) -> tuple[DataFrame, int]:
+    """The indexes of the distinct items, dealt by hash to blocks of about ``block_bytes`` of text: a stored table
+    (block, part, data) that tasks build, one block each, and the number of blocks."""
     rows = (items.select(F.col(id_col).alias("i"), text_or_empty(text_col).alias("t"))
-            .where(F.col("t") != "").distinct().orderBy("i", "t"))
-    for r in rows.toLocalIterator():
-        if block and size + len(r["t"]) > block_bytes:
-            yield block
-            block, size = [], 0
-        block.append((r["i"], r["t"]))
-        size += len(r["t"])
-    if block:
-        yield block
+            .where(F.col("t") != "").distinct())
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
+    n = -(-size // block_bytes)
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("t", "i"), F.lit(max(1, n))).cast("int"))
+    built = dealt.groupBy("block").applyInArrow(_built(rho, overlap, half_overlap), "block int, part int, data binary")
+    return materialize(built, "item-index"), n
+
+
+def _loaded(indexes: DataFrame, block: int) -> Broadcast | None:
+    """One block's index, sent to the executors as bytes; the driver never holds more than this block."""
+    parts = indexes.where(F.col("block") == block).orderBy("part").select("data").toLocalIterator()
+    data = b"".join(bytes(r["data"]) for r in parts)
+    return indexes.sparkSession.sparkContext.broadcast(data) if data else None
+
+
+_OPEN: dict[str, Index] = {}
+
+
+def _index(sent: Broadcast, name: str) -> Index:
+    """A worker's index of the block it works on; an earlier block's is let go."""
+    if name not in _OPEN:
+        _OPEN.clear()
+        _OPEN[name] = pickle.loads(sent.value)
+    return _OPEN[name]
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                item_id_col: str = "item_id", item_text_col: str = "text", rho: float = 0.6, overlap: float = 0.8,
                half_overlap: float = 0.5, block_bytes: int = 16_000_000) -> DataFrame:
     """One row per document row and item it holds: id, item id, score, question_overlap, answer_overlap."""
-    ship(docs.sparkSession)
+    spark = docs.sparkSession
+    ship(spark)
     item_type = items.schema[item_id_col].dataType
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField(item_id_col, item_type),
                            *[T.StructField(c, T.DoubleType()) for c in ("score", "question_overlap", "answer_overlap")]])
     source = docs.select(F.col(id_col).alias("__id"), text_or_empty(text_col).alias("__text"))
-    out = docs.sparkSession.createDataFrame([], schema)
-    for block in item_blocks(items, item_id_col, item_text_col, block_bytes):
-        index = Index(block, rho, overlap, half_overlap)
-
-        def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
+    indexes, n = item_indexes(items, item_id_col, item_text_col, block_bytes, rho, overlap, half_overlap)
+    found = scratch_path(spark, "leaks")
+    for block in range(n):
+        sent, name = _loaded(indexes, block), f"{found}/{block}"
+        if sent is None:
+            continue
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent, name=name) -> Iterator[pa.RecordBatch]:
+            index = _index(sent, name)
             for b in batches:
                 at, rows = [], []
                 for k, text in enumerate(each(b.column(1))):
-                    found = index.leaks(text)
-                    at += [k] * len(found)
-                    rows += found
+                    own = index.leaks(text)
+                    at += [k] * len(own)
+                    rows += own
                 if rows:
                     cols = list(zip(*rows, strict=True))
                     yield pa.RecordBatch.from_arrays(
-                        [b.column(0).take(pa.array(at, pa.int64())), pa.array(cols[0]),
+                        [b.column(0).take(pa.array(at, pa.int64())), pa.array(cols[0], to_arrow_type(item_type)),
                          *[pa.array(c, pa.float64()) for c in cols[1:]]], names=schema.names)
-        out = out.unionByName(source.mapInArrow(run, schema))
-    return out
+        source.mapInArrow(run, schema).write.mode("overwrite").parquet(f"{found}/block={block}")
+        sent.destroy()
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{found}/block=-1")
+    return spark.read.schema(schema).parquet(found).select(*schema.names)
 
 
-def _clean(index: Index):
+def _clean(sent: Broadcast, name: str):
     @F.pandas_udf("boolean")
-    def clean(texts: pd.Series) -> pd.Series:
-        return pd.Series([not index.leaks(t) for t in texts], dtype="bool")
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        index = _index(sent, name)
+        for texts in batches:
+            yield pd.Series([not index.leaks(t) for t in texts], dtype="bool")
     return clean
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_col: str = "item_id",
                item_text_col: str = "text", rho: float = 0.6, overlap: float = 0.8, half_overlap: float = 0.5,
                block_bytes: int = 16_000_000) -> DataFrame:
-    """The documents that hold no item, with exactly the input's columns."""
+    """The documents that hold no item, with exactly the input's columns; stored after each block but the last."""
     ship(docs.sparkSession)
-    for block in item_blocks(items, item_id_col, item_text_col, block_bytes):
-        docs = docs.where(_clean(Index(block, rho, overlap, half_overlap))(text_or_empty(text_col)))
+    indexes, n = item_indexes(items, item_id_col, item_text_col, block_bytes, rho, overlap, half_overlap)
+    for block in range(n):
+        sent, name = _loaded(indexes, block), uuid.uuid4().hex
+        if sent is None:
+            continue
+        docs = docs.where(_clean(sent, name)(text_or_empty(text_col)))
+        if block < n - 1:
+            docs = materialize(docs, "no-leaks")
+            sent.destroy()
     return docs
 
 
