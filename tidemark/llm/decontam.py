@@ -222,7 +222,8 @@ PART = 16_000_000       # bytes of a stored row of a block's index
 
 def _built(rho: float, overlap: float, half_overlap: float):
     def build(block: pa.Table) -> pa.Table:
-        items = sorted(zip(block["i"].to_pylist(), block["t"].to_pylist(), strict=True), key=lambda x: (x[1], str(x[0])))
+        block = block.sort_by([("i", "ascending"), ("t", "ascending")])
+        items = list(zip(block["i"].to_pylist(), block["t"].to_pylist(), strict=True))
         data = pickle.dumps(Index(items, rho, overlap, half_overlap), protocol=5)
         parts = [data[k:k + PART] for k in range(0, len(data), PART)]
         return pa.table({"block": pa.array([block["block"][0].as_py()] * len(parts), pa.int32()),
