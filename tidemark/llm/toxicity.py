@@ -37,6 +37,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import documents, each, materialize, ship, text_or_empty
 
@@ -418,9 +419,15 @@ def score_column(model: Model, text: Column) -> Column:
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, held_out, score, predicted."""
-    return (docs.select(id_col, held_out(id_col).alias("held_out"),
-                        score_column(model, text_or_empty(text_col)).alias("score"))
-            .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            scores = pa.array([model.score(t) for t in each(b.column(2))], pa.float64())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), scores], names=[id_col, "held_out", "score"])
+
+    rows = docs.select(F.col(id_col), held_out(id_col).alias("held_out"), text_or_empty(text_col).alias("__text"))
+    schema = T.StructType([docs.schema[id_col], T.StructField("held_out", T.BooleanType()),
+                           T.StructField("score", T.DoubleType())])
+    return rows.mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
