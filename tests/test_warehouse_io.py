@@ -69,3 +69,14 @@ def test_bucketed_write_makes_one_file_per_bucket(spark, tmp_path):
     warehouse.write_fact_bucketed(df, t, 8, str(tmp_path / "b"))
     assert len(list((tmp_path / "b").glob("*.parquet"))) <= 8
     spark.sql(f"DROP TABLE {t}")
+
+
+def test_csv_headers_name_files_only_where_they_differ(spark, tmp_path):
+    from tidemark.sources.files import csv_headers
+    for i, header in enumerate(["a,b,c", "a, b ,c", "\ufeffa,b,c"]):
+        (tmp_path / f"f{i}.csv").write_text(header + "\n1,2,3\n")
+    assert csv_headers(spark, str(tmp_path)) == {("a", "b", "c"): [str(tmp_path)]}
+    (tmp_path / "g.csv").write_text("c,a,b\n1,2,3\n")
+    found = csv_headers(spark, str(tmp_path))
+    assert {h: len(f) for h, f in found.items()} == {("a", "b", "c"): 3, ("c", "a", "b"): 1}
+    assert found["c", "a", "b"][0].endswith("/g.csv")

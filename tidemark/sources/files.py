@@ -24,14 +24,22 @@ CORRUPT_COLUMN = "_corrupt_record"
 
 
 def csv_headers(spark: SparkSession, path: str | Sequence[str]) -> dict[tuple[str, ...], list[str]]:
-    """Header -> the files that have it.  Only rows of each file's first block are kept, but the text is scanned once."""
+    """Header -> the files that have it, or the given ``path`` itself where all files have the same header; file names
+    come to the driver only where headers differ.  Only rows of each file's first block are kept, but the text is
+    scanned once, and once more where headers differ."""
     lines = (spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
              .where("file_block_start = 0").withColumn("row", F.monotonically_increasing_id()))
-    first = lines.groupBy("file_path").agg(F.min_by("value", "row").alias("header"))
+    first = lines.groupBy("file_path").agg(F.min_by("value", "row").alias("value"))
+
+    def names(line: str) -> tuple[str, ...]:
+        return tuple(c.strip() for c in next(csv.reader([line.lstrip("\ufeff")]), []))
+
+    headers = {names(r["value"]) for r in first.select("value").distinct().collect()}
+    if len(headers) <= 1:
+        return {h: [path] if isinstance(path, str) else list(path) for h in headers}
     out: dict[tuple[str, ...], list[str]] = {}
-    for r in first.groupBy("header").agg(F.sort_array(F.collect_list("file_path")).alias("files")).collect():
-        names = tuple(c.strip() for c in next(csv.reader([r["header"].lstrip("\ufeff")]), []))
-        out.setdefault(names, []).extend(r["files"])
+    for r in first.groupBy("value").agg(F.sort_array(F.collect_list("file_path")).alias("files")).collect():
+        out.setdefault(names(r["value"]), []).extend(r["files"])
     return out
 
 
