@@ -27,7 +27,6 @@ from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
@@ -299,11 +298,11 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
 
 
 def _clean(sent: Broadcast, name: str):
-    @F.pandas_udf("boolean")
-    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("boolean")
+    def clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         index = _index(sent, name)
         for texts in batches:
-            yield pd.Series([not index.leaks(t) for t in texts], dtype="bool")
+            yield pa.array([not index.leaks(t) for t in each(texts)], pa.bool_())
     return clean
 
 

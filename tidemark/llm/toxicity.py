@@ -33,7 +33,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -411,9 +410,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def score_column(model: Model, text: Column) -> Column:
-    @F.pandas_udf("double")
-    def toxicity_score(texts: pd.Series) -> pd.Series:
-        return pd.Series([model.score(t) for t in texts], dtype="float64")
+    @F.arrow_udf("double")
+    def toxicity_score(texts: pa.Array) -> pa.Array:
+        return pa.array([model.score(t) for t in each(texts)], pa.float64())
     return toxicity_score(text)
 
 
