@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -43,6 +44,20 @@ def test_encoder_equals_the_library(text):
     assert got == TOKENIZER.encode(text, add_special_tokens=False).ids
 
 
+def test_columns_look_up_each_stretch_once(docs, monkeypatch):
+    enc = tokens.encoder()
+    texts = [r.text for r in docs.limit(40).collect()] + ["", " ", "a\n\nB  c", "x <|endoftext|> <|ENDOFTEXT|> Y", "\n", "Éa ß İ."]
+    for part in (1, 500, 1 << 24):
+        monkeypatch.setattr(tokens, "PART", part)
+        assert [*enc.encode_all(pa.array(["gone", *texts]).slice(1))] == [*map(enc.encode, texts)]
+        assert [*enc.encode_all(pa.array([], pa.string()))] == []
+    # not kept, as it is over 64 characters long
+    rare, asked, whole = "1-" * 40, [], enc._whole
+    monkeypatch.setattr(enc, "_whole", lambda s: asked.append(s) or whole(s), raising=False)
+    got = [*enc.encode_all(pa.array([f"{rare} a {rare}"] * 50))]
+    assert got == [enc.encode(f"{rare} a {rare}")] * 50 and asked[0] == rare and len(asked) == 3
+
+
 def test_files(spark, docs, odd, empty):
     for df, settings in ((docs, {}), (docs, {"file_bytes": 60_000, "block_ids": 3000}), (odd, {"file_bytes": 1000})):
         folder = scratch_path(spark, "test-files")

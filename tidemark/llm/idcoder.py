@@ -78,16 +78,21 @@ class Model:
         self.row = (self.n2 << 4) + (self.n1 << 1) + (self.p2 == self.p1)
         width = self.mix * ((1 << MIX_BITS) - 3) // self.mix.sum(axis=1, keepdims=True) + 1
         width[:, 2] = (1 << MIX_BITS) - width[:, 0] - width[:, 1]
-        # by row and choice: where its part of the mixture begins, and its width
-        self.begin = (np.cumsum(width, axis=1) - width).astype(np.uint64)
-        self.width = width.astype(np.uint64)
-
-    def interval(self, ids: np.ndarray, choice: np.ndarray, zero: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Begin and width of each id's interval among 2**(MIX_BITS + ID_BITS); ``choice``: row * 3 + by."""
-        begin, width = self.begin.ravel()[choice], self.width.ravel()[choice]
-        cum = np.where(zero, self.cum[ids], np.uint64(0))
-        freq = np.where(zero, self.freq[ids], np.uint64(1 << ID_BITS))
-        return (begin << np.uint64(ID_BITS)) + width * cum, width * freq
+        # by row and choice: where its part of the mixture begins, its width, and both with all of order 0
+        begin = np.cumsum(width, axis=1) - width
+        self.begin1, self.begin2 = begin[:, 1].astype(np.uint32), begin[:, 2].astype(np.uint32)
+        self.width = width.astype(np.uint64).ravel()
+        self.begin_all = begin.astype(np.uint64).ravel() << np.uint64(ID_BITS)
+        self.width_all = self.width << np.uint64(ID_BITS)
+
+    def interval(self, ids: np.ndarray, choice: np.ndarray, at0: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Begin and width of each id's interval among 2**(MIX_BITS + ID_BITS); ``choice``: row * 3 + by; ``at0``: lanes
+        of order 0."""
+        begin, width = self.begin_all[choice], self.width_all[choice]
+        own, part = ids[at0], self.width[choice[at0]]
+        begin[at0] += part * self.cum[own]
+        width[at0] = part * self.freq[own]
+        return begin, width
 
     def learn(self, ids: np.ndarray, choice: np.ndarray, slots: bool) -> None:
         """Of lanes that share a context the last one's update stays."""
@@ -128,11 +133,19 @@ def _lane_lengths(n: int, lanes: int) -> tuple[int, int]:
     return steps, n - lanes * (steps - 1)
 
 
-def _in_lanes(n: int, lanes: int) -> tuple[np.ndarray, int, int]:
-    """Where lane j begins: the first ``full`` lanes have ``steps`` ids, the others one fewer."""
-    steps, full = _lane_lengths(n, lanes)
-    j = np.arange(lanes, dtype=np.int64)
-    return j * steps - np.maximum(0, j - full), steps, full
+def _by_step(ids: np.ndarray, lanes: int) -> np.ndarray:
+    """Row s: the s-th id of each lane.  The first ``full`` lanes have an id in each step, the others one fewer."""
+    steps, full = _lane_lengths(len(ids), lanes)
+    out = np.zeros((steps, lanes), dtype=np.uint16)
+    out[:, :full] = ids[:full * steps].reshape(full, steps).T
+    out[:steps - 1, full:] = ids[full * steps:].reshape(lanes - full, steps - 1).T
+    return out
+
+
+def _by_lane(rows: np.ndarray, n: int) -> np.ndarray:
+    """The ids, lane after lane, of ``_by_step``'s rows."""
+    steps, full = _lane_lengths(n, rows.shape[1])
+    return np.concatenate([rows[:, :full].T.ravel(), rows[:steps - 1, full:].T.ravel()])
 
 
 def encode(ids: np.ndarray) -> bytes:
@@ -142,19 +155,20 @@ def encode(ids: np.ndarray) -> bytes:
     if not n:
         return HEAD.pack(MAGIC, VERSION, 0, 0, check, zlib.crc32(b""))
     lanes = lanes_of(n)
-    begin, steps, full = _in_lanes(n, lanes)
+    steps, full = _lane_lengths(n, lanes)
+    rows = _by_step(ids, lanes)
     model = Model(lanes)
     low = np.zeros(lanes, dtype=np.uint64)
     size = np.full(lanes, np.iinfo(np.uint64).max, dtype=np.uint64)
     out_lane, out_word = [], []
     for s in range(steps):
         k = lanes if s + 1 < steps else full
-        x = ids[begin[:k] + s].astype(np.int32)
+        x = rows[s, :k].astype(np.int32)
         model.predict(k)
         two = x == model.p2
         zero = ~two & (x != model.p1)
         choice = model.row * 3 + (1 - two + zero)
-        cum, width = model.interval(x, choice, zero)
+        cum, width = model.interval(x, choice, np.flatnonzero(zero))
         unit = size[:k] >> _TOTAL
         low[:k] += unit * cum
         size[:k] = unit * width
@@ -189,7 +203,7 @@ def decode(block: bytes) -> np.ndarray:
     count = np.frombuffer(body, "<u4", lanes).astype(np.int64)
     words = np.append(np.frombuffer(body, "<u2", offset=4 * lanes).astype(np.uint64), np.uint64(0))
     at = np.cumsum(count) - count
-    begin, steps, full = _in_lanes(n, lanes)
+    steps, full = _lane_lengths(n, lanes)
     model = Model(lanes)
     model._renew(True)
     low = np.zeros(lanes, dtype=np.uint64)
@@ -198,7 +212,7 @@ def decode(block: bytes) -> np.ndarray:
     for _ in range(4):
         code = code << _16 | words[at]
         at += 1
-    out = np.empty(n, dtype=np.uint16)
+    rows = np.zeros((steps, lanes), dtype=np.uint16)
     most = np.uint64((1 << (MIX_BITS + ID_BITS)) - 1)
     for s in range(steps):
         k = lanes if s + 1 < steps else full
@@ -206,18 +220,17 @@ def decode(block: bytes) -> np.ndarray:
         unit = size[:k] >> _TOTAL
         v = np.minimum((code[:k] - low[:k]) // unit, most).astype(np.uint32)
         part, row = v >> np.uint32(ID_BITS), model.row
-        two, zero = part < model.begin[row, 1], part >= model.begin[row, 2]
+        two, zero = part < model.begin1[row], part >= model.begin2[row]
         choice = row * 3 + (1 - two + zero)
         x = np.where(two, model.p2, model.p1)
         at0 = np.flatnonzero(zero)
         mine = choice[at0]
-        x[at0] = model.slots[(v[at0] - (model.begin.ravel()[mine].astype(np.uint32) << np.uint32(ID_BITS)))
-                             // model.width.ravel()[mine].astype(np.uint32)]
-        cum, width = model.interval(x, choice, zero)
+        x[at0] = model.slots[(v[at0] - model.begin_all[mine].astype(np.uint32)) // model.width[mine].astype(np.uint32)]
+        cum, width = model.interval(x, choice, at0)
         low[:k] += unit * cum
         size[:k] = unit * width
         model.learn(x, choice, True)
-        out[begin[:k] + s] = x
+        rows[s, :k] = x
         on = _settle(low, size)
         while len(on):
             code[on] = code[on] << _16 | words[at[on]]
@@ -225,6 +238,7 @@ def decode(block: bytes) -> np.ndarray:
             low[on] <<= _16
             size[on] <<= _16
             on = _settle(low, size, on)
+    out = _by_lane(rows, n)
     if zlib.crc32(out.astype("<u4").tobytes()) != check:
         raise ValueError("ids fail their checksum")
     return out

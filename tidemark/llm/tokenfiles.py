@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import documents, each, materialize, scratch_path, ship, text_or_empty
+from tidemark.llm.common import documents, materialize, scratch_path, ship, text_or_empty
 from tidemark.llm.idcoder import decode, encode
 from tidemark.llm.tokens import encoder
 
@@ -50,8 +50,8 @@ def _write(path: str | None, block_ids: int):
 
         for b in batches:
             start = 0
-            for k, text in enumerate(each(b.column(1))):
-                ids = enc.encode(text) + end
+            for k, own in enumerate(enc.encode_all(b.column(1))):
+                ids = own + end
                 if size and size + len(ids) // 2 > block_ids:
                     keys.append(b.column(0).slice(start, k - start))
                     yield block()

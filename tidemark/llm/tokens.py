@@ -4,6 +4,7 @@ The tokenizer of ``word_bpe_49k.json`` drops white space before it looks for mer
 are those of its blank-separated stretches, one after the other.  Stretches repeat, so each worker keeps
 the ids of up to ``KNOWN`` of them.  A new stretch that is one lower-case word goes straight to the merges;
 marks after a word are a piece of their own; any other stretch goes through the whole tokenizer.
+A column of texts is split by Arrow, and each different stretch of about ``PART`` bytes of text is looked up once.
 """
 
 from __future__ import annotations
@@ -12,11 +13,18 @@ import string
 import sys
 import unicodedata
 from array import array
+from collections.abc import Iterator
+from itertools import pairwise
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 if sys.byteorder != "little":
     raise ImportError("ids are kept as this machine's 16-bit integers, which must be little-endian")
 MARKS = string.punctuation
 KNOWN = 700_000
+PART = 12_000_000          # bytes of text whose stretches are looked up together
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -46,27 +54,28 @@ class Encoder(dict):
         self.known = KNOWN
 
     def __missing__(self, stretch: str) -> bytes:
-        word = stretch.rstrip(MARKS)
-        if word != stretch and word.isalpha():
+        if stretch.isalpha():
+            if stretch.isascii():
+                out = array("H", [t.id for t in self.merge(stretch.lower())]).tobytes()
+            elif self._is_word(stretch):
+                word = stretch.lower().encode("utf-8").decode("latin-1").translate(self.alphabet)
+                out = array("H", [t.id for t in self.merge(word)]).tobytes()
+            else:
+                out = self._whole(stretch)
+        elif (word := stretch.rstrip(MARKS)) != stretch and word.isalpha():
             out = self[word] + self[stretch[len(word):]]
-        elif word is stretch and self._is_word(stretch):
-            word = stretch.lower()
-            if not word.isascii():
-                word = word.encode("utf-8").decode("latin-1").translate(self.alphabet)
-            out = array("H", [t.id for t in self.merge(word)]).tobytes()
         else:
-            out = array("H", self.tokenizer.encode(stretch, add_special_tokens=False).ids).tobytes()
+            out = self._whole(stretch)
         if len(self) < self.known and len(stretch) <= 64:
             self[stretch] = out
         return out
 
+    def _whole(self, stretch: str) -> bytes:
+        return array("H", self.tokenizer.encode(stretch, add_special_tokens=False).ids).tobytes()
+
     @staticmethod
     def _is_word(stretch: str) -> bool:
-        """One run of letters whose normal form and lower case leave no room for doubt."""
-        if not stretch.isalpha():
-            return False
-        if stretch.isascii():
-            return True
+        """Of letters, not all ASCII: whether their normal form and lower case leave no room for doubt."""
         low = stretch.lower()
         return ("\u03a3" not in stretch and low.isalpha() and len(low) == len(stretch)
                 and unicodedata.is_normalized("NFC", stretch) and unicodedata.is_normalized("NFC", low))
@@ -80,6 +89,34 @@ class Encoder(dict):
             text = text.encode("utf-8").lower().decode("utf-8")
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
+    def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text of a column without nulls, as ``encode`` gives them."""
+        size = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+        first = np.flatnonzero(np.diff((np.cumsum(size) - size) // PART, prepend=-1)).tolist()
+        for a, b in pairwise([*first, len(texts)]):
+            yield from self._encode_part(texts.slice(a, b - a))
+
+    def _encode_part(self, texts: pa.Array) -> Iterator[bytes]:
+        odd = pc.match_substring(texts, "<|")
+        plain = pc.replace_substring(pc.ascii_lower(pc.if_else(odd, "", texts)), "\n", " ")
+        split = pc.split_pattern(plain, " ")
+        coded = split.flatten().dictionary_encode()
+        # no stretch has a blank, so that the different ones come over as one string
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary), " ")
+        ids = list(map(self.__getitem__, joined[0].as_py().split(" ")))
+        kind = np.int32 if texts.nbytes < 1 << 29 else np.int64
+        own = np.fromiter(map(len, ids), kind, len(ids)) >> 1
+        spot, known = np.cumsum(own, dtype=kind) - own, np.frombuffer(b"".join(ids), dtype="<u2")
+        at = coded.indices.to_numpy()
+        n = own[at]
+        end = np.cumsum(n, dtype=kind)
+        where = np.repeat(spot[at] - end + n, n)
+        where += np.arange(len(where), dtype=kind)
+        data = known[where].tobytes()
+        cuts = 2 * np.append(0, end)[split.offsets.to_numpy()].astype(np.int64)
+        for k, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
+            yield self.encode(texts[k].as_py()) if odd[k].as_py() else data[a:b]
+
 
 def encoder(path: str | None = None, known: int = KNOWN) -> Encoder:
     """This worker's encoder of a tokenizer file; it keeps at most ``known`` stretches."""
