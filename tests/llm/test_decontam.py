@@ -55,6 +55,33 @@ def test_any_place_and_size(where, size):
         assert index.leaks(" ".join(filler[:where] + item[:size // 2] + filler[where:])) == []
 
 
+@pytest.mark.parametrize("at_once", [1, 1000, 1 << 20])
+def test_texts_are_tested_together(monkeypatch, at_once):
+    random.seed(9)
+    vocabulary = [f"w{i}" for i in range(400)]
+    some = lambda n: random.choices(vocabulary, weights=[1 / (i + 1) for i in range(400)], k=n)
+    items = [(i, " ".join(some(random.randint(3, 160)))) for i in range(120)]
+    index = X.Index(items, 0.6, 0.8, 0.5)
+    texts = ["", " "] + [" ".join([*some(random.randint(0, 300)), random.choice(items)[1], *some(random.randint(0, 90))])
+                         for _ in range(150)] + ["unknown " * 500, ""]
+    monkeypatch.setattr(X, "AT_ONCE", at_once)
+    calls, reaching = [], index.reaching
+    monkeypatch.setattr(index, "reaching", lambda *a: calls.append(a[2]) or reaching(*a))
+    together = list(index.leaks_of(texts))
+    if at_once > 1000:
+        assert len(calls) <= 2 and sum(calls) >= 150
+    # one by one, and with each passage searched whatever the tests say
+    assert together == [index.leaks(t) for t in texts]
+    held = [X.words(t) for t in texts]
+    for t, ws in enumerate(held):
+        reached = {k: terms for _, k, terms in index.hopeful([ws])}
+        for k in range(max(1, -(-len(ws) // X.CHUNK) - 1)):
+            terms = sorted({int.from_bytes(index.terms[w], "little")
+                            for w in ws[k * X.CHUNK:(k + 2) * X.CHUNK] if w in index.terms})
+            assert reached.get(k, terms) == terms and (k in reached or not terms or not index.search(terms)), (t, k)
+    assert list(index.leaks_of([])) == [] and list(X.Index([], 0.6, 0.8, 0.5).leaks_of(texts[:3])) == [[]] * 3
+
+
 def test_blocks_and_odd_rows(spark, docs, items, odd, empty):
     key = lambda df: sorted((r.doc_id, r.item_id) for r in df.collect())
     assert key(X.find_leaks(docs, items)) == key(X.find_leaks(docs, items, block_bytes=1500))

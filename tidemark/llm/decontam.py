@@ -23,7 +23,8 @@ from __future__ import annotations
 import math
 import pickle
 import uuid
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -42,6 +43,8 @@ K1, B = 1.2, 0.75
 POSTING_BLOCK = 32
 CHUNK_BLOCK = 4         # chunks of one block of the block-max test
 GROUPS = 16             # groups of chunks of the first, coarser test
+WORDS = 1 << 16         # words of texts that are tested together
+AT_ONCE = 1 << 20       # blocks' maxima that are added up together
 _FOLD = bytes(c if c > 127 else ord(chr(c).lower()) if chr(c).isalnum() else 32 for c in range(256))
 
 
@@ -99,8 +102,8 @@ class Index:
         self.impact = [np.array([x for _, x in p]) for p in postings]
         self.block_max = [np.maximum.reduceat(x, np.arange(0, len(x), POSTING_BLOCK)) for x in self.impact]
         self.bound = np.array([x.max() for x in self.impact])
-        # each term's maximum in each group; the last row is that of words in no item
-        self.group_max = np.zeros((len(self.terms) + 1, GROUPS), dtype=np.float32)
+        # each term's maximum in each group
+        self.group_max = np.zeros((len(self.terms), GROUPS), dtype=np.float32)
         width = -(-max(1, n) // GROUPS)
         # each term's maxima by block of CHUNK_BLOCK chunks, term after term
         blocks, maxima = [], []
@@ -112,25 +115,64 @@ class Index:
         self.from_block = np.concatenate([[0], np.cumsum([len(x) for x in blocks])]).astype(np.int64)
         self.blocks = np.concatenate(blocks) if blocks else np.zeros(0, dtype=np.int64)
         self.maxima = np.concatenate(maxima) if maxima else np.zeros(0)
+        self.n_blocks = -(-max(1, n) // CHUNK_BLOCK)
 
     def ids(self, ws: list[bytes]) -> np.ndarray:
         return np.frombuffer(b"".join(map(self.terms.get, ws, repeat(b"\xff\xff\xff\xff"))), dtype="<i4")
 
-    def may_reach(self, terms: np.ndarray) -> bool:
-        """Whether any block's maxima over these terms add up to the threshold."""
+    def reaching(self, terms: np.ndarray, passage: np.ndarray, n: int) -> np.ndarray:
+        """For n passages, given by (term, passage) pairs: whether any block's maxima add up to the threshold."""
         count = self.from_block[terms + 1] - self.from_block[terms]
         at = np.repeat(self.from_block[terms] - np.cumsum(count) + count, count) + np.arange(count.sum())
-        return len(at) > 0 and np.bincount(self.blocks[at], self.maxima[at]).max() >= self.rho - 1e-9
+        spot = np.repeat(passage * self.n_blocks, count) + self.blocks[at]
+        total = np.bincount(spot, self.maxima[at], minlength=n * self.n_blocks)
+        return total.reshape(n, self.n_blocks).max(axis=1) >= self.rho - 1e-9
+
+    def may_reach(self, terms: np.ndarray) -> bool:
+        """Whether any block's maxima over these terms add up to the threshold."""
+        return len(terms) > 0 and bool(self.reaching(terms, np.zeros(len(terms), dtype=np.int64), 1)[0])
+
+    def hopeful(self, texts: list[list[bytes]]) -> Iterator[tuple[int, int, list[int]]]:
+        """(text, number of the passage in it, its different terms) of the passages that may reach the threshold, in order."""
+        size = np.array([len(ws) for ws in texts], dtype=np.int64)
+        ids = self.ids([w for ws in texts for w in ws])
+        # passage k of a text is its CHUNK words k and k + 1; passages are numbered text after text
+        passages = np.maximum(1, -(-size // CHUNK) - 1)
+        base = np.cumsum(passages) - passages
+        known = np.flatnonzero(ids >= 0)
+        text = np.repeat(np.arange(len(texts)), size)[known]
+        chunk = (known - (np.cumsum(size) - size)[text]) // CHUNK
+        bits = len(self.terms).bit_length()
+        pair = (base[text] + chunk) << bits | ids[known]
+        pair = np.sort(np.concatenate([pair[chunk < passages[text]], pair[chunk > 0] - (1 << bits)]))
+        pair = pair[np.diff(pair, prepend=-1) != 0]
+        passage, term = pair >> bits, pair & ((1 << bits) - 1)
+        begin = np.flatnonzero(np.diff(passage, prepend=-1))
+        if not len(begin):
+            return
+        end = np.append(begin[1:], len(pair))
+        # a passage whose terms' maxima don't sum up to the threshold in any group can't reach it
+        on = np.flatnonzero(np.add.reduceat(self.group_max[term], begin, axis=0).max(axis=1) >= self.rho - 1e-3)
+        cost = np.add.reduceat(self.from_block[term + 1] - self.from_block[term], begin)[on] + self.n_blocks
+        cut = np.flatnonzero(np.diff(np.cumsum(cost) // AT_ONCE, prepend=-1))
+        for some in np.split(on, cut[1:]):
+            n = end[some] - begin[some]
+            at = np.repeat(begin[some] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            for k in some[self.reaching(term[at], np.repeat(np.arange(len(some)), n), len(some))] if len(some) else ():
+                t = int(np.searchsorted(base, passage[begin[k]], side="right")) - 1
+                yield t, int(passage[begin[k]] - base[t]), term[begin[k]:end[k]].tolist()
 
     def search(self, terms: list[int]) -> list[tuple[int, float]]:
         """All (chunk, score) with score >= rho for a set of terms: block-max WAND."""
         goal, out = self.rho - 1e-9, []
-        cur = [[int(self.chunk[t][0]), t, 0] for t in terms]        # chunk at the cursor, term, position
+        chunk, impact, block_max = ({t: memoryview(x[t]) for t in terms} for x in (self.chunk, self.impact, self.block_max))
+        bound = dict(zip(terms, self.bound[terms].tolist(), strict=True))
+        cur = [(chunk[t][0], t, 0) for t in terms]        # chunk at the cursor, term, position
         while cur:
             cur.sort()
             reach, pivot = 0.0, None
             for k, (_, t, _) in enumerate(cur):
-                reach += self.bound[t]
+                reach += bound[t]
                 if reach >= goal:
                     pivot = k
                     break
@@ -140,63 +182,68 @@ class Index:
             while pivot + 1 < len(cur) and cur[pivot + 1][0] == target:
                 pivot += 1
             upto, skip = 0.0, math.inf
-            for _, t, _ in cur[:pivot + 1]:
-                at = int(np.searchsorted(self.chunk[t], target))
-                if at < len(self.chunk[t]):
+            for _, t, pos in cur[:pivot + 1]:
+                own = chunk[t]
+                at = bisect_left(own, target, pos)
+                if at < len(own):
                     block = at // POSTING_BLOCK
-                    upto += self.block_max[t][block]
-                    last = min(len(self.chunk[t]), (block + 1) * POSTING_BLOCK) - 1
-                    skip = min(skip, int(self.chunk[t][last]) + 1)
+                    upto += block_max[t][block]
+                    skip = min(skip, own[min(len(own), (block + 1) * POSTING_BLOCK) - 1] + 1)
             if upto < goal:
                 # nothing in these blocks reaches the goal: go past the first block that ends
                 ahead = cur[pivot + 1][0] if pivot + 1 < len(cur) else math.inf
                 to = max(min(skip, ahead), target + 1)
-                moved = range(pivot + 1)
+                moved = pivot + 1
             elif cur[0][0] == target:
                 total = 0.0
                 for c, t, pos in cur[:pivot + 1]:
-                    total += self.impact[t][pos] if c == target else 0.0
+                    total += impact[t][pos] if c == target else 0.0
                 if total >= goal:
                     out.append((target, total))
-                to, moved = target + 1, range(pivot + 1)
+                to, moved = target + 1, pivot + 1
             else:
-                to, moved = target, range(pivot)
+                to, moved = target, pivot
             kept = []
-            for k, (c, t, pos) in enumerate(cur):
-                if k in moved and c < to:
-                    pos = len(self.chunk[t]) if to == math.inf else int(np.searchsorted(self.chunk[t], to))
-                    if pos >= len(self.chunk[t]):
+            for c, t, pos in cur[:moved]:
+                if c < to:
+                    own = chunk[t]
+                    pos = len(own) if to == math.inf else bisect_left(own, to, pos)
+                    if pos >= len(own):
                         continue
-                    c = int(self.chunk[t][pos])
-                kept.append([c, t, pos])
-            cur = kept
+                    c = own[pos]
+                kept.append((c, t, pos))
+            cur = kept + cur[moved:]
         return out
 
     def leaks(self, text: str) -> list[tuple[object, float, float, float]]:
         """(item id, best score, question overlap, answer overlap) of the verified items of a text."""
-        ws = words(text)
-        if not ws or not self.items:
-            return []
-        ids = self.ids(ws)
-        # sums of the terms' group maxima over every CHUNK words, then over passages of two
-        starts = np.arange(0, max(1, len(ws) - CHUNK), CHUNK)
-        ends = np.minimum(starts + 2 * CHUNK, len(ws))
-        known = np.flatnonzero(ids >= 0)
-        cuts = np.searchsorted(known, np.arange(0, len(ws) + CHUNK, CHUNK))
-        part = np.add.reduceat(self.group_max[np.append(ids[known], -1)], cuts, axis=0)
-        part[:-1][np.diff(cuts) == 0] = 0
-        # a passage whose terms' maxima don't sum up to the threshold in any group can't reach it
-        hopeful = (part[:len(starts)] + part[1:len(starts) + 1]).max(axis=1) >= self.rho - 1e-3
-        found: dict[int, tuple[float, int, int]] = {}
-        for k in np.flatnonzero(hopeful):
-            own = np.unique(ids[starts[k]:ends[k]])
-            own = own[own >= 0]
-            if not self.may_reach(own):
-                continue
-            for c, score in self.search(own.tolist()):
+        return next(self.leaks_of([text]))
+
+    def leaks_of(self, texts: Iterable[str]) -> Iterator[list[tuple[object, float, float, float]]]:
+        """The ``leaks`` of each text; passages of about ``WORDS`` words are tested together."""
+        held: list[list[bytes]] = []
+        size = 0
+        for text in texts:
+            held.append(words(text))
+            size += len(held[-1]) + 1
+            if size >= WORDS:
+                yield from self._leaks(held)
+                held, size = [], 0
+        yield from self._leaks(held)
+
+    def _leaks(self, texts: list[list[bytes]]) -> Iterator[list[tuple[object, float, float, float]]]:
+        found: list[dict[int, tuple[float, int, int]]] = [{} for _ in texts]
+        for t, k, terms in self.hopeful(texts) if self.items else ():
+            own, size = found[t], len(texts[t])
+            for c, score in self.search(terms):
                 i = self.item_of[c]
-                best, lo, hi = found.get(i, (0.0, len(ws), 0))
-                found[i] = (max(best, score), min(lo, int(starts[k])), max(hi, int(ends[k])))
+                best, lo, hi = own.get(i, (0.0, size, 0))
+                own[i] = (max(best, score), min(lo, k * CHUNK), max(hi, min((k + 2) * CHUNK, size)))
+        for ws, own in zip(texts, found, strict=True):
+            yield self._verified(ws, own)
+
+    def _verified(self, ws: list[bytes], found: dict[int, tuple[float, int, int]]) -> list[tuple[object, float, float, float]]:
+        """Of items found (best score, first word, past the last), those whose shingles are there."""
         out = []
         for i, (best, lo, hi) in sorted(found.items()):
             item_id, question, answer = self.items[i]
@@ -282,8 +329,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
             index = _index(sent, name)
             for b in batches:
                 at, rows = [], []
-                for k, text in enumerate(each(b.column(1))):
-                    own = index.leaks(text)
+                for k, own in enumerate(index.leaks_of(each(b.column(1)))):
                     at += [k] * len(own)
                     rows += own
                 if rows:
@@ -302,7 +348,7 @@ def _clean(sent: Broadcast, name: str):
     def clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         index = _index(sent, name)
         for texts in batches:
-            yield pa.array([not index.leaks(t) for t in each(texts)], pa.bool_())
+            yield pa.array([not own for own in index.leaks_of(each(texts))], pa.bool_())
     return clean
 
 
