@@ -71,11 +71,12 @@ class Model:
         """For the first k lanes: guesses of orders 2 and 1 and the row of the mixture; and the mixture itself."""
         last, before = self.last[:k], self.before[:k]
         self.spot = ((last.view(np.uint32) * np.uint32(0x9E3779B1) ^ before.view(np.uint32) * np.uint32(0x85EBCA6B))
-                     >> np.uint32(32 - CONTEXT_BITS))
-        self.g2, self.g1 = self.two[self.spot], self.one[last]
+                     >> np.uint32(32 - CONTEXT_BITS)).astype(np.intp)
+        self.at = last.astype(np.intp)
+        self.g2, self.g1 = self.two[self.spot], self.one[self.at]
         self.p2, self.p1 = self.g2 & 0xFFFF, self.g1 & 0xFFFF
         self.n2, self.n1 = self.g2 >> 16, self.g1 >> 16
-        self.row = (self.n2 << 4) + (self.n1 << 1) + (self.p2 == self.p1)
+        self.row = ((self.n2 << 4) + (self.n1 << 1) + (self.p2 == self.p1)).astype(np.intp)
         width = self.mix * ((1 << MIX_BITS) - 3) // self.mix.sum(axis=1, keepdims=True) + 1
         width[:, 2] = (1 << MIX_BITS) - width[:, 0] - width[:, 1]
         # by row and choice: where its part of the mixture begins, its width, and both with all of order 0
@@ -90,8 +91,8 @@ class Model:
         of order 0."""
         begin, width = self.begin_all[choice], self.width_all[choice]
         own, part = ids[at0], self.width[choice[at0]]
-        begin[at0] += part * self.cum[own]
-        width[at0] = part * self.freq[own]
+        begin[at0] += part * self.cum.take(own)
+        width[at0] = part * self.freq.take(own)
         return begin, width
 
     def learn(self, ids: np.ndarray, choice: np.ndarray, slots: bool) -> None:
@@ -101,9 +102,9 @@ class Model:
         self.mix = np.where(self.mix.sum(axis=1, keepdims=True) > 1 << 16, (self.mix + 1) >> 1, self.mix)
         fresh = ids | 1 << 16
         for table, spot, guess, sure, packed in ((self.two, self.spot, self.p2, self.n2, self.g2),
-                                                 (self.one, self.last[:k], self.p1, self.n1, self.g1)):
+                                                 (self.one, self.at, self.p1, self.n1, self.g1)):
             right = guess == ids
-            table[spot] = np.where(right | (sure > 1), packed + _STEP[right * 8 + sure], fresh)
+            table[spot] = np.where(right | (sure > 1), packed + _STEP.take(right * 8 + sure), fresh)
         self.before[:k] = self.last[:k]
         self.last[:k] = ids
         self.held.append(ids)
@@ -225,7 +226,7 @@ def decode(block: bytes) -> np.ndarray:
         x = np.where(two, model.p2, model.p1)
         at0 = np.flatnonzero(zero)
         mine = choice[at0]
-        x[at0] = model.slots[(v[at0] - model.begin_all[mine].astype(np.uint32)) // model.width[mine].astype(np.uint32)]
+        x[at0] = model.slots.take((v[at0] - model.begin_all[mine].astype(np.uint32)) // model.width[mine].astype(np.uint32))
         cum, width = model.interval(x, choice, at0)
         low[:k] += unit * cum
         size[:k] = unit * width
