@@ -16,6 +16,10 @@ reads all that is there, so here it runs over short pieces that content-defined
    its windows' hashes in an ordinary aggregate, so no group is unbounded in a task.
 4. The repeated windows of each stretch, joined to its places, are each document's removed bytes.
 
+Passages of over 50 words may be shorter than 400 bytes.  They are not removed, but told by a column of their own, from the
+same anchors and stretches over words: a first pass names the anchors that occur twice, a second one writes their stretches,
+or, where these differ, the hashes of their windows, and those that two rows have are joined back to the texts.
+
 Defined results: texts are UTF-8 bytes; a null text is empty; texts of under 400 bytes lose nothing; equal rows are each
 other's repeats; overlapping occurrences count; empty tables give no rows; other columns are ignored.
 """
@@ -37,12 +41,18 @@ from tidemark.llm.common import documents, each, materialize, shuffle_width, shi
 LENGTH, ANCHOR = 400, 64
 SPAN = LENGTH - ANCHOR                  # an anchor's places in a window: 0 to SPAN
 SEGMENT = 1 << 22                       # bytes of a text that are worked on at once
+WORDS, ANCHOR_WORDS = 51, 12            # words of a passage and of its anchor
+SLICE = 1 << 20                         # bytes of texts whose words are taken at once
 CHUNK = 8192                            # pieces whose transform is built at once
 _PLACE = 24                             # bits of a place in a segment
 _ROOT = 0x9E3779B97F4A7C15 | 1
 _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _POWERS: dict[str, np.ndarray] = {}
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[65:91] += 32
+_IN_WORD = np.isin(_FOLD, np.r_[48:58, 97:123, 128:256])    # letters, digits and what is not ASCII
+_VARIED = 0x5851F42D4C957F2D            # marks an anchor with different stretches in the Bloom filter
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -63,10 +73,10 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _prefix(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Prefix sums from which any substring's hash follows, and the inverse powers."""
+    """Prefix sums from which the hash of any run of bytes, or of words given by their hashes, follows; the inverse powers."""
     up, down = _powers(len(data) + 1)
     out = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[data] * up[:len(data)], out=out[1:])
+    np.cumsum((_BYTE[data] if data.dtype == np.uint8 else data) * up[:len(data)], out=out[1:])
     return out, down
 
 
@@ -80,24 +90,33 @@ def _sliding_least(v: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(right[:len(v) - width + 1], left[width - 1:len(v)])
 
 
-def stretches(data: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(anchor hash, stretch hash, first window, number of windows, place of the anchor in the stretch) of a text."""
-    out: list[list[np.ndarray]] = []
-    for at in range(0, max(0, len(data) - LENGTH + 1), SEGMENT):
-        part = data[at:at + SEGMENT + LENGTH - 1]
+def _stretched(data: np.ndarray, length: int, anchor: int, inside: np.ndarray | None = None) -> Iterator[tuple]:
+    """For each segment of some bytes or words: its start, prefix sums and inverse powers, and its stretches of windows of
+    ``length`` as in ``stretches``, first windows counted from its start.  Only windows marked by ``inside`` are taken."""
+    for at in range(0, max(0, len(data) - length + 1), SEGMENT):
+        part = data[at:at + SEGMENT + length - 1]
         prefix, down = _prefix(part)
-        h = _mix((prefix[ANCHOR:] - prefix[:-ANCHOR]) * down[:len(part) - ANCHOR + 1])
+        h = _mix((prefix[anchor:] - prefix[:-anchor]) * down[:len(part) - anchor + 1])
         place = np.arange(len(h), dtype=np.uint64)
-        least = _sliding_least(h >> np.uint64(_PLACE) << np.uint64(_PLACE) | place, SPAN + 1)
+        least = _sliding_least(h >> np.uint64(_PLACE) << np.uint64(_PLACE) | place, length - anchor + 1)
         where = (least & np.uint64((1 << _PLACE) - 1)).astype(np.int64)
+        window = None if inside is None else np.flatnonzero(inside[at:at + len(where)])
+        where = where if window is None else where[window]
         first = np.flatnonzero(np.diff(where, prepend=-1))
         count = np.diff(first, append=len(where))
         p = where[first]
-        end = first + count - 1 + LENGTH
+        first = first if window is None else window[first]
+        end = first + count - 1 + length
         body = (prefix[end] - prefix[first]) * down[first]
         off = p - first
         # least hashes are small ones, so they are mixed again
-        out.append([_mix(h[p] + np.uint64(1)), _mix(body + _mix((off * 1024 + count).astype(np.uint64))), first + at, count, off])
+        yield at, prefix, down, _mix(h[p] + np.uint64(1)), _mix(body + _mix((off * 1024 + count).astype(np.uint64))), first, count, off
+
+
+def stretches(data: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(anchor hash, stretch hash, first window, number of windows, place of the anchor in the stretch) of a text."""
+    out = [(anchor, stretch, first + at, count, off)
+           for at, _, _, anchor, stretch, first, count, off in _stretched(data, LENGTH, ANCHOR)]
     if not out:
         return tuple(np.zeros(0, dtype=t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
@@ -191,7 +210,9 @@ def bloom_spots(anchors: np.ndarray, bits: int) -> list[np.ndarray]:
     return out
 
 
-def _wanted(anchors: DataFrame, bits: int) -> _Wanted:
+def _wanted(anchors: DataFrame, max_bits: int) -> _Wanted:
+    bits = max_bits if max_bits < 20 else min(max_bits, max(20, 4 + anchors.count().bit_length()))
+
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         part, own = int(frame["part"].iloc[0]), bits - SLICES
         on = np.zeros(1 << own, dtype=bool)
@@ -277,8 +298,7 @@ def repeated_places(docs: DataFrame, hot: int, max_bits: int) -> DataFrame:
                       "repeat-stretches")
     whole = per.where("n > 1").select("anchor", "stretch", F.lit(0).alias("lo"), F.col("count").alias("hi"))
     varied = materialize(per.groupBy("anchor").agg(F.count(F.lit(1)).alias("d")).where("d > 1"), "repeat-anchors")
-    bits = max_bits if max_bits < 20 else min(max_bits, max(20, 4 + varied.count().bit_length()))
-    table = spark.sparkContext.broadcast(_wanted(varied, bits))
+    table = spark.sparkContext.broadcast(_wanted(varied, max_bits))
     pieces = materialize(docs.select("bytes").mapInArrow(_fetch(table), "anchor long, stretch long, off int, piece binary"),
                          "repeat-pieces")
     columns = ("anchor", "stretch", "off", "piece")
@@ -298,6 +318,83 @@ def repeated_places(docs: DataFrame, hot: int, max_bits: int) -> DataFrame:
             .groupBy("ref").agg(F.collect_set("span").alias("spans")))
 
 
+def _words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and first byte of each word; upper case A-Z is as lower case."""
+    at = np.flatnonzero(_IN_WORD[data])
+    if not len(at):
+        return np.zeros(0, dtype=np.uint64), at
+    begin = np.flatnonzero(np.diff(at, prepend=-2) != 1)
+    size = np.diff(begin, append=len(at))
+    up, _ = _powers(int(size.max()))
+    place = np.arange(len(at)) - np.repeat(begin, size)
+    return _mix(np.add.reduceat(_BYTE[_FOLD[data[at]]] * up[place], begin)), at[begin]
+
+
+def _word_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Of whole texts together: refs, the words' hashes, their texts' numbers, and whether a passage of one text starts there."""
+    def take(rows: list[tuple]) -> tuple:
+        refs, texts = zip(*rows, strict=True)
+        words, first = _words(np.frombuffer(b"\n".join(texts), dtype=np.uint8))
+        text = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), first, side="right")
+        return pa.array(refs, pa.binary()), words, text, text[WORDS - 1:] == text[:len(text) - WORDS + 1]
+
+    held, size = [], 0
+    for b in batches:
+        for row in zip(each(b.column(0)), each(b.column(1)), strict=True):
+            if len(row[1]) >= 2 * WORDS - 1:
+                held.append(row)
+                size += len(row[1])
+            if size >= SLICE:
+                yield take(held)
+                held, size = [], 0
+    if held:
+        yield take(held)
+
+
+def _word_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for _, words, _, inside in _word_slices(batches):
+        for _, _, _, anchor, stretch, *_ in _stretched(words, WORDS, ANCHOR_WORDS, inside):
+            yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(stretch.view(np.int64))],
+                                             names=["anchor", "stretch"])
+
+
+def _word_windows(table):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for refs, words, text, inside in _word_slices(batches):
+            keys, owners = [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.int64)]
+            for at, prefix, down, anchor, stretch, first, count, _ in _stretched(words, WORDS, ANCHOR_WORDS, inside):
+                varied = table.value.has(anchor ^ np.uint64(_VARIED))
+                whole = ~varied & table.value.has(anchor)
+                n = count[varied]
+                lo = np.arange(n.sum()) + np.repeat(first[varied] - (np.cumsum(n) - n), n)
+                keys += [stretch[whole], _mix((prefix[lo + WORDS] - prefix[lo]) * down[lo])]
+                owners += [text[at + first[whole]], text[at + lo]]
+            key, owner = np.concatenate(keys), np.concatenate(owners)
+            order = np.lexsort((key, owner))
+            key, owner = key[order], owner[order]
+            # a row counts once for a passage, however often it has it
+            new = np.ones(len(key), dtype=bool)
+            new[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
+            yield pa.RecordBatch.from_arrays([pa.array(key[new].view(np.int64)), refs.take(pa.array(owner[new]))],
+                                             names=["key", "ref"])
+    return run
+
+
+def shared_passages(docs: DataFrame, max_bits: int) -> DataFrame:
+    """(ref) of the texts with a passage of ``WORDS`` words that another row has too; ``docs`` has ref, bytes."""
+    spark = docs.sparkSession
+    anchors = materialize(
+        docs.mapInArrow(_word_anchors, "anchor long, stretch long")
+        .groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("stretch").alias("least"), F.max("stretch").alias("most"))
+        .where("n > 1").select("anchor", (F.col("least") != F.col("most")).alias("varied")), "passage-anchors")
+    marked = anchors.where("varied").select(F.col("anchor").bitwiseXOR(F.lit(_VARIED)).alias("anchor"))
+    table = spark.sparkContext.broadcast(_wanted(marked.unionByName(anchors.where("not varied").select("anchor")), max_bits))
+    windows = materialize(docs.mapInArrow(_word_windows(table), "key long, ref binary"), "passage-windows")
+    table.destroy()
+    common = windows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    return windows.join(common, "key").select("ref").distinct()
+
+
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[list[int]] = []
     for a, b in sorted(spans):
@@ -317,12 +414,16 @@ def _cut(data: bytes, spans: list) -> tuple[bytes, list[tuple[int, int]]]:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = 2048,
-                   max_bits: int = 28, with_kept: bool = True) -> DataFrame:
-    """One row per input row: id, n_bytes, n_removed, n_spans, kept_sha256, has_repeats (it lost bytes), maybe the kept bytes."""
+                   max_bits: int = 28, with_kept: bool = True, with_passages: bool = False) -> DataFrame:
+    """One row per input row: id, n_bytes, n_removed, n_spans, kept_sha256, has_repeats (it lost bytes), maybe the kept bytes, and
+    maybe shared_passage (1 if ``WORDS`` words in a row are in another row too, of whatever length in bytes, else 0)."""
     ship(docs.sparkSession)
     data = text_or_empty(text_col).cast("binary")
     rows = docs.select(F.col(id_col).alias("__id"), F.unhex(F.md5(data)).alias("ref"), data.alias("bytes"))
-    spans = repeated_places(rows.select("ref", "bytes"), hot, max_bits)
+    found = repeated_places(rows.select("ref", "bytes"), hot, max_bits).withColumn("shared", F.lit(None).cast("int"))
+    if with_passages:
+        passages = shared_passages(rows.select("ref", "bytes"), max_bits).withColumn("shared", F.lit(1))
+        found = found.drop("shared").join(passages, "ref", "full")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -335,13 +436,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             names = [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256", "has_repeats"]
             if with_kept:
                 cols, names = [*cols, pa.array([k for k, _ in cut], pa.binary())], [*names, "kept"]
+            if with_passages:
+                cols, names = [*cols, b.column(3).fill_null(0)], [*names, "shared_passage"]
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return (rows.join(spans, "ref", "left").select("__id", "bytes", "spans").mapInArrow(
+    return (rows.join(found, "ref", "left").select("__id", "bytes", "spans", "shared").mapInArrow(
         run, f"`{id_col}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, has_repeats boolean"
-             + ", kept binary" * with_kept))
+             + ", kept binary" * with_kept + ", shared_passage int" * with_passages))
 
 
 def op7_repeats(spark, sf_dir):
-    return remove_repeats(documents(spark, sf_dir), with_kept=False)
+    return remove_repeats(documents(spark, sf_dir), with_kept=False, with_passages=True)
